@@ -30,6 +30,7 @@ from shelfwise.functions.columns import (
     safe_date,
     safe_double,
 )
+from shelfwise.operators.cleaning import dedup_by_key
 from shelfwise.functions.naming import (
     InventoryRoles,
     SupplierRoles,
@@ -160,37 +161,6 @@ def net_movement(trx: DataFrame, roles: TransactionRoles | None = None) -> DataF
 # Inventory side
 # --------------------------------------------------------------------------
 
-def dedup_by_key(df: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    """One row per key: the greatest by ``order_by`` (desc, nulls last), then
-    by every remaining column (desc). Deterministic for any layout.
-
-    Implemented as one aggregate of ``max(struct(...))``: it is reduced map
-    side, so a key holding a large share of rows never lands whole in one
-    task, and the output is hash-partitioned and sorted by the key, which a
-    following sort-merge join on the key reuses.
-    """
-    order_by = [c for c in (order_by or []) if c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    parts = []
-    for i, c in enumerate(order_by):
-        parts += [qcol(c).isNotNull().alias(f"_o{i}n"), qcol(c).alias(f"_o{i}")]
-    for i, c in enumerate(rest):
-        parts += [qcol(c).isNotNull().alias(f"_r{i}n"), qcol(c).alias(f"_r{i}")]
-    if not parts:
-        return df.select(*[qcol(k) for k in keys]).distinct()
-    best = F.max(F.struct(*parts)).alias("_best")
-    agg = df.groupBy(*[qcol(k) for k in keys]).agg(best)
-    out = []
-    for c in df.columns:
-        if c in keys:
-            out.append(qcol(c))
-        elif c in order_by:
-            out.append(F.col(f"_best._o{order_by.index(c)}").alias(c))
-        else:
-            out.append(F.col(f"_best._r{rest.index(c)}").alias(c))
-    return agg.select(*out)
-
-
 def _key(df: DataFrame, name: str, as_string: bool) -> Column:
     c = qcol(name)
     return c.cast("string") if as_string else c

@@ -14,9 +14,12 @@ _LABELS_SQL = ", ".join(f"'{x}'" for x in SALE_LABELS)
 
 
 def gold_sql(trx="movements", inv="inventory", sup="suppliers_by_product", mode="by_product",
-             level=True, sup_id="supplier_id", sup_views=True) -> str:
-    """The gold table as one DuckDB statement (plain multi-pass formulation)."""
-    views = [trx, inv] + ([sup] if sup_views and mode != "default" else [])
+             level=True, sup_id="supplier_id", prefix: str | None = None) -> str:
+    """The gold table as one DuckDB statement (plain multi-pass formulation).
+
+    ``prefix`` replaces the fixture ``WITH`` clause (for custom input views).
+    """
+    views = [trx, inv] + ([sup] if mode != "default" else [])
     if mode == "by_product":
         lead_cte = f""",
 lead AS (SELECT product_id AS sup_product_id, average_lead_time_days FROM (
@@ -35,11 +38,12 @@ lead AS (SELECT coalesce(quantile_disc(CAST(average_lead_time_days AS DOUBLE), 0
         ref = ref_out = ""
     else:
         lead_cte, lead_join, lead_val, ref, ref_out = "", "", "7.0::DOUBLE", "", ""
-    lvl = "i.reorder_level AS historical_reorder_level, " if level else ""
+    lvl = "CAST(i.reorder_level AS DOUBLE) AS historical_reorder_level, " if level else ""
     lvl_out = "historical_reorder_level, " if level else ""
     rop = ("(daily_sales_velocity * procurement_lead_time * 2 + coalesce(historical_reorder_level, 0.0::DOUBLE)) / 2.0"
            if level else "daily_sales_velocity * procurement_lead_time * 2")
-    return fx.with_views(*views).rstrip() + f""",
+    prefix = prefix if prefix is not None else fx.with_views(*views)
+    return prefix.rstrip() + f""",
 flag AS (SELECT EXISTS (SELECT 1 FROM {trx} WHERE upper(transaction_type) IN ({_LABELS_SQL})) AS any_sale),
 sales AS (SELECT m.* FROM {trx} m CROSS JOIN flag WHERE CASE WHEN flag.any_sale
             THEN coalesce(upper(m.transaction_type) IN ({_LABELS_SQL}), false)

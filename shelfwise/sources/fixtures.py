@@ -129,7 +129,7 @@ def inventory_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").alias("Reorder Level"),
         F.when(F.col("p_partkey") % 7 == 0, F.lit("n/a"))
          .otherwise(F.col("p_retailprice").cast("string")).alias(" Unit Price"),
-        F.col("date_received").cast("string").alias("Date Received"),
+        F.col("date_received").cast("string").alias("Date  Received"),
         F.col("last_order_date").cast("string").alias("Last/Order Date"),
     )
 
@@ -196,7 +196,7 @@ SELECT * EXCLUDE (_ok) FROM b UNION ALL SELECT * EXCLUDE (_ok) FROM b WHERE _ok
     "inventory_dirty": f"""SELECT p_partkey AS "Product ID", concat(' ', p_name, '  ') AS "Product Name",
        CAST(p_size AS DOUBLE) * 10 AS "Stock-Quantity", p_size AS "Reorder Level",
        CASE WHEN p_partkey % 7 = 0 THEN 'n/a' ELSE CAST(p_retailprice AS VARCHAR) END AS " Unit Price",
-       CAST(d.date_received AS VARCHAR) AS "Date Received",
+       CAST(d.date_received AS VARCHAR) AS "Date  Received",
        CAST(d.last_order_date AS VARCHAR) AS "Last/Order Date"
   FROM part LEFT JOIN {_DATES_SQL} d ON p_partkey = d.l_partkey""",
     "suppliers_by_product": """SELECT supplier_id, product_id, CAST(1 + supplier_id % 14 AS DOUBLE) AS average_lead_time_days
