@@ -1 +1,129 @@
-"""Queries: q_model."""
+"""Modeling queries (M1-M10) and the metric formulas."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from shelfwise.operators import metrics as mt
+from shelfwise.operators import modeling as md
+from shelfwise.operators import recommend as rc
+from shelfwise.plans.catalog import register
+from shelfwise.plans.q_gold import _gold
+from shelfwise.plans.q_report import _gold_cte
+
+_FEATS = md.FEATURES
+_FILLED_SQL = ", ".join(
+    f"coalesce({c}, 0) AS {c}" for c in _FEATS)
+_ASSEMBLED_SQL = ", ".join(
+    f"CAST(coalesce({c}, 0) AS DOUBLE) AS x_{c}" for c in _FEATS)
+_BUCKET_SQL = "(('0x' || substr(md5(CAST(product_id AS VARCHAR)), 1, 7))::BIGINT % 100)"
+
+
+@register("features_filled", _gold_cte() + f"SELECT product_id, {_FILLED_SQL} FROM gold")
+def features_filled(spark, d):
+    """M1/M2: the eight features, nulls as 0."""
+    g = _gold(spark, d)
+    return md.fill_zero(g.select("product_id", *md.select_features(g)))
+
+
+@register("assembled", _gold_cte() + f"SELECT product_id, {_ASSEMBLED_SQL} FROM gold")
+def assembled(spark, d):
+    """M3: the assembled feature vector, shown as one column per slot."""
+    g = _gold(spark, d)
+    feats = md.select_features(g)
+    v = md.assemble(md.fill_zero(g), feats).select("product_id", vector_to_array("features").alias("v"))
+    return v.select("product_id", *[F.col("v")[i].alias(f"x_{c}") for i, c in enumerate(feats)])
+
+
+@register("split_counts", _gold_cte() + f"""SELECT CASE WHEN {_BUCKET_SQL} < 80 THEN 'train' ELSE 'test' END AS part,
+       count(*) AS "rows", sum(stockout_risk) AS at_risk FROM gold GROUP BY 1""")
+def split_counts(spark, d):
+    """M4: rows per side of the hash split (and positives per side)."""
+    g = _gold(spark, d)
+    train, test = md.split(g)
+    agg = [F.count(F.lit(1)).alias("rows"), F.sum("stockout_risk").alias("at_risk")]
+    return (train.agg(*agg).select(F.lit("train").alias("part"), "rows", "at_risk")
+            .unionByName(test.agg(*agg).select(F.lit("test").alias("part"), "rows", "at_risk")))
+
+
+_SCORE = "coalesce(safety_stock, 0.0::DOUBLE) - stock_on_hand"
+
+
+@register("auc", _gold_cte() + f""", s AS (SELECT CAST(stockout_risk AS DOUBLE) AS y, {_SCORE} AS sc FROM gold),
+r AS (SELECT y, rank() OVER (ORDER BY sc) + (count(*) OVER (PARTITION BY sc) - 1) / 2.0 AS rk FROM s)
+SELECT round((sum(CASE WHEN y = 1 THEN rk END) - count_if(y = 1) * (count_if(y = 1) + 1) / 2.0)
+             / (count_if(y = 1) * count_if(y <> 1)), 9) AS auc FROM r""")
+def auc(spark, d):
+    """M6: AUC of a deterministic score (safety stock minus stock) for the risk label."""
+    g = _gold(spark, d).select("stockout_risk",
+                               (F.coalesce(F.col("safety_stock"), F.lit(0.0)) - F.col("stock_on_hand"))
+                               .alias("risk_score"))
+    return mt.rounded(mt.auc(g, "stockout_risk", "risk_score"))
+
+
+@register("regression_metrics", _gold_cte() + """, e AS (SELECT reorder_point AS y,
+       reorder_point - historical_reorder_level AS err FROM gold WHERE historical_reorder_level IS NOT NULL)
+SELECT round(avg(abs(err)), 9) AS mae, round(sqrt(sum(err * err) / count(*)), 9) AS rmse,
+       round(1 - sum(err * err) / (var_pop(y) * count(*)), 9) AS r2, count(*) AS n FROM e""")
+def regression_metrics(spark, d):
+    """M8: MAE / RMSE / R² of the historical reorder level as a predictor of the reorder point."""
+    return mt.rounded(mt.regression_metrics(_gold(spark, d), "reorder_point", "historical_reorder_level"))
+
+
+# ------------------------------------------------------------ trained models
+
+_MODELS: dict = {}
+
+
+def _models(spark, d):
+    """Both forests trained on the train split (memoised per session and input)."""
+    key = (id(spark), d)
+    if key not in _MODELS:
+        g = _gold(spark, d)
+        train, _ = md.split(g)
+        train = train.persist()
+        try:
+            _MODELS[key] = (md.train_risk(train), md.train_reorder(train))
+        finally:
+            train.unpersist()
+    return _MODELS[key]
+
+
+@register("train_risk")
+def train_risk(spark, d):
+    """M5/M9: classifier importances (feature order, summing to 1)."""
+    risk, _ = _models(spark, d)
+    return md.importances(risk, spark)
+
+
+@register("evaluate_risk")
+def evaluate_risk(spark, d):
+    """M6 on the forest: AUC of the positive-class probability on the test split."""
+    risk, _ = _models(spark, d)
+    _, test = md.split(_gold(spark, d))
+    pred = risk.transform(md.fill_zero(test)).select(
+        "stockout_risk", md.positive_probability().alias("p"))
+    return mt.rounded(mt.auc(pred, "stockout_risk", "p"))
+
+
+@register("train_reorder")
+def train_reorder(spark, d):
+    """M7/M8: regressor MAE / RMSE / R² on the test split."""
+    _, rop = _models(spark, d)
+    _, test = md.split(_gold(spark, d))
+    return mt.rounded(mt.regression_metrics(rop.transform(md.fill_zero(test)), "reorder_point", "prediction"))
+
+
+@register("score")
+def score(spark, d):
+    """Every gold product scored by both forests."""
+    risk, rop = _models(spark, d)
+    return md.score(_gold(spark, d), risk, rop)
+
+
+@register("model_recommend")
+def model_recommend(spark, d):
+    """M10 -> R6: recommendations from the forests' predictions."""
+    risk, rop = _models(spark, d)
+    return rc.recommend(md.score(_gold(spark, d), risk, rop))
