@@ -1 +1,73 @@
-"""Queries: q_io."""
+"""Source/sink queries (S2-S11): write derived tables, read them back.
+
+Each call writes below a fresh folder in the shared checkpoint root
+(``spark.checkpoint.dir``); the returned DataFrame reads the written files,
+so the check covers the writer, the reader and the job wiring.
+"""
+
+from __future__ import annotations
+
+from shelfwise.operators import cleaning as cl
+from shelfwise.operators import recommend as rc
+from shelfwise.plans import jobs
+from shelfwise.plans.catalog import register
+from shelfwise.plans.q_clean import _SILVER_GOLD_PREFIX, _SILVER_TRX_SQL
+from shelfwise.plans.q_gold import gold_sql
+from shelfwise.plans.q_report import _RECS, _SCORED, _gold_cte, scored
+from shelfwise.session import scratch_dir
+from shelfwise.sources import files as io
+from shelfwise.sources import fixtures as fx
+
+
+@register("csv_roundtrip", _gold_cte(_SCORED + _RECS) + "SELECT * FROM recs")
+def csv_roundtrip(spark, d):
+    """Model output -> CSV -> rules -> CSV -> read back."""
+    root = scratch_dir(spark, "csv")
+    sc = scored(spark, d)
+    io.write_csv(sc, f"{root}/model_output")
+    back = io.read_csv(spark, f"{root}/model_output", schema=sc.schema)
+    recs = rc.recommend(back)
+    io.write_csv(recs, f"{root}/{jobs.RECOMMENDATIONS}")
+    return io.read_csv(spark, f"{root}/{jobs.RECOMMENDATIONS}", schema=recs.schema)
+
+
+@register("json_roundtrip", fx.with_views("suppliers_global") + """SELECT DISTINCT id AS supplier_id,
+       trim(supplier_name) AS supplier_name, average_lead_time_days FROM suppliers_global""")
+def json_roundtrip(spark, d):
+    """Supplier list -> JSON -> landed in bronze -> silver cleaning."""
+    root = scratch_dir(spark, "json")
+    io.write_json(fx.suppliers_global(spark, d), f"{root}/source")
+    landed = io.land_json(spark, f"{root}/source", f"{root}/bronze", multi_line=False)
+    return cl.clean_suppliers(landed)
+
+
+def _write_bronze(spark, d, root: str) -> dict:
+    """The dirty fixtures as the bronze files the silver job expects."""
+    trx, inv = fx.movements_dirty(spark, d), fx.inventory_dirty(spark, d)
+    sup = fx.suppliers_by_product(spark, d)
+    io.write_csv(trx, f"{root}/{jobs.BRONZE_FILES[jobs.TRANSACTIONS]}")
+    io.write_csv(inv, f"{root}/{jobs.BRONZE_FILES[jobs.INVENTORY]}")
+    io.write_json(sup, f"{root}/{jobs.BRONZE_FILES[jobs.SUPPLIERS]}")
+    return {jobs.TRANSACTIONS: trx.schema, jobs.INVENTORY: inv.schema, jobs.SUPPLIERS: sup.schema}
+
+
+def _silver(spark, d) -> str:
+    root = scratch_dir(spark, "medallion")
+    schemas = _write_bronze(spark, d, f"{root}/raw")
+    jobs.run_silver(spark, f"{root}/raw", f"{root}/silver", schemas=schemas, multi_line_json=False)
+    return root
+
+
+@register("silver_job", fx.with_views("movements_dirty") + _SILVER_TRX_SQL)
+def silver_job(spark, d):
+    """C15 + S2/S5/S6/S7/S9: bronze files -> silver Parquet; transactions read back."""
+    root = _silver(spark, d)
+    return io.read_parquet(spark, f"{root}/silver/{jobs.TRANSACTIONS}")
+
+
+@register("gold_job", gold_sql(trx="silver_trx", inv="silver_inv", prefix=_SILVER_GOLD_PREFIX))
+def gold_job(spark, d):
+    """F23 + S8: silver Parquet -> gold Parquet as one file; read back."""
+    root = _silver(spark, d)
+    m = jobs.run_gold(spark, f"{root}/silver", f"{root}/gold", n_files=1)
+    return io.read_parquet(spark, m["path"])
