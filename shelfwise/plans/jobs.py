@@ -1,9 +1,12 @@
 """End-to-end jobs: bronze -> silver -> gold -> models -> recommendations.
 
 Each job reads its inputs, composes the lazy operators and runs exactly one
-write per output. Row counts and class balance ride along with the write
-through ``Observation`` (no extra counting jobs, no recomputation), and
-the gold table is built once, not once per report.
+write per output; the gold table is built once, not once per report. Row
+counts and class balance are read back from the written files (only the
+columns they need), never by recomputing the lineage. (``Observation``
+would avoid that small read, but in Spark 4.1 a session that has used one
+can no longer serialize MLlib forest models, whose training summary holds
+the session.)
 
     python -m shelfwise.plans.jobs silver  BRONZE_DIR SILVER_DIR
     python -m shelfwise.plans.jobs gold    SILVER_DIR GOLD_DIR
@@ -15,7 +18,7 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import cleaning as cl
@@ -34,10 +37,10 @@ MODEL_OUTPUT = "model_output"
 RECOMMENDATIONS = "business_recommendations"
 
 
-def _write_observed(df: DataFrame, name: str, write, *metrics) -> dict:
-    obs = Observation(name)
-    write(df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics))
-    return dict(obs.get)
+def _write_and_measure(df: DataFrame, write, read_back, *metrics) -> dict:
+    """Write once, then aggregate the metrics over the written output."""
+    write(df)
+    return read_back().agg(F.count(F.lit(1)).alias("rows"), *metrics).first().asDict()
 
 
 def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, schemas: dict | None = None,
@@ -61,22 +64,24 @@ def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, schemas: d
                      (INVENTORY, cl.clean_inventory(inv)),
                      (SUPPLIERS, cl.clean_suppliers(sup))):
         path = f"{silver_dir.rstrip('/')}/{name}"
-        out[name] = _write_observed(df, name, lambda d, p=path: io.write_parquet(d, p, n_files=n_files))["rows"]
+        out[name] = _write_and_measure(df, lambda d, p=path: io.write_parquet(d, p, n_files=n_files),
+                                       lambda p=path: io.read_parquet(spark, p))["rows"]
     return out
 
 
 def run_gold(spark: SparkSession, silver_dir: str, gold_dir: str, overrides: dict | None = None,
              n_files: int | None = None) -> dict:
-    """F23 + V1/V2: build the gold table once and write it; the class balance
-    is observed during the write."""
+    """F23 + V1/V2: build the gold table once, write it, and report the class
+    balance from the written table."""
     s = silver_dir.rstrip("/")
     gold = fe.build_gold(io.read_parquet(spark, f"{s}/{TRANSACTIONS}"),
                          io.read_parquet(spark, f"{s}/{INVENTORY}"),
                          io.read_parquet(spark, f"{s}/{SUPPLIERS}"), overrides=overrides)
     path = f"{gold_dir.rstrip('/')}/{GOLD_TABLE}"
-    m = _write_observed(gold, "gold", lambda d: io.write_parquet(d, path, n_files=n_files),
-                        F.count_if(F.col("stockout_risk") == 1).alias("at_risk"),
-                        F.count_if(F.col("stockout_risk") == 0).alias("safe"))
+    m = _write_and_measure(gold, lambda d: io.write_parquet(d, path, n_files=n_files),
+                           lambda: io.read_parquet(spark, path),
+                           F.count_if(F.col("stockout_risk") == 1).alias("at_risk"),
+                           F.count_if(F.col("stockout_risk") == 0).alias("safe"))
     m["pct_at_risk"] = round(100.0 * m["at_risk"] / max(m["rows"], 1), 1)
     m["path"] = path
     return m
@@ -111,15 +116,16 @@ def run_models(spark: SparkSession, gold_path: str, out_dir: str, num_trees: int
 
 def run_recommend(spark: SparkSession, model_output: str, out_dir: str, fmt: str = "parquet",
                   texts: dict | None = None) -> dict:
-    """Rules over the scored table, written as CSV; summary observed."""
+    """Rules over the scored table, written as CSV, with the R4 summary."""
     scored = (io.read_csv(spark, model_output) if fmt == "csv" else io.read_parquet(spark, model_output))
     recs = rc.recommend(scored, texts)
     path = f"{out_dir.rstrip('/')}/{RECOMMENDATIONS}"
     p = F.col("priority")
-    return _write_observed(recs, "recommend", lambda d: io.write_csv(d, path),
-                           F.count_if(p == rc.HIGH).alias("high"),
-                           F.count_if(p == rc.MEDIUM).alias("medium"),
-                           F.count_if(p == rc.LOW).alias("low"))
+    return _write_and_measure(recs, lambda d: io.write_csv(d, path),
+                              lambda: io.read_csv(spark, path, schema=recs.schema),
+                              F.count_if(p == rc.HIGH).alias("high"),
+                              F.count_if(p == rc.MEDIUM).alias("medium"),
+                              F.count_if(p == rc.LOW).alias("low"))
 
 
 def main(argv: list[str]) -> None:
