@@ -52,18 +52,6 @@ PRODUCT = "product_id"
 # Sales rows
 # --------------------------------------------------------------------------
 
-def _trx_base(trx: DataFrame, roles: TransactionRoles, labels) -> DataFrame:
-    """(product_id, q, is_sale, is_neg, day): the four columns gold reads."""
-    q = safe_double(trx, roles.quantity)
-    return trx.select(
-        qcol(roles.product).alias(PRODUCT),
-        q.alias("q"),
-        is_sale(qcol(roles.type), labels).alias("is_sale"),
-        F.coalesce(q < 0, F.lit(False)).alias("is_neg"),
-        safe_date(trx, roles.date).alias("day"),
-    )
-
-
 def any_sale(trx: DataFrame, roles: TransactionRoles, labels=SALE_LABELS) -> Column:
     """Scalar: does any row of the whole table carry a sale label?
 
@@ -102,37 +90,39 @@ def movement_summary(trx: DataFrame, roles: TransactionRoles | None = None,
 
     total_sales / active_days are null for a product with no sales row,
     exactly as the reference's left join of the sales aggregate gives.
-    Both the labelled and the negative-quantity variants are aggregated in
-    the same pass; the global fallback flag picks one per row of output.
+
+    One scan, two aggregation levels, both reduced map side:
+    1. (product, day of a sales row) -> sums. Rows that are not sales (and
+       sales without a date) of a product share one null-day group, so this
+       level only keeps one row per product and selling day;
+    2. product -> sums, and active_days = groups with a sale and a day.
+    Whether "sale" means a labelled row or (global fallback) a negative
+    quantity is decided by the EXISTS flag, evaluated once per query.
     """
     roles = roles or resolve_transaction_roles(trx.columns)
-    base = _trx_base(trx, roles, labels)
-    daily = base.groupBy(PRODUCT, "day").agg(
+    q = safe_double(trx, roles.quantity)
+    sale = is_sale(qcol(roles.type), labels)
+    if fallback:
+        sale = F.when(any_sale(trx, roles, labels), sale).otherwise(F.coalesce(q < 0, F.lit(False)))
+    base = trx.select(qcol(roles.product).alias(PRODUCT), q.alias("q"), sale.alias("s"),
+                      safe_date(trx, roles.date).alias("day"))
+    daily = base.groupBy(PRODUCT, F.when(F.col("s"), F.col("day")).alias("sday")).agg(
         F.sum("q").alias("net"),
-        F.sum(F.when(F.col("is_sale"), F.col("q"))).alias("sale_q"),
-        F.count_if(F.col("is_sale")).alias("sale_n"),
-        F.sum(F.when(F.col("is_neg"), F.col("q"))).alias("neg_q"),
-        F.count_if(F.col("is_neg")).alias("neg_n"),
+        F.sum(F.when(F.col("s"), F.col("q"))).alias("sq"),
+        F.count_if(F.col("s")).alias("sn"),
     )
-    dated = F.col("day").isNotNull()
     per_product = daily.groupBy(PRODUCT).agg(
         F.sum("net").alias("net_change"),
-        F.sum("sale_q").alias("sale_q"),
-        F.sum("sale_n").alias("sale_n"),
-        F.count_if((F.col("sale_n") > 0) & dated).alias("sale_days"),
-        F.sum("neg_q").alias("neg_q"),
-        F.sum("neg_n").alias("neg_n"),
-        F.count_if((F.col("neg_n") > 0) & dated).alias("neg_days"),
+        F.sum("sq").alias("sq"),
+        F.sum("sn").alias("sn"),
+        F.count_if((F.col("sn") > 0) & F.col("sday").isNotNull()).alias("sdays"),
     )
-    use_sale = any_sale(trx, roles, labels) if fallback else F.lit(True)
-    n = F.when(use_sale, F.col("sale_n")).otherwise(F.col("neg_n"))
-    total = F.when(use_sale, F.col("sale_q")).otherwise(F.col("neg_q"))
-    days = F.when(use_sale, F.col("sale_days")).otherwise(F.col("neg_days"))
+    sold = F.col("sn") > 0
     return per_product.select(
         PRODUCT,
-        F.col("net_change"),
-        F.when(n > 0, F.abs(total)).alias("total_sales"),
-        F.when(n > 0, days).alias("active_days"),
+        "net_change",
+        F.when(sold, F.abs(F.col("sq"))).alias("total_sales"),
+        F.when(sold, F.col("sdays")).alias("active_days"),
     )
 
 

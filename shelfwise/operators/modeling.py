@@ -57,6 +57,11 @@ def split_bucket(key: str, buckets: int = 100) -> Column:
     return h % buckets
 
 
+def split_label(key: str = "product_id", train_percent: int = TRAIN_PERCENT) -> Column:
+    """'train' / 'test' by the hash bucket of ``key``."""
+    return F.when(split_bucket(key) < train_percent, F.lit("train")).otherwise(F.lit("test"))
+
+
 def split(df: DataFrame, key: str = "product_id", train_percent: int = TRAIN_PERCENT):
     """M4: (train, test) by a hash bucket of ``key``.
 

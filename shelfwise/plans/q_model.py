@@ -40,11 +40,8 @@ def assembled(spark, d):
        count(*) AS "rows", sum(stockout_risk) AS at_risk FROM gold GROUP BY 1""")
 def split_counts(spark, d):
     """M4: rows per side of the hash split (and positives per side)."""
-    g = _gold(spark, d)
-    train, test = md.split(g)
-    agg = [F.count(F.lit(1)).alias("rows"), F.sum("stockout_risk").alias("at_risk")]
-    return (train.agg(*agg).select(F.lit("train").alias("part"), "rows", "at_risk")
-            .unionByName(test.agg(*agg).select(F.lit("test").alias("part"), "rows", "at_risk")))
+    return (_gold(spark, d).groupBy(md.split_label().alias("part"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("stockout_risk").alias("at_risk")))
 
 
 _SCORE = "coalesce(safety_stock, 0.0::DOUBLE) - stock_on_hand"
