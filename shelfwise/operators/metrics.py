@@ -29,7 +29,7 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = AUC_BUCKETS) -> Da
     1. one row per distinct score with its positive / negative counts
        (reduced map side, so a score shared by many rows is one row);
     2. each distinct score goes to one of ``buckets`` equal-width buckets
-       between the exact min and max score (two scalar subqueries);
+       between the exact min and max score (one scalar subquery);
     3. negatives below a score = negatives in lower buckets (prefix over the
        bucket totals: at most ``buckets`` rows, broadcast back) +
        negatives earlier in the same bucket (window per bucket).
@@ -39,8 +39,8 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = AUC_BUCKETS) -> Da
     base = df.select(s.alias("s"), y.alias("y")).filter(F.col("s").isNotNull() & F.col("y").isNotNull())
     d = base.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("pos"),
                               F.count_if(F.col("y") != 1).alias("neg"))
-    lo = base.agg(F.min("s")).scalar()
-    hi = base.agg(F.max("s")).scalar()
+    rng = base.agg(F.struct(F.min("s").alias("lo"), F.max("s").alias("hi"))).scalar()
+    lo, hi = rng.getField("lo"), rng.getField("hi")
     # Equal-width buckets; the exact max goes to the last bucket. Buckets
     # are monotone in the score, which is all the prefix sums need.
     norm = (F.col("s") - lo) / (hi - lo)
