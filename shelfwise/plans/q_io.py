@@ -71,3 +71,17 @@ def gold_job(spark, d):
     root = _silver(spark, d)
     m = jobs.run_gold(spark, f"{root}/silver", f"{root}/gold", n_files=1)
     return io.read_parquet(spark, m["path"])
+
+
+@register("silver_stream", fx.with_views("movements_dirty") + _SILVER_TRX_SQL)
+def silver_stream(spark, d):
+    """Structured Streaming ingest of the bronze CSV files into silver
+    (availableNow), equal to the batch cleaning of the same files."""
+    from shelfwise.streaming.silver_stream import start_silver_stream
+    root = scratch_dir(spark, "stream")
+    trx = fx.movements_dirty(spark, d)
+    io.write_csv(trx, f"{root}/raw")
+    q = start_silver_stream(spark, f"{root}/raw", f"{root}/silver", trx.schema,
+                            checkpoint=f"{root}/checkpoint")
+    q.awaitTermination()
+    return io.read_parquet(spark, f"{root}/silver")

@@ -1,0 +1,33 @@
+"""Incremental silver ingest: two landings, duplicates across files dropped,
+a restart resumes from the checkpoint."""
+
+import os
+
+from shelfwise.operators import cleaning as cl
+from shelfwise.streaming.silver_stream import start_silver_stream
+from tests.conftest import rows
+
+SCHEMA = "`Product ID` string, `Transaction Type` string, Quantity string, `Transaction Date` string"
+
+
+def _land(path, lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write("Product ID,Transaction Type,Quantity,Transaction Date\n")
+        f.write("\n".join(lines) + "\n")
+
+
+def test_two_landings(spark, tmp_dir):
+    bronze, silver, ckpt = f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/ckpt"
+    _land(f"{bronze}/a.csv", ["1, SALE ,-2,2024-01-02", "1, SALE ,-2,2024-01-02", "2,RETURN,n/a,bad"])
+    q = start_silver_stream(spark, bronze, silver, SCHEMA, checkpoint=ckpt)
+    q.awaitTermination()
+    first = spark.read.parquet(silver)
+    assert first.count() == 2
+    _land(f"{bronze}/b.csv", ["1, SALE ,-2,2024-01-02", "3,OUT,-1,2024-01-03"])
+    q = start_silver_stream(spark, bronze, silver, SCHEMA, checkpoint=ckpt)
+    q.awaitTermination()
+    out = spark.read.parquet(silver)
+    assert out.count() == 3
+    batch = cl.clean_transactions(spark.read.csv(bronze, header=True, schema=SCHEMA))
+    assert rows(out, ["transaction_id"]) == rows(batch.select(*out.columns), ["transaction_id"])
