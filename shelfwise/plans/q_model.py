@@ -37,7 +37,7 @@ def assembled(spark, d):
 
 
 @register("split_counts", _gold_cte() + f"""SELECT CASE WHEN {_BUCKET_SQL} < 80 THEN 'train' ELSE 'test' END AS part,
-       count(*) AS "rows", sum(stockout_risk) AS at_risk FROM gold GROUP BY 1""")
+       count(*) AS "rows", CAST(sum(stockout_risk) AS BIGINT) AS at_risk FROM gold GROUP BY 1""")
 def split_counts(spark, d):
     """M4: rows per side of the hash split (and positives per side)."""
     return (_gold(spark, d).groupBy(md.split_label().alias("part"))

@@ -27,7 +27,7 @@ def row_counts(spark, d):
 
 
 @register("risk_summary", _gold_cte() + """SELECT count(*) AS total,
-       count_if(stockout_risk = 1) AS at_risk, count_if(stockout_risk = 0) AS safe,
+       CAST(count_if(stockout_risk = 1) AS BIGINT) AS at_risk, CAST(count_if(stockout_risk = 0) AS BIGINT) AS safe,
        round(100.0 * count_if(stockout_risk = 1) / greatest(count(*), 1), 1) AS pct_at_risk,
        round(100.0 * count_if(stockout_risk = 0) / greatest(count(*), 1), 1) AS pct_safe
 FROM gold""")
@@ -109,8 +109,9 @@ def recommend(spark, d):
     return rc.recommend(scored(spark, d))
 
 
-@register("priority_summary", _gold_cte(_SCORED + _RECS) + """SELECT count_if(priority = 'HIGH') AS high,
-       count_if(priority = 'MEDIUM') AS medium, count_if(priority = 'LOW') AS low, count(*) AS total FROM recs""")
+@register("priority_summary", _gold_cte(_SCORED + _RECS) + """SELECT CAST(count_if(priority = 'HIGH') AS BIGINT) AS high,
+       CAST(count_if(priority = 'MEDIUM') AS BIGINT) AS medium, CAST(count_if(priority = 'LOW') AS BIGINT) AS low,
+       count(*) AS total FROM recs""")
 def priority_summary(spark, d):
     """R4."""
     return rc.priority_summary(rc.recommend(scored(spark, d)))
