@@ -1,6 +1,6 @@
 """Gold features: one row per product.
 
-Plan shape (see README "Physical plan"):
+Plan shape (see README "Physical design"):
 
 * movements are scanned once. ``movement_summary`` groups by
   (product, day) and then by product, with map-side partial aggregation at
@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwise.functions.columns import (
     SALE_LABELS,
