@@ -18,7 +18,8 @@ Mapping (FIXTURES.md §B):
   of 1 + suppkey % 14 days; a global variant without product and a plain
   variant without lead time.
 * the dirty variants inject padding, header spellings, unparsable text and
-  exact duplicate rows without dropping any input row.
+  exact duplicate rows (the first line of each order twice) without
+  dropping any input row.
 """
 
 from __future__ import annotations
@@ -62,10 +63,12 @@ def movements_nosale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def movements_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-looking export: spaced headers, padded text, quantity and date as
-    text with unparsable values, and an exact second copy of some rows."""
+    text with unparsable values, and the first line of every order exported
+    twice (exact duplicates; no row is dropped)."""
     ttype, qchange = _movement_cols()
     li = table(spark, sf_dir, "lineitem")
-    base = li.select(
+    copies = F.when(F.col("l_linenumber") == 1, F.lit(2)).otherwise(F.lit(1))
+    return li.select(
         F.col("l_partkey").alias(" Product ID"),
         F.concat(F.lit("  "), ttype, F.lit(" ")).alias("Transaction Type"),
         F.when(F.col("l_partkey") % 7 == 0, F.lit("n/a"))
@@ -73,10 +76,8 @@ def movements_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_partkey") % 11 == 0, F.lit("bad"))
          .otherwise(F.col("l_shipdate").cast("string")).alias("Transaction Date"),
         F.col("l_suppkey").alias("Supplier-ID"),
-        F.col("l_orderkey").alias("_ok"),
-    )
-    both = base.unionByName(base.filter(F.col("_ok") % 10 == 0))
-    return both.drop("_ok")
+        F.explode(F.sequence(F.lit(1), copies)).alias("_copy"),
+    ).drop("_copy")
 
 
 # ---------------------------------------------------------------- inventory
@@ -179,9 +180,9 @@ SQL_VIEWS = {
   SELECT l_partkey AS " Product ID", concat('  ', {_MOVEMENT_TYPE_SQL}, ' ') AS "Transaction Type",
          CASE WHEN l_partkey % 7 = 0 THEN 'n/a' ELSE CAST({_MOVEMENT_Q_SQL} AS VARCHAR) END AS "Quantity",
          CASE WHEN l_partkey % 11 = 0 THEN 'bad' ELSE CAST(l_shipdate AS VARCHAR) END AS "Transaction Date",
-         l_suppkey AS "Supplier-ID", l_orderkey AS _ok
+         l_suppkey AS "Supplier-ID", l_linenumber AS _ln
   FROM lineitem)
-SELECT * EXCLUDE (_ok) FROM b UNION ALL SELECT * EXCLUDE (_ok) FROM b WHERE _ok % 10 = 0""",
+SELECT * EXCLUDE (_ln) FROM b UNION ALL SELECT * EXCLUDE (_ln) FROM b WHERE _ln = 1""",
     "inventory": f"""SELECT p_partkey AS product_id, CAST(p_size AS DOUBLE) * 10 AS stock_quantity,
        CAST(p_size AS DOUBLE) AS reorder_level, p_retailprice AS unit_price, d.date_received, d.last_order_date
   FROM part LEFT JOIN {_DATES_SQL} d ON p_partkey = d.l_partkey""",

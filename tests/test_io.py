@@ -72,9 +72,14 @@ def test_silver_gold_jobs(spark, tmp_dir):
     assert counts[jobs.INVENTORY] == 200 and counts[jobs.TRANSACTIONS] > 5000
     m = jobs.run_gold(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold", n_files=1)
     assert m["rows"] == 200 and m["at_risk"] + m["safe"] == 200
-    recs_in = spark.read.parquet(m["path"]).selectExpr("product_id", "stock_on_hand",
-                                                        "stockout_risk AS predicted_stockout",
-                                                        "reorder_point AS predicted_rop")
-    io.write_parquet(recs_in, f"{tmp_dir}/model_output")
-    s = jobs.run_recommend(spark, f"{tmp_dir}/model_output", f"{tmp_dir}/out")
+    r = jobs.run_models(spark, m["path"], f"{tmp_dir}/models", num_trees=5)
+    assert 0.5 <= r["auc"] <= 1.0 and r["r2"] <= 1.0
+    assert list(r["importances"]) == ["initial_stock_quantity", "stock_on_hand", "total_sales", "active_days",
+                                      "daily_sales_velocity", "actual_lead_time", "avg_lead_time_days",
+                                      "procurement_lead_time"]
+    from pyspark.ml import PipelineModel
+    assert PipelineModel.load(f"{tmp_dir}/models/risk_model").stages[-1].getNumTrees == 5
+    s = jobs.run_recommend(spark, r["model_output"], f"{tmp_dir}/out")
     assert s["rows"] == 200 and s["high"] + s["medium"] + s["low"] == 200
+    back = io.read_csv(spark, f"{tmp_dir}/out/{jobs.RECOMMENDATIONS}", infer_schema=True)
+    assert {"priority", "recommended_order", "insight", "predicted_rop"} <= set(back.columns)
