@@ -8,53 +8,78 @@ equal the MLlib evaluators.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import qcol
 
-# Buckets of the score range used by the AUC prefix sums. Bucket totals are
-# at most AUC_BUCKETS rows, which is what goes through a window
-# without a partition key.
+# Buckets of the distinct scores used by the AUC prefix sums. The per-bucket
+# rows (at most AUC_BUCKETS) are what goes through a window without a
+# partition key.
 AUC_BUCKETS = 1024
 
 
-def auc(df: DataFrame, label: str, score: str, buckets: int = AUC_BUCKETS) -> DataFrame:
+def count_le(bounds: Column, x: Column, size: int) -> Column:
+    """Number of elements of the ascending array ``bounds`` (``size`` long)
+    that are <= ``x``: a binary search of ceil(log2(size + 1)) steps."""
+    steps = max(1, math.ceil(math.log2(size + 1)))
+    init = F.struct(F.lit(0).alias("lo"), F.lit(size).alias("hi"))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = ((lo + hi) / 2).cast("int")
+        right = F.coalesce(F.try_element_at(bounds, mid + 1) <= x, F.lit(False))
+        active = lo < hi
+        return F.struct(F.when(active & right, mid + 1).otherwise(lo).alias("lo"),
+                        F.when(active & ~right, mid).otherwise(hi).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+
+
+def auc(df: DataFrame, label: str, score: str, buckets: int = AUC_BUCKETS,
+        accuracy: int = 10000) -> DataFrame:
     """Area under the ROC curve of ``score`` for a 0/1 ``label`` (one row: ``auc``).
 
     Equals the Mann-Whitney statistic with ties counted one half, i.e.
-    Spark's ``BinaryClassificationEvaluator`` (trapezoids over thresholds).
+    Spark's ``BinaryClassificationEvaluator`` (trapezoids over thresholds)
+    with ``numBins=0``; the evaluator's default down-samples the curve to
+    1000 bins, so it is approximate beyond 1000 distinct scores.
 
     Distributed prefix sums, no single-partition sort of the data:
     1. one row per distinct score with its positive / negative counts
        (reduced map side, so a score shared by many rows is one row);
-    2. each distinct score goes to one of ``buckets`` equal-width buckets
-       between the exact min and max score (one scalar subquery);
-    3. negatives below a score = negatives in lower buckets (prefix over the
-       bucket totals: at most ``buckets`` rows, broadcast back) +
-       negatives earlier in the same bucket (window per bucket).
+    2. ``buckets - 1`` approximate quantiles of the distinct scores (one
+       scalar subquery) cut them into ``buckets`` ranges of about equal
+       size, whatever the score distribution; a binary search places each
+       score. The bucket is computed in one place only, so every later step
+       sees the same bounds;
+    3. per bucket (window partitioned by bucket): negatives earlier in the
+       bucket; then one row per bucket with its partial sum and totals;
+    4. over the at most ``buckets`` bucket rows: negatives in lower buckets.
+    The bucketing only spreads the work: the result is exact for any bounds.
     """
     s = qcol(score).cast("double")
     y = qcol(label).cast("double")
     base = df.select(s.alias("s"), y.alias("y")).filter(F.col("s").isNotNull() & F.col("y").isNotNull())
     d = base.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("pos"),
                               F.count_if(F.col("y") != 1).alias("neg"))
-    rng = base.agg(F.struct(F.min("s").alias("lo"), F.max("s").alias("hi"))).scalar()
-    lo, hi = rng.getField("lo"), rng.getField("hi")
-    # Equal-width buckets; the exact max goes to the last bucket. Buckets
-    # are monotone in the score, which is all the prefix sums need.
-    norm = (F.col("s") - lo) / (hi - lo)
-    bucket = F.when(hi > lo, F.least(F.floor(norm * buckets), F.lit(buckets - 1))).otherwise(F.lit(0))
-    d = d.withColumn("b", bucket.cast("int"))
-    totals = d.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("neg_lower"))
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = d.agg(F.percentile_approx("s", probs, accuracy).alias("q")).scalar()
+    # (a subquery may not sit inside the search's lambda: project it first)
+    d = (d.withColumn("_q", bounds)
+          .withColumn("b", count_le(F.col("_q"), F.col("s"), buckets - 1)).drop("_q"))
     within = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    d = (d.join(F.broadcast(totals), "b")
-          .withColumn("neg_below", F.col("neg_lower") + F.coalesce(F.sum("neg").over(within), F.lit(0))))
-    num = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
-    return d.agg(F.when((F.sum("pos") > 0) & (F.sum("neg") > 0),
-                        num / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    d = d.withColumn("neg_before", F.coalesce(F.sum("neg").over(within), F.lit(0)))
+    per_b = d.groupBy("b").agg(
+        F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)).alias("inner"),
+        F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    lower = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    per_b = per_b.withColumn("neg_lower", F.coalesce(F.sum("n").over(lower), F.lit(0)))
+    num = F.sum(F.col("inner") + F.col("p") * F.col("neg_lower"))
+    return per_b.agg(F.when((F.sum("p") > 0) & (F.sum("n") > 0),
+                            num / (F.sum("p") * F.sum("n"))).alias("auc"))
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:

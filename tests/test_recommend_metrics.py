@@ -107,3 +107,28 @@ def test_models_train_and_score(spark):
     again = md.train_risk(train, num_trees=10)
     assert (again.stages[-1].featureImportances.toArray().tolist()
             == risk.stages[-1].featureImportances.toArray().tolist())
+
+
+def test_count_le_binary_search(spark):
+    bounds = [1.0, 2.0, 2.0, 5.0, 9.0]
+    df = spark.createDataFrame([(x,) for x in (0.5, 1.0, 1.5, 2.0, 4.0, 5.0, 9.0, 10.0)], "x double")
+    got = df.select(mt.count_le(F.array(*[F.lit(b) for b in bounds]), F.col("x"), len(bounds)).alias("c"))
+    assert [r["c"] for r in got.collect()] == [sum(b <= x for b in bounds)
+                                               for x in (0.5, 1.0, 1.5, 2.0, 4.0, 5.0, 9.0, 10.0)]
+
+
+def test_auc_buckets_balanced_on_clustered_scores(spark):
+    # 95% of the distinct scores sit in the lowest 0.1% of the range
+    n = 20000
+    df = (spark.range(n).select(
+        F.when(F.col("id") % 20 == 0, F.col("id").cast("double"))
+         .otherwise(F.col("id") / (n * 1000.0)).alias("score"),
+        (F.col("id") % 3 == 0).cast("double").alias("label")))
+    # numBins=0: MLlib's exact curve (its default down-samples to 1000 bins)
+    ref = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", numBins=0).evaluate(df)
+    assert math.isclose(mt.auc(df, "label", "score", buckets=64).collect()[0]["auc"], ref, rel_tol=1e-12)
+    probs = [i / 64 for i in range(1, 64)]
+    bounds = df.agg(F.percentile_approx("score", probs, 10000).alias("q")).scalar()
+    sizes = (df.withColumn("_q", bounds)
+               .groupBy(mt.count_le(F.col("_q"), F.col("score"), 63).alias("b")).count().collect())
+    assert max(r["count"] for r in sizes) < 3 * n / 64
