@@ -61,16 +61,25 @@ def profile(df: DataFrame, cols=PROFILE_COLUMNS, digits: int = 6) -> DataFrame:
     return one.select(F.inline(rows))
 
 
-def schema_table(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """V4: (position, column, type, nullable) of a DataFrame's schema."""
-    spark = spark or df.sparkSession
-    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable)
-            for i, f in enumerate(df.schema.fields)]
-    schema = T.StructType([T.StructField("position", T.IntegerType()),
-                           T.StructField("column", T.StringType()),
-                           T.StructField("type", T.StringType()),
-                           T.StructField("nullable", T.BooleanType())])
-    return spark.createDataFrame(rows, schema)
+def schema_table(df: DataFrame, spark: SparkSession | None = None, counts: bool = True) -> DataFrame:
+    """V4: (position, column, type, nullable) of a DataFrame's schema, and
+    with ``counts`` the number of non-null values per column (one
+    aggregate pass over the data, unpivoted from its single row)."""
+    fields = df.schema.fields
+    if not counts:
+        spark = spark or df.sparkSession
+        rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(fields)]
+        schema = T.StructType([T.StructField("position", T.IntegerType()),
+                               T.StructField("column", T.StringType()),
+                               T.StructField("type", T.StringType()),
+                               T.StructField("nullable", T.BooleanType())])
+        return spark.createDataFrame(rows, schema)
+    one = df.agg(*[F.count(qcol(f.name)).alias(f"c{i}") for i, f in enumerate(fields)])
+    rows = F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column"),
+                              F.lit(f.dataType.simpleString()).alias("type"),
+                              F.lit(f.nullable).alias("nullable"), F.col(f"c{i}").alias("non_nulls"))
+                     for i, f in enumerate(fields)])
+    return one.select(F.inline(rows))
 
 
 def sample_rows(df: DataFrame, n: int = 5, order_by: list[str] | None = None,

@@ -12,7 +12,7 @@ from shelfwise.operators import recommend as rc
 from shelfwise.plans import jobs
 from shelfwise.plans.catalog import register
 from shelfwise.plans.q_clean import _SILVER_GOLD_PREFIX, _SILVER_TRX_SQL
-from shelfwise.plans.q_gold import gold_sql
+from shelfwise.plans.q_gold import GOLD_SQL, _gold, gold_sql
 from shelfwise.plans.q_report import _RECS, _SCORED, _gold_cte, scored
 from shelfwise.session import scratch_dir
 from shelfwise.sources import files as io
@@ -41,6 +41,15 @@ def json_roundtrip(spark, d):
     return cl.clean_suppliers(landed)
 
 
+@register("parquet_roundtrip", GOLD_SQL)
+def parquet_roundtrip(spark, d):
+    """Gold written as Parquet partitioned by the risk label
+    (one folder per value), read back whole."""
+    root = scratch_dir(spark, "parquet")
+    io.write_parquet(_gold(spark, d), f"{root}/gold", partition_by=["stockout_risk"])
+    return io.read_parquet(spark, f"{root}/gold")
+
+
 def _write_bronze(spark, d, root: str) -> dict:
     """The dirty fixtures as the bronze files the silver job expects."""
     trx, inv = fx.movements_dirty(spark, d), fx.inventory_dirty(spark, d)

@@ -48,6 +48,26 @@ def profile(spark, d):
     return pf.profile(_gold(spark, d))
 
 
+# The gold table contract as Spark reports it.
+GOLD_SCHEMA = [("product_id", "bigint", True), ("supplier_product_ref", "bigint", True),
+               ("initial_stock_quantity", "double", True), ("stock_on_hand", "double", False),
+               ("total_sales", "double", True), ("active_days", "bigint", True),
+               ("daily_sales_velocity", "double", False), ("actual_lead_time", "double", True),
+               ("avg_lead_time_days", "double", True), ("procurement_lead_time", "double", True),
+               ("order_buffer_index", "double", True), ("safety_stock", "double", True),
+               ("historical_reorder_level", "double", True), ("stockout_risk", "int", False),
+               ("reorder_point", "double", False)]
+_SCHEMA_SQL = "\nUNION ALL ".join(
+    f"""SELECT {i + 1} AS position, '{c}' AS "column", '{t}' AS type, {str(n).lower()} AS nullable,
+       count({c}) AS non_nulls FROM gold""" for i, (c, t, n) in enumerate(GOLD_SCHEMA))
+
+
+@register("schema_table", _gold_cte() + _SCHEMA_SQL)
+def schema_table(spark, d):
+    """V4: the gold schema with the non-null count of every column."""
+    return pf.schema_table(_gold(spark, d))
+
+
 @register("sample_rows", _gold_cte() + "SELECT * FROM gold ORDER BY product_id LIMIT 5")
 def sample_rows(spark, d):
     """V5: five gold rows, lowest product ids first."""

@@ -77,7 +77,7 @@ def test_registry_shape():
     qs, oracle = _registry()
     assert set(oracle) <= set(qs)
     assert set(qs) - set(oracle) == SLOW
-    assert len(qs) >= 58
+    assert len(qs) >= 60
 
 
 def test_entry_smoke(spark):

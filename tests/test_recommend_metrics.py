@@ -83,8 +83,10 @@ def test_risk_summary_and_counts(spark):
     assert (r["total"], r["at_risk"], r["safe"], r["pct_at_risk"]) == (3, 2, 1, 66.7)
     c = {r["table"]: r["rows"] for r in pf.row_counts(a=g, b=g.limit(1)).collect()}
     assert c == {"a": 3, "b": 1}
-    s = pf.schema_table(g).collect()
+    s = pf.schema_table(g, counts=False).collect()
     assert [(r["column"], r["type"]) for r in s] == [("stockout_risk", "int")]
+    s = pf.schema_table(g.union(spark.createDataFrame([(None,)], "stockout_risk int"))).collect()
+    assert [(r["position"], r["column"], r["type"], r["non_nulls"]) for r in s] == [(1, "stockout_risk", "int", 3)]
 
 
 def test_models_train_and_score(spark):
