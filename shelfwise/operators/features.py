@@ -32,6 +32,7 @@ from shelfwise.functions.columns import (
 from shelfwise.operators.cleaning import dedup_by_key
 from shelfwise.functions.naming import (
     InventoryRoles,
+    normalize_columns,
     SupplierRoles,
     TransactionRoles,
     resolve_inventory_roles,
@@ -264,13 +265,19 @@ def reorder_point_col(velocity: Column, procurement: Column, level: Column | Non
 def build_gold(trx: DataFrame, inv: DataFrame, sup: DataFrame,
                overrides: dict | None = None, labels=SALE_LABELS,
                fallback: bool = True, dedup: bool = True,
-               median_accuracy: int = 10000) -> DataFrame:
+               median_accuracy: int = 10000, normalize: bool = True) -> DataFrame:
     """The gold feature table: one row per inventory product.
 
-    ``overrides`` maps ``{"transactions"|"inventory"|"suppliers": {role: column}}``.
+    Column names are first normalized (C2: runs of whitespace, '-' and '/'
+    become one '_'), then roles are found on them (D1). ``overrides`` maps
+    ``{"transactions"|"inventory"|"suppliers": {role: column}}`` with
+    normalized names. Inventory rows repeating a product are reduced to
+    one: the latest received, then the greatest by every column.
     Launches no job: the result is a lazy DataFrame.
     """
     overrides = overrides or {}
+    if normalize:
+        trx, inv, sup = (normalize_columns(x, collapse=True) for x in (trx, inv, sup))
     tr = resolve_transaction_roles(trx.columns, overrides.get("transactions"))
     ir = resolve_inventory_roles(inv.columns, overrides.get("inventory"))
     sr = resolve_supplier_roles(sup.columns, overrides.get("suppliers"))
@@ -290,9 +297,12 @@ def build_gold(trx: DataFrame, inv: DataFrame, sup: DataFrame,
     ]
     if ir.reorder_level:
         inv_cols.append(safe_double(inv, ir.reorder_level).alias("historical_reorder_level"))
+    if dedup and ir.received:
+        inv_cols.append(safe_date(inv, ir.received).alias("_received"))
     inv_p = inv.select(*inv_cols)
     if dedup:
-        inv_p = dedup_by_key(inv_p, [PRODUCT])
+        inv_p = dedup_by_key(inv_p, [PRODUCT], order_by=["_received"] if ir.received else None)
+        inv_p = inv_p.drop("_received")
 
     mv = movement_summary(trx, tr, labels, fallback)
     if as_str:

@@ -124,3 +124,20 @@ def test_movement_roles_from_columns(spark, tables):
     trx, _, _ = tables
     r = resolve_transaction_roles(trx.columns)
     assert r.quantity == "quantity_change"
+
+
+def test_raw_headers_are_normalized(spark):
+    trx = spark.createDataFrame(TRX, "`Product ID` string, `Transaction-Type` string, "
+                                     "`Quantity  Change` double, `Transaction/Date` string")
+    inv = spark.createDataFrame(INV, "` Product ID` string, `Stock Quantity` double, `Reorder - Level` double, "
+                                     "`Date Received` string, `Last Order Date` string")
+    sup = spark.createDataFrame(SUP, "`Supplier ID` string, `Product ID` string, `Lead-Time Days` double")
+    got = {r["product_id"]: tuple(r[c] for c in COLS) for r in fe.build_gold(trx, inv, sup).collect()}
+    assert got == EXPECTED
+
+
+def test_duplicate_inventory_latest_received_wins(spark, tables):
+    trx, inv, sup = tables
+    newer = spark.createDataFrame([("P4", 1.0, None, "2024-01-09", "2024-01-05")], INV_SCHEMA)
+    g = fe.build_gold(trx, inv.unionByName(newer), sup).filter("product_id = 'P4'").collect()
+    assert len(g) == 1 and g[0]["initial_stock_quantity"] == 1.0 and g[0]["actual_lead_time"] == 4.0
