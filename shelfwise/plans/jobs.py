@@ -1,4 +1,4 @@
-"""End-to-end jobs: bronze -> silver -> gold -> models -> recommendations.
+"""End-to-end jobs: sources -> bronze -> silver -> gold -> models -> recommendations.
 
 Each job reads its inputs, composes the lazy operators and runs exactly one
 write per output; the gold table is built once, not once per report. Row
@@ -27,6 +27,7 @@ from shelfwise.operators import metrics as mt
 from shelfwise.operators import modeling as md
 from shelfwise.operators import recommend as rc
 from shelfwise.sources import files as io
+from shelfwise.sources.jdbc import read_jdbc
 
 # Table names of the zones.
 TRANSACTIONS, INVENTORY, SUPPLIERS = "stock_transactions", "grocery_inventory", "suppliers"
@@ -43,6 +44,35 @@ def _write_and_measure(df: DataFrame, write, read_back, *metrics) -> dict:
     return read_back().agg(F.count(F.lit(1)).alias("rows"), *metrics).first().asDict()
 
 
+def run_bronze(spark: SparkSession, bronze_dir: str, jdbc_url: str, jdbc_table: str,
+               inventory_csv: str, suppliers_json: str, jdbc_properties: dict | None = None,
+               partition_column: str | None = None, bounds: tuple | None = None,
+               num_partitions: int | None = None, pandas_nulls: bool = True) -> dict:
+    """Land the three sources in the bronze zone.
+
+    The movements table is read over JDBC in ``num_partitions`` parallel
+    ranges of ``partition_column`` (a single query when not given) and
+    written as CSV; the inventory CSV is re-written (pandas' missing-value
+    markers become empty fields when ``pandas_nulls``, as the reference's
+    pandas round trip did); the supplier JSON is parsed and written as JSON
+    lines. Returns the rows landed per table.
+    """
+    b = bronze_dir.rstrip("/")
+    lo, hi = bounds if bounds else (None, None)
+    trx = read_jdbc(spark, jdbc_url, jdbc_table, partition_column, lo, hi, num_partitions,
+                    properties=jdbc_properties)
+    tokens = io.PANDAS_NULL_TOKENS if pandas_nulls else None
+    inv = io.read_csv(spark, inventory_csv, null_tokens=tokens)
+    out = {}
+    for name, df in ((TRANSACTIONS, trx), (INVENTORY, inv)):
+        path = f"{b}/{BRONZE_FILES[name]}"
+        out[name] = _write_and_measure(df, lambda d, p=path: io.write_csv(d, p),
+                                       lambda p=path, d=df: io.read_csv(spark, p, schema=d.schema))["rows"]
+    landed = io.land_json(spark, suppliers_json, f"{b}/{BRONZE_FILES[SUPPLIERS]}")
+    out[SUPPLIERS] = landed.agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
+    return out
+
+
 def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, schemas: dict | None = None,
                null_tokens=None, id_method: str = "hash", multi_line_json: bool = True,
                n_files: int | None = None) -> dict:

@@ -83,3 +83,33 @@ def test_silver_gold_jobs(spark, tmp_dir):
     assert s["rows"] == 200 and s["high"] + s["medium"] + s["low"] == 200
     back = io.read_csv(spark, f"{tmp_dir}/out/{jobs.RECOMMENDATIONS}", infer_schema=True)
     assert {"priority", "recommended_order", "insight", "predicted_rop"} <= set(back.columns)
+
+
+def test_bronze_to_gold_from_jdbc(spark, tmp_dir):
+    from shelfwise.plans import jobs
+    url = f"jdbc:derby:{tmp_dir}/pg;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    moves = spark.createDataFrame(
+        [(1, "P1", "SALE", -3.0, "2024-01-02"), (2, "P1", "RETURN", 1.0, "2024-01-03"),
+         (3, "P2", "OUT", -2.0, "2024-01-02"), (3, "P2", "OUT", -2.0, "2024-01-02")],
+        "id int, product_id string, transaction_type string, quantity_change double, transaction_date string")
+    write_jdbc(moves, url, "stock_move", properties=props)
+    inv_csv = os.path.join(tmp_dir, "grocery-inventory.csv")
+    with open(inv_csv, "w") as f:
+        f.write("Product ID,Stock Quantity,Unit Price,Date Received,Last Order Date\n"
+                "P1,10,2.5,2024-01-05,2024-01-01\nP2,n/a,NA,2024-01-04,2024-01-02\n")
+    sup_json = os.path.join(tmp_dir, "suppliers_info.json")
+    with open(sup_json, "w") as f:
+        json.dump([{"id": 7, "product_id": "P1", "lead_time_days": 3},
+                   {"id": 8, "product_id": "P2", "lead_time_days": 5}], f, indent=2)
+    landed = jobs.run_bronze(spark, f"{tmp_dir}/raw", url, "stock_move", inv_csv, sup_json,
+                             jdbc_properties=props, partition_column="id", bounds=(1, 4), num_partitions=2)
+    assert landed == {jobs.TRANSACTIONS: 4, jobs.INVENTORY: 2, jobs.SUPPLIERS: 2}
+    counts = jobs.run_silver(spark, f"{tmp_dir}/raw", f"{tmp_dir}/silver", multi_line_json=False)
+    assert counts == {jobs.TRANSACTIONS: 3, jobs.INVENTORY: 2, jobs.SUPPLIERS: 2}
+    inv = spark.read.parquet(f"{tmp_dir}/silver/{jobs.INVENTORY}")
+    assert {r["product_id"]: r["unit_price"] for r in inv.collect()} == {"P1": 2.5, "P2": 2.5}
+    m = jobs.run_gold(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold")
+    g = {r["product_id"]: r for r in spark.read.parquet(m["path"]).collect()}
+    assert g["P1"]["stock_on_hand"] == 8.0 and g["P2"]["stock_on_hand"] == 0.0
+    assert g["P1"]["avg_lead_time_days"] == 3.0 and g["P2"]["total_sales"] == 2.0
