@@ -29,16 +29,16 @@ from shelfwise.functions.columns import (
     safe_date,
     safe_double,
 )
-from shelfwise.operators.cleaning import dedup_by_key
 from shelfwise.functions.naming import (
     InventoryRoles,
-    normalize_columns,
     SupplierRoles,
     TransactionRoles,
+    normalize_columns,
     resolve_inventory_roles,
     resolve_supplier_roles,
     resolve_transaction_roles,
 )
+from shelfwise.operators.cleaning import dedup_by_key
 
 # Lead time used when suppliers carry none, and the factor
 # of the "double coverage" reorder point.
