@@ -74,12 +74,14 @@ def run_bronze(spark: SparkSession, bronze_dir: str, jdbc_url: str, jdbc_table:
 
 
 def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, schemas: dict | None = None,
-               null_tokens=None, id_method: str = "hash", multi_line_json: bool = True,
+               null_tokens=None, id_method: str = "hash", multi_line_json: bool | str = "auto",
                n_files: int | None = None) -> dict:
     """Read the three bronze files, clean them, write Parquet to silver.
 
     ``schemas`` (name -> StructType/DDL) skips CSV inference, which otherwise
-    reads each CSV once more in full. Returns rows written per table.
+    reads each CSV once more in full. The supplier JSON may be one document
+    (as a byte copy lands it) or JSON lines (as ``run_bronze`` writes it);
+    ``multi_line_json="auto"`` tells them apart. Returns rows written per table.
     """
     schemas = schemas or {}
     b = bronze_dir.rstrip("/")
@@ -87,8 +89,11 @@ def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, schemas: d
                       null_tokens=null_tokens)
     inv = io.read_csv(spark, f"{b}/{BRONZE_FILES[INVENTORY]}", schema=schemas.get(INVENTORY),
                       null_tokens=null_tokens)
-    sup = io.read_json(spark, f"{b}/{BRONZE_FILES[SUPPLIERS]}", multi_line=multi_line_json,
-                       schema=schemas.get(SUPPLIERS))
+    sup_schema = schemas.get(SUPPLIERS)
+    layout = multi_line_json
+    if layout == "auto" and sup_schema is not None:
+        layout = False  # nothing is inferred with a given schema: JSON lines, as run_bronze writes
+    sup = io.read_json(spark, f"{b}/{BRONZE_FILES[SUPPLIERS]}", multi_line=layout, schema=sup_schema)
     out = {}
     for name, df in ((TRANSACTIONS, cl.clean_transactions(trx, id_method)),
                      (INVENTORY, cl.clean_inventory(inv)),

@@ -51,9 +51,19 @@ def read_csv(spark: SparkSession, path: str, schema=None, header: bool = True,
     return null_tokens_to_null(df, null_tokens) if null_tokens else df
 
 
-def read_json(spark: SparkSession, path: str, multi_line: bool = True, schema=None, **options) -> DataFrame:
-    """JSON; ``multi_line`` for one document spread over many lines
-    (each file is then parsed whole), else JSON lines (split freely)."""
+def read_json(spark: SparkSession, path: str, multi_line: bool | str = True, schema=None,
+              **options) -> DataFrame:
+    """JSON; ``multi_line=True`` for one document spread over many lines
+    (each file is then parsed whole), ``False`` for JSON lines (split
+    freely), ``"auto"`` to read JSON lines and fall back to whole documents
+    when the inferred schema holds nothing but ``_corrupt_record``."""
+    if multi_line == "auto":
+        if schema is not None:
+            raise ValueError("multi_line='auto' infers the layout; pass True or False with a schema")
+        lines = read_json(spark, path, multi_line=False, **options)
+        if lines.columns == ["_corrupt_record"]:
+            return read_json(spark, path, multi_line=True, **options)
+        return lines
     reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(_schema(schema))

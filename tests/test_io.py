@@ -37,6 +37,7 @@ def test_multiline_json_and_landing(spark, tmp_dir):
         json.dump([{"id": 1, "name": "A", "lead_time": 3}, {"id": 2, "name": "B", "lead_time": 5}], f, indent=2)
     df = io.read_json(spark, src)
     assert df.count() == 2
+    assert io.read_json(spark, src, multi_line="auto").count() == 2
     landed = io.land_json(spark, src, f"{tmp_dir}/bronze")
     assert rows(landed) == rows(df)
 
@@ -105,7 +106,7 @@ def test_bronze_to_gold_from_jdbc(spark, tmp_dir):
     landed = jobs.run_bronze(spark, f"{tmp_dir}/raw", url, "stock_move", inv_csv, sup_json,
                              jdbc_properties=props, partition_column="id", bounds=(1, 4), num_partitions=2)
     assert landed == {jobs.TRANSACTIONS: 4, jobs.INVENTORY: 2, jobs.SUPPLIERS: 2}
-    counts = jobs.run_silver(spark, f"{tmp_dir}/raw", f"{tmp_dir}/silver", multi_line_json=False)
+    counts = jobs.run_silver(spark, f"{tmp_dir}/raw", f"{tmp_dir}/silver")   # JSON layout detected
     assert counts == {jobs.TRANSACTIONS: 3, jobs.INVENTORY: 2, jobs.SUPPLIERS: 2}
     inv = spark.read.parquet(f"{tmp_dir}/silver/{jobs.INVENTORY}")
     assert {r["product_id"]: r["unit_price"] for r in inv.collect()} == {"P1": 2.5, "P2": 2.5}
