@@ -83,7 +83,11 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = AUC_BUCKETS,
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """MAE, RMSE and R² in one aggregate (one row), as ``RegressionEvaluator``."""
+    """MAE, RMSE and R² in one aggregate (one row), as ``RegressionEvaluator``.
+
+    R² is null when every label is equal (no variance to explain); ANSI
+    mode would otherwise raise on the zero divisor.
+    """
     y = qcol(label).cast("double")
     p = qcol(prediction).cast("double")
     e = y - p
@@ -92,8 +96,8 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     ss_tot = F.var_pop(F.when(e.isNotNull(), y)) * n
     return df.agg(
         F.avg(F.abs(e)).alias("mae"),
-        F.sqrt(ss_res / n).alias("rmse"),
-        (F.lit(1.0) - ss_res / ss_tot).alias("r2"),
+        F.sqrt(F.try_divide(ss_res, n)).alias("rmse"),
+        (F.lit(1.0) - F.try_divide(ss_res, F.when(ss_tot > 0, ss_tot))).alias("r2"),
         n.alias("n"),
     )
 

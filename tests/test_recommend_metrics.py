@@ -134,3 +134,11 @@ def test_auc_buckets_balanced_on_clustered_scores(spark):
     sizes = (df.withColumn("_q", bounds)
                .groupBy(mt.count_le(F.col("_q"), F.col("score"), 63).alias("b")).count().collect())
     assert max(r["count"] for r in sizes) < 3 * n / 64
+
+
+def test_regression_metrics_constant_label(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "y double, p double")
+    r = mt.regression_metrics(df, "y", "p").collect()[0]
+    assert (r["mae"], r["r2"], r["n"]) == (0.5, None, 2) and math.isclose(r["rmse"], math.sqrt(0.5))
+    empty = mt.regression_metrics(spark.createDataFrame([], "y double, p double"), "y", "p").collect()[0]
+    assert (empty["mae"], empty["rmse"], empty["r2"], empty["n"]) == (None, None, None, 0)
