@@ -52,8 +52,11 @@ def assemble(df: DataFrame, features: list[str], output: str = "features") -> Da
 
 
 def split_bucket(key: str, buckets: int = 100) -> Column:
-    """Stable bucket of a key: first 7 hex digits of md5(key as text) mod ``buckets``."""
-    h = F.conv(F.substring(F.md5(qcol(key).cast("string")), 1, 7), 16, 10).cast("bigint")
+    """Stable bucket of a key: first 7 hex digits of md5(key as text) mod
+    ``buckets``; a null key hashes as the empty text, so every row lands in
+    exactly one side of a split."""
+    text = F.coalesce(qcol(key).cast("string"), F.lit(""))
+    h = F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("bigint")
     return h % buckets
 
 

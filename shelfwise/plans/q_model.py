@@ -17,7 +17,7 @@ _FILLED_SQL = ", ".join(
     f"coalesce({c}, 0) AS {c}" for c in _FEATS)
 _ASSEMBLED_SQL = ", ".join(
     f"CAST(coalesce({c}, 0) AS DOUBLE) AS x_{c}" for c in _FEATS)
-_BUCKET_SQL = "(('0x' || substr(md5(CAST(product_id AS VARCHAR)), 1, 7))::BIGINT % 100)"
+_BUCKET_SQL = "(('0x' || substr(md5(coalesce(CAST(product_id AS VARCHAR), '')), 1, 7))::BIGINT % 100)"
 
 
 @register("features_filled", _gold_cte() + f"SELECT product_id, {_FILLED_SQL} FROM gold")

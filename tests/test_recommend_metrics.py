@@ -64,6 +64,9 @@ def test_split_is_layout_independent(spark):
     b, _ = md.split(df.repartition(7).orderBy(F.rand(1)))
     assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in b.collect())
     assert 750 < a.count() < 850
+    with_null = spark.createDataFrame([(None,), (1,)], "product_id long")
+    tr, te = md.split(with_null)
+    assert tr.count() + te.count() == 2
 
 
 def test_profile_equals_describe(spark):
