@@ -43,8 +43,36 @@ def normalize_columns(df: DataFrame, collapse: bool = False) -> DataFrame:
     return df.toDF(*normalized_names(df.columns, collapse))
 
 
-def _first(columns, pred, default=None):
-    return next((c for c in columns if pred(c)), default)
+# How each column role is found. A role matches the first
+# column (in column order) that contains every substring of one of its
+# alternatives.
+TRANSACTION_ROLE_RULES = {
+    "product": (("product",),),
+    "type": (("type",),),
+    "quantity": (("quantity",),),
+    "date": (("date",), ("time",)),
+}
+INVENTORY_ROLE_RULES = {
+    "product": (("product",),),
+    "stock": (("stock", "quantity"),),
+    "received": (("received",),),
+    "last_order": (("last_order",), ("order_date",)),
+    "reorder_level": (("reorder", "level"),),
+}
+INVENTORY_STOCK_FALLBACK = (("quantity",),)  # then the second column
+SUPPLIER_ROLE_RULES = {
+    "product": (("product",),),
+    "lead_time": (("lead_time",), ("leadtime",)),
+    "supplier_id": (("supplier", "id"),),
+}
+
+
+def _matches(column: str, alternatives) -> bool:
+    return any(all(part in column for part in alt) for alt in alternatives)
+
+
+def _first(columns, alternatives, default=None):
+    return next((c for c in columns if _matches(c, alternatives)), default)
 
 
 def _apply_overrides(roles, overrides: dict | None, columns: list[str]):
@@ -92,37 +120,28 @@ class SupplierRoles:
 
 
 def resolve_transaction_roles(columns: list[str], overrides: dict | None = None) -> TransactionRoles:
-    roles = TransactionRoles(
-        product=_first(columns, lambda c: "product" in c),
-        type=_first(columns, lambda c: "type" in c),
-        quantity=_first(columns, lambda c: "quantity" in c),
-        date=_first(columns, lambda c: "date" in c or "time" in c),
-    )
+    rules = TRANSACTION_ROLE_RULES
+    roles = TransactionRoles(**{role: _first(columns, rules[role]) for role in rules})
     roles = _apply_overrides(roles, overrides, columns)
     _require(roles, ("product", "type", "quantity", "date"), columns, "transactions")
     return roles
 
 
 def resolve_inventory_roles(columns: list[str], overrides: dict | None = None) -> InventoryRoles:
+    """Product falls back to the first column; stock to the first column
+    containing "quantity", else the second column."""
     if len(columns) < 2:
         raise ValueError(f"inventory needs at least two columns, got {columns}")
-    stock = _first(columns, lambda c: ("stock" in c and "quantity" in c) or c == "stock_quantity")
-    if stock is None:
-        stock = _first(columns, lambda c: "quantity" in c, columns[1])
-    roles = InventoryRoles(
-        product=_first(columns, lambda c: "product" in c, columns[0]),
-        stock=stock,
-        received=_first(columns, lambda c: "received" in c),
-        last_order=_first(columns, lambda c: "last_order" in c or "order_date" in c),
-        reorder_level=_first(columns, lambda c: "reorder" in c and "level" in c),
-    )
-    return _apply_overrides(roles, overrides, columns)
+    rules = INVENTORY_ROLE_RULES
+    found = {role: _first(columns, rules[role]) for role in rules}
+    if found["product"] is None:
+        found["product"] = columns[0]
+    if found["stock"] is None:
+        found["stock"] = _first(columns, INVENTORY_STOCK_FALLBACK, columns[1])
+    return _apply_overrides(InventoryRoles(**found), overrides, columns)
 
 
 def resolve_supplier_roles(columns: list[str], overrides: dict | None = None) -> SupplierRoles:
-    roles = SupplierRoles(
-        product=_first(columns, lambda c: "product" in c),
-        lead_time=_first(columns, lambda c: "lead_time" in c or "leadtime" in c),
-        supplier_id=_first(columns, lambda c: "supplier" in c and "id" in c),
-    )
+    rules = SUPPLIER_ROLE_RULES
+    roles = SupplierRoles(**{role: _first(columns, rules[role]) for role in rules})
     return _apply_overrides(roles, overrides, columns)
