@@ -120,9 +120,11 @@ def inventory_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inventory_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw-looking CSV export: odd headers, padded names, price as text."""
+    """Raw-looking CSV export: odd headers, padded names, price as text, and
+    the parts of size 1 exported twice (exact duplicates)."""
     part = table(spark, sf_dir, "part")
     dates = _product_dates(spark, sf_dir)
+    copies = F.when(F.col("p_size") == 1, F.lit(2)).otherwise(F.lit(1))
     return part.join(dates, part.p_partkey == dates.l_partkey, "left").select(
         F.col("p_partkey").alias("Product ID"),
         F.concat(F.lit(" "), F.col("p_name"), F.lit("  ")).alias("Product Name"),
@@ -132,7 +134,8 @@ def inventory_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("p_retailprice").cast("string")).alias(" Unit Price"),
         F.col("date_received").cast("string").alias("Date  Received"),
         F.col("last_order_date").cast("string").alias("Last/Order Date"),
-    )
+        F.explode(F.sequence(F.lit(1), copies)).alias("_copy"),
+    ).drop("_copy")
 
 
 # ---------------------------------------------------------------- suppliers
@@ -194,12 +197,14 @@ SELECT * EXCLUDE (_ln) FROM b UNION ALL SELECT * EXCLUDE (_ln) FROM b WHERE _ln
        CASE WHEN product_id % 3 <> 0 THEN date_received END AS date_received,
        CASE WHEN product_id % 3 <> 0 THEN last_order_date END AS last_order_date
   FROM inventory""",
-    "inventory_dirty": f"""SELECT p_partkey AS "Product ID", concat(' ', p_name, '  ') AS "Product Name",
-       CAST(p_size AS DOUBLE) * 10 AS "Stock-Quantity", p_size AS "Reorder Level",
-       CASE WHEN p_partkey % 7 = 0 THEN 'n/a' ELSE CAST(p_retailprice AS VARCHAR) END AS " Unit Price",
-       CAST(d.date_received AS VARCHAR) AS "Date  Received",
-       CAST(d.last_order_date AS VARCHAR) AS "Last/Order Date"
-  FROM part LEFT JOIN {_DATES_SQL} d ON p_partkey = d.l_partkey""",
+    "inventory_dirty": f"""WITH b AS (
+  SELECT p_partkey AS "Product ID", concat(' ', p_name, '  ') AS "Product Name",
+         CAST(p_size AS DOUBLE) * 10 AS "Stock-Quantity", p_size AS "Reorder Level",
+         CASE WHEN p_partkey % 7 = 0 THEN 'n/a' ELSE CAST(p_retailprice AS VARCHAR) END AS " Unit Price",
+         CAST(d.date_received AS VARCHAR) AS "Date  Received",
+         CAST(d.last_order_date AS VARCHAR) AS "Last/Order Date"
+  FROM part LEFT JOIN {_DATES_SQL} d ON p_partkey = d.l_partkey)
+SELECT * FROM b UNION ALL SELECT * FROM b WHERE "Reorder Level" = 1""",
     "suppliers_by_product": """SELECT supplier_id, product_id, CAST(1 + supplier_id % 14 AS DOUBLE) AS average_lead_time_days
   FROM (SELECT DISTINCT l_suppkey AS supplier_id, l_partkey AS product_id FROM lineitem)""",
     "suppliers_global": """SELECT s_suppkey AS id, s_name AS supplier_name,
