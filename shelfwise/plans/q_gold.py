@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import SALE_LABELS
-from shelfwise.functions.naming import resolve_inventory_roles
+from shelfwise.functions.naming import resolve_inventory_roles, resolve_supplier_roles
 from shelfwise.operators import features as fe
 from shelfwise.plans.catalog import register
 from shelfwise.sources import fixtures as fx
@@ -182,7 +182,6 @@ def actual_lead_time(spark, d):
   FROM suppliers_by_product) WHERE rn = 1""")
 def lead_by_product(spark, d):
     """one lead time per supplier product (lowest supplier id)."""
-    from shelfwise.functions.naming import resolve_supplier_roles
     sup = fx.suppliers_by_product(spark, d)
     return fe.supplier_lead_by_product(sup, resolve_supplier_roles(sup.columns))
 
