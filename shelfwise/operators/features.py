@@ -34,6 +34,7 @@ from shelfwise.functions.naming import (
     SupplierRoles,
     TransactionRoles,
     normalize_columns,
+    normalized_names,
     resolve_inventory_roles,
     resolve_supplier_roles,
     resolve_transaction_roles,
@@ -277,7 +278,8 @@ def build_gold(trx: DataFrame, inv: DataFrame, sup: DataFrame,
     """
     overrides = overrides or {}
     if normalize:
-        trx, inv, sup = (normalize_columns(x, collapse=True) for x in (trx, inv, sup))
+        trx, inv, sup = (x if normalized_names(x.columns, collapse=True) == x.columns
+                         else normalize_columns(x, collapse=True) for x in (trx, inv, sup))
     tr = resolve_transaction_roles(trx.columns, overrides.get("transactions"))
     ir = resolve_inventory_roles(inv.columns, overrides.get("inventory"))
     sr = resolve_supplier_roles(sup.columns, overrides.get("suppliers"))
@@ -300,9 +302,8 @@ def build_gold(trx: DataFrame, inv: DataFrame, sup: DataFrame,
     if dedup and ir.received:
         inv_cols.append(safe_date(inv, ir.received).alias("_received"))
     inv_p = inv.select(*inv_cols)
-    if dedup:
+    if dedup:  # (_received is dropped by the final projection)
         inv_p = dedup_by_key(inv_p, [PRODUCT], order_by=["_received"] if ir.received else None)
-        inv_p = inv_p.drop("_received")
 
     mv = movement_summary(trx, tr, labels, fallback)
     if as_str:
@@ -313,34 +314,37 @@ def build_gold(trx: DataFrame, inv: DataFrame, sup: DataFrame,
         leads = supplier_lead_by_product(sup, sr)
         if as_str:
             leads = leads.withColumn("sup_product_id", F.col("sup_product_id").cast("string"))
-        df = (df.join(leads, df[PRODUCT] == leads["sup_product_id"], "left")
-                .withColumnRenamed("sup_product_id", "supplier_product_ref"))
+        df = df.join(leads, df[PRODUCT] == leads["sup_product_id"], "left")
+        avg = F.col("avg_lead_time_days")
     elif mode == "global_median":
-        df = df.withColumn("avg_lead_time_days", global_median_lead(sup, sr, median_accuracy))
+        avg = global_median_lead(sup, sr, median_accuracy)
     else:
-        df = df.withColumn("avg_lead_time_days", F.lit(DEFAULT_LEAD_TIME_DAYS))
+        avg = F.lit(DEFAULT_LEAD_TIME_DAYS)
 
-    soh = stock_on_hand_col(F.col("initial_stock_quantity"), F.col("net_change"))
+    # All formulas in one projection (Catalyst shares the repeated parts).
+    stock = stock_on_hand_col(F.col("initial_stock_quantity"), F.col("net_change"))
     velocity = F.coalesce(velocity_col(F.col("total_sales"), F.col("active_days")), F.lit(0.0))
-    procurement = procurement_lead_time_col(F.col("actual_lead_time"), F.col("avg_lead_time_days"))
-    df = df.select(
-        "*",
-        soh.alias("stock_on_hand"),
-        velocity.alias("daily_sales_velocity"),
-        procurement.alias("procurement_lead_time"),
-    )
-    safety = safety_stock_col(F.col("daily_sales_velocity"), F.col("procurement_lead_time"))
+    procurement = procurement_lead_time_col(F.col("actual_lead_time"), avg)
+    safety = safety_stock_col(velocity, procurement)
     level = F.col("historical_reorder_level") if ir.reorder_level else None
-    df = df.select(
-        "*",
-        order_buffer_index_col(F.col("stock_on_hand"), F.col("daily_sales_velocity")).alias("order_buffer_index"),
-        safety.alias("safety_stock"),
-    ).select(
-        "*",
-        stockout_risk_col(F.col("stock_on_hand"), F.col("safety_stock")).alias("stockout_risk"),
-        reorder_point_col(F.col("daily_sales_velocity"), F.col("procurement_lead_time"), level).alias("reorder_point"),
-    )
-    return df.select(*gold_columns(ir, sr))
+    out = {
+        PRODUCT: F.col(PRODUCT),
+        "supplier_product_ref": F.col("sup_product_id"),
+        "initial_stock_quantity": F.col("initial_stock_quantity"),
+        "stock_on_hand": stock,
+        "total_sales": F.col("total_sales"),
+        "active_days": F.col("active_days"),
+        "daily_sales_velocity": velocity,
+        "actual_lead_time": F.col("actual_lead_time"),
+        "avg_lead_time_days": avg,
+        "procurement_lead_time": procurement,
+        "order_buffer_index": order_buffer_index_col(stock, velocity),
+        "safety_stock": safety,
+        "historical_reorder_level": level,
+        "stockout_risk": stockout_risk_col(stock, safety),
+        "reorder_point": reorder_point_col(velocity, procurement, level),
+    }
+    return df.select(*[out[c].alias(c) for c in gold_columns(ir, sr)])
 
 
 def gold_columns(ir: InventoryRoles, sr: SupplierRoles) -> list[str]:
