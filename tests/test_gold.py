@@ -141,3 +141,21 @@ def test_duplicate_inventory_latest_received_wins(spark, tables):
     newer = spark.createDataFrame([("P4", 1.0, None, "2024-01-09", "2024-01-05")], INV_SCHEMA)
     g = fe.build_gold(trx, inv.unionByName(newer), sup).filter("product_id = 'P4'").collect()
     assert len(g) == 1 and g[0]["initial_stock_quantity"] == 1.0 and g[0]["actual_lead_time"] == 4.0
+
+
+def test_options_and_overrides(spark, tables):
+    trx, inv, sup = tables
+    # fallback off: a table without labels has no sales at all
+    nolabel = trx.withColumn("transaction_type", F.lit("MOVE"))
+    g = {r["product_id"]: r for r in fe.build_gold(nolabel, inv, sup, fallback=False).collect()}
+    assert g["P1"]["total_sales"] is None and g["P1"]["daily_sales_velocity"] == 0.0
+    # with the fallback, negative quantities count
+    g = {r["product_id"]: r for r in fe.build_gold(nolabel, inv, sup).collect()}
+    assert g["P1"]["total_sales"] == 60.0
+    # dedup off keeps repeated inventory rows
+    dup = inv.unionByName(inv.filter("product_id = 'P2'"))
+    assert fe.build_gold(trx, dup, sup, dedup=False).count() == 6
+    # an override picks another column for a role
+    inv2 = inv.withColumn("product_name", F.lit("x")).select("product_name", *inv.columns)
+    with_override = fe.build_gold(trx, inv2, sup, overrides={"inventory": {"product": "product_id"}})
+    assert sorted(r["product_id"] for r in with_override.collect()) == ["P1", "P2", "P3", "P4", "P5"]

@@ -114,3 +114,14 @@ def test_bronze_to_gold_from_jdbc(spark, tmp_dir):
     g = {r["product_id"]: r for r in spark.read.parquet(m["path"]).collect()}
     assert g["P1"]["stock_on_hand"] == 8.0 and g["P2"]["stock_on_hand"] == 0.0
     assert g["P1"]["avg_lead_time_days"] == 3.0 and g["P2"]["total_sales"] == 2.0
+
+
+def test_jdbc_single_query_and_argument_check(spark, tmp_dir):
+    import pytest
+    url = f"jdbc:derby:{tmp_dir}/db2;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    write_jdbc(spark.range(5).selectExpr("CAST(id AS INT) AS id"), url, "t", properties=props)
+    back = read_jdbc(spark, url, "t", properties=props)
+    assert back.rdd.getNumPartitions() == 1 and back.count() == 5
+    with pytest.raises(ValueError):
+        read_jdbc(spark, url, "t", partition_column="id", properties=props)
