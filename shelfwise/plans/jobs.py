@@ -144,9 +144,14 @@ def run_models(spark: SparkSession, gold_path: str, out_dir: str, num_trees: int
         rop.write().overwrite().save(f"{o}/reorder_model")
     scored = md.score(gold, risk, rop)
     io.write_parquet(scored, f"{o}/{MODEL_OUTPUT}")
-    imp = {r["feature"]: r["importance"] for r in md.importances(risk, spark).collect()}
-    return {"auc": auc, "mae": reg["mae"], "r2": reg["r2"], "importances": imp,
-            "model_output": f"{o}/{MODEL_OUTPUT}"}
+    importances = md.importances(risk, spark)
+    # Recorded next to the models (the reference only printed them): one
+    # metrics row and one row per feature.
+    metrics = {"auc": auc, "mae": reg["mae"], "rmse": reg["rmse"], "r2": reg["r2"], "n_test": reg["n"]}
+    io.write_json(spark.createDataFrame([metrics]), f"{o}/metrics", n_files=1)
+    io.write_json(importances, f"{o}/importances", n_files=1)
+    imp = {r["feature"]: r["importance"] for r in importances.collect()}
+    return {**metrics, "importances": imp, "model_output": f"{o}/{MODEL_OUTPUT}"}
 
 
 def run_recommend(spark: SparkSession, model_output: str, out_dir: str, fmt: str = "parquet",

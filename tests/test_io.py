@@ -80,6 +80,9 @@ def test_silver_gold_jobs(spark, tmp_dir):
                                       "procurement_lead_time"]
     from pyspark.ml import PipelineModel
     assert PipelineModel.load(f"{tmp_dir}/models/risk_model").stages[-1].getNumTrees == 5
+    recorded = spark.read.json(f"{tmp_dir}/models/metrics").first()
+    assert recorded["auc"] == r["auc"] and recorded["n_test"] == r["n_test"]
+    assert spark.read.json(f"{tmp_dir}/models/importances").count() == 8
     s = jobs.run_recommend(spark, r["model_output"], f"{tmp_dir}/out")
     assert s["rows"] == 200 and s["high"] + s["medium"] + s["low"] == 200
     back = io.read_csv(spark, f"{tmp_dir}/out/{jobs.RECOMMENDATIONS}", infer_schema=True)
