@@ -1,6 +1,7 @@
 """Property tests: random small inputs (nulls, mixed-case labels, missing
-dates, no-sale tables) against a brute-force pandas version of the gold
-formulas; de-duplication is idempotent."""
+dates, no-sale tables) against a brute-force version of the gold formulas;
+de-duplication is idempotent; the recommendation rules keep pandas' NaN
+semantics."""
 
 import datetime as dt
 import math
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 from shelfwise.functions.columns import SALE_LABELS
 from shelfwise.operators import cleaning as cl
 from shelfwise.operators import features as fe
+from shelfwise.operators import recommend as rc
 
 TYPES = ["SALE", "sale", "Sales", "OUT", "keluar", "RETURN", "IN", "MOVE", None]
 DAYS = [None] + [dt.date(2024, 1, d) for d in range(1, 6)]
@@ -99,3 +101,32 @@ def test_dedup_idempotent(spark, rows):
     assert once.count() == len({r[0] for r in rows})
     d1 = cl.dedup_rows(df)
     assert d1.count() == len(set(rows)) == cl.dedup_rows(d1).count()
+
+
+def _pandas_rules(stockout, rop, stock):
+    """The reference's row rules with pandas semantics: missing values are
+    NaN, NaN comparisons are false, max(NaN, 0) stays NaN (-> None here)."""
+    nan = float("nan")
+    so = nan if stockout is None else float(stockout)
+    r = nan if rop is None else rop
+    sh = nan if stock is None else stock
+    if so == 1:
+        priority = "HIGH" if r > sh else "MEDIUM"
+    else:
+        priority = "LOW"
+    gap = r - sh
+    order = None if math.isnan(gap) else max(gap, 0.0)
+    return priority, order
+
+
+maybe_num = st.one_of(st.none(), st.just(float("nan")), st.integers(-50, 50).map(float))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 1)), maybe_num, maybe_num),
+                min_size=1, max_size=20))
+def test_rules_match_pandas_semantics(spark, rows):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "k int, predicted_stockout int, predicted_rop double, stock_on_hand double")
+    got = {r["k"]: (r["priority"], r["recommended_order"]) for r in rc.recommend(df).collect()}
+    assert got == {i: _pandas_rules(*r) for i, r in enumerate(rows)}
