@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, chat
+from shelfwise.llm import bpe, chat, license_scan
 from shelfwise.llm.common import table
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.simhash import simhash_components
@@ -34,6 +34,49 @@ def op1_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash_components(table(spark, d, "documents"), shingle=3, max_distance=3, segments=2)
 
 
+# The notices' distinct words, written out: the oracle shares no constant with the operator.
+_SCAN_SQL = r"""
+WITH notices(label, words) AS (VALUES
+  ('mit', ['license','mit','released','the','under']),
+  ('mit', ['a','and','any','associated','charge','copy','documentation','files','free','granted','hereby','is',
+           'obtaining','of','permission','person','software','this','to']),
+  ('apache-2', ['0','2','apache','license','licensed','the','under','version']),
+  ('apache-2', ['compliance','except','file','in','license','may','not','the','this','use','with','you']),
+  ('cc-by-nc', ['0','4','by','cc','licensed','nc','under']),
+  ('cc-by-nc', ['a','attribution','commons','creative','license','licensed','noncommercial','under']),
+  ('gpl', ['general','gnu','is','license','licensed','public','the','this','under','work']),
+  ('gpl', ['and','general','gnu','it','license','modify','of','or','public','redistribute','terms','the','under']),
+  ('bsd', ['and','are','binary','conditions','following','forms','in','met','modification','or','permitted',
+           'provided','redistribution','source','that','the','use','with','without']),
+  ('mpl-2', ['0','2','license','mozilla','of','public','subject','terms','the','to','v'])),
+w AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS ws FROM documents),
+p(label, phrase) AS (VALUES ('mit', ['the','mit','license']), ('apache-2', ['apache','license','version','2']),
+  ('cc-by-nc', ['cc','by','nc'])),
+places AS (SELECT doc_id, label, i - 1 AS pos FROM
+  (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w), p WHERE ws[i:i + len(phrase) - 1] = phrase),
+base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
+  list_distinct(list(label)) AS labels FROM places GROUP BY doc_id),
+blocks AS (SELECT doc_id, list_distinct(ws[s + 1:s + 2 * 21]) AS b FROM
+  (SELECT doc_id, ws, unnest(range(0, len(ws), 21)) AS s FROM w)),
+hits AS (SELECT doc_id, label, len(list_intersect(b, words)) / len(words) AS c FROM blocks, notices
+  WHERE len(list_intersect(b, words)) >= ceil(0.85 * len(words))),
+more AS (SELECT doc_id, max(c) AS c, list_distinct(list(label)) AS labels FROM hits GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',')
+    AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(c, 0.0) END::DOUBLE AS score
+FROM w LEFT JOIN base ON w.doc_id = base.doc_id LEFT JOIN more ON w.doc_id = more.doc_id"""
+
+
+@query("op2_license_scan", _SCAN_SQL)
+def op2_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    return license_scan.scan(table(spark, d, "documents")).drop("matches")
+
+
 @query("op7_exact_dedup", f"""
 WITH t AS (SELECT doc_id, {_LOWER} AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
