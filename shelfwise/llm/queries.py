@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, chat, license_scan
+from shelfwise.llm import bpe, chat, langid, license_scan
 from shelfwise.llm.common import table
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.simhash import simhash_components
@@ -77,6 +77,15 @@ def op2_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return license_scan.scan(table(spark, d, "documents")).drop("matches")
 
 
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
+    """The language of all documents (tested by accuracy on the held-out quarter)."""
+    docs = table(spark, d, "documents")
+    model = langid.fit(docs.where(~langid.held_out()))
+    rows = docs.select("doc_id", "text", langid.held_out().alias("held_out"))
+    return langid.predict(rows, model).drop("text")
+
+
 @query("op7_exact_dedup", f"""
 WITH t AS (SELECT doc_id, {_LOWER} AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
