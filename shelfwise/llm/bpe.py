@@ -15,8 +15,8 @@ text at a time; slices end where a piece ends for certain.
 
 Nulls and edge cases: a null or empty text has no ids; ids outside the table
 raise an error on decoding; a null list of ids decodes to null. Repeated rows
-and ids are rows like any other; other columns pass through untouched, and
-one named like an output column is an error. An empty table gives an empty
+and ids are rows like any other; other columns pass through untouched, but
+one named like an output column is replaced. An empty table gives an empty
 result.
 """
 
@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import col, ship_code
+from shelfwise.llm.common import ship_code, without
 
 MEMO_PIECES = 400_000   # pieces kept by a worker, about 100 MB
 MEMO_CHARS = 64         # longer pieces are not kept
@@ -220,13 +220,6 @@ def codec(ranks: str, pattern: str | None = None) -> Codec:
     return _CODECS[key]
 
 
-def _with_columns(df: DataFrame, new: list[T.StructField]) -> T.StructType:
-    taken = {c.lower() for c in df.columns}
-    if clash := [f.name for f in new if f.name.lower() in taken]:
-        raise ValueError(f"the input already has {clash}; rename or drop first")
-    return T.StructType([*df.schema.fields, *new])
-
-
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, arrays)])
     values = np.concatenate([np.zeros(0, np.int32), *arrays])
@@ -244,7 +237,8 @@ def encode(docs: DataFrame, text_col: str = "text", ranks: str = "byte_bpe_multi
     ship_code(docs.sparkSession)
     ints = T.ArrayType(T.IntegerType(), False)
     new = [T.StructField(n, ints, False) for n in [ids_col, *(["starts", "ends"] if offsets else [])]]
-    schema = _with_columns(docs, new)
+    docs = without(docs, [f.name for f in new])
+    schema = T.StructType([*docs.schema.fields, *new])
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +260,8 @@ def decode(rows: DataFrame, ids_col: str = "ids", ranks: str = "byte_bpe_multi_5
            pattern: str | None = None, bytes_col: str = "decoded") -> DataFrame:
     """``rows`` with the bytes of its ids (binary; cast to string for the text)."""
     ship_code(rows.sparkSession)
-    schema = _with_columns(rows, [T.StructField(bytes_col, T.BinaryType())])
+    rows = without(rows, [bytes_col])
+    schema = T.StructType([*rows.schema.fields, T.StructField(bytes_col, T.BinaryType())])
     at = rows.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,6 +24,12 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def without(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` without the columns that would clash with new ones of these names."""
+    taken = {n.lower() for n in names}
+    return df.select(*[col(c) for c in df.columns if c.lower() not in taken])
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z, every other character as it is.
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import col, ship_code
+from shelfwise.llm.common import col, ship_code, without
 
 HASH_BITS = 15
 SAMPLE_ROWS = 4000
@@ -221,8 +221,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", label: str = "lang_pred",
             score: str = "score") -> DataFrame:
-    """``docs`` with the predicted label and its calibrated probability. Reads the text only."""
+    """``docs`` with the predicted label and its calibrated probability. Reads the text only;
+    an input column named like an output column is replaced."""
     ship_code(docs.sparkSession)
+    docs = without(docs, [label, score])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x labels, whatever the input
     at = docs.columns.index(text_col)
     names = [*docs.columns, label, score]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, chat, langid, license_scan
+from shelfwise.llm import bpe, chat, langid, license_scan, mixing
 from shelfwise.llm.common import table
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.simhash import simhash_components
@@ -77,6 +77,27 @@ def op2_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return license_scan.scan(table(spark, d, "documents")).drop("matches")
 
 
+_MIX_SQL = """
+WITH s AS (SELECT source, sum(length(text))::DOUBLE AS size FROM documents GROUP BY source),
+t AS (SELECT sum(size) AS every, sum(sqrt(size)) AS raw FROM s),
+r AS (SELECT source, sqrt(size) * every / (raw * size) AS rate FROM s, t WHERE size > 0),
+pmf AS (SELECT source, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) AS p FROM r, range(400) x(k)),
+cdf AS (SELECT source, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM pmf),
+u AS (SELECT doc_id, text, source, ('0x' || substr(md5('2024|' || doc_id), 1, 13))::BIGINT / 4503599627370496.0 AS u
+      FROM documents),
+n AS (SELECT doc_id, any_value(text) AS text, any_value(source) AS source, count(*) FILTER (c <= u) AS n_copies
+      FROM u JOIN cdf USING (source) GROUP BY doc_id)
+SELECT doc_id, text, source, copy, n_copies, md5('2025|' || doc_id || '|' || copy) AS shuffle_key
+FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM n)"""
+
+
+@query("op3_mixing", _MIX_SQL)
+def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
+    """All documents mixed to weights by the square root of their source's size."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs, alpha=0.5, epochs=1.0, seed=2024)
+
+
 @query("op4_language_id")
 def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
     """The language of all documents (tested by accuracy on the held-out quarter)."""
