@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, chat, langid, license_scan, mixing
+from shelfwise.llm import bpe, chat, html_extract, langid, license_scan, mixing, topk
 from shelfwise.llm.common import table
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.simhash import simhash_components
@@ -107,6 +107,14 @@ def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
     return langid.predict(rows, model).drop("text")
 
 
+@query("op5_html_extract")
+def op5_html_extract(spark: SparkSession, d: str) -> DataFrame:
+    """The main text of all pages (tested against a plain reader of the known page layout)."""
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    out = html_extract.main_text(pages, html_extract.fit(pages))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query("op7_exact_dedup", f"""
 WITH t AS (SELECT doc_id, {_LOWER} AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -117,6 +125,18 @@ def op7_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_groups(table(spark, d, "documents"), keep="max")
 
 
+@query("op8_topk_search", """
+WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
+def op8_topk_search(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 nearest rows for every 20th embedding."""
+    return topk.search(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query("op9_byte_bpe")
 def op9_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     """Ids of all documents and their decoding (tested against another library)."""
