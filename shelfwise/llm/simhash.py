@@ -42,12 +42,14 @@ BITS = 64
 _ROWS = 1 << 14  # shingles counted at once, which bounds the bit matrix of a long text
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """The 64-bit fingerprint of one text as an unsigned integer."""
+def shingle_hashes(text: str | None, shingle: int = 3) -> np.ndarray:
+    """XXH64 of every run of ``shingle`` words (of all words, if they are fewer)."""
     words = (text or "").encode("utf-8").lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
+    if len(words) <= shingle:
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], dtype="<u8")
     ends, at = [], 0
     for w in words:
         at += len(w)
@@ -55,15 +57,16 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
         at += 1
     starts = [0, *(e + 1 for e in ends[:-1])]
     digest = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        hashes = [digest(joined, SEED)]
-    else:
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1:])]
-    h = np.array(hashes, dtype="<u8")
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1:])], dtype="<u8")
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """The 64-bit fingerprint of one text as an unsigned integer."""
+    h = shingle_hashes(text, shingle)
     ones = np.zeros(BITS, dtype=np.int64)
     for i in range(0, len(h), _ROWS):
         part = h[i:i + _ROWS].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
@@ -132,20 +135,11 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked = distinct.join(nodes, distinct["fp"] == nodes["node"]).select("fp", "first_id", "root")
     named = linked.groupBy("root").agg(F.min("first_id").alias("component"))
     linked = linked.join(named, "root").select("fp", "component")
-    classes = (distinct.join(linked.withColumn("linked", F.lit(True)), "fp", "left")
-               .select("fp", F.when(F.col("linked"), F.col("component"))
-                       .otherwise(F.col("first_id")).alias("component_id")))
+    # Written out, so that the last join is a plain one of two shuffles: a
+    # fingerprint that many documents share is then split over tasks.
+    classes = cut_lineage(distinct.join(linked.withColumn("linked", F.lit(True)), "fp", "left")
+                          .select("fp", F.when(F.col("linked"), F.col("component"))
+                                  .otherwise(F.col("first_id")).alias("component_id")))
     return (fps.join(classes, "fp")
             .select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     "component_id"))
-
-
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     **how) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, with all their columns.
-
-    Only the ids that go are joined: they are few beside the texts. Rows with
-    a null id stay (nothing can name them)."""
-    groups = simhash_components(docs, id_col, text_col, **how)
-    goes = groups.where(col(id_col) != F.col("component_id")).select(col(id_col).alias(id_col)).distinct()
-    return docs.join(goes, id_col, "left_anti")
