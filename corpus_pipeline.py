@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import bpe, langid, mixing
 from shelfwise.llm.exact_dedup import keep_one
-from shelfwise.llm.simhash import keep_one_of_each
+from shelfwise.llm.simhash_wide import keep_one_of_each
 from shelfwise.session import scratch_dir
 
 # A document is kept if some language is this likely for it. Texts without a
@@ -34,7 +34,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose SimHash fingerprints link, the smallest id stays (operator 1)."""
+    """Of documents that share 0.8 of their five-word shingles by SimHash, the smallest
+    id stays (operator 1 with a fingerprint wide enough for that similarity)."""
     return keep_one_of_each(docs)
 
 
