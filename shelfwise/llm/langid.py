@@ -77,7 +77,7 @@ def features(text: str, bits: int = HASH_BITS) -> tuple[np.ndarray, np.ndarray]:
         mixed = [(c + np.uint32(i + 1)) * _PLACES[i] for i in range(3)]
         two = mixed[0][:-1] ^ mixed[1][1:]
         three = two[:-1] ^ mixed[2][2:]
-        grams = [mixed[0][1:], two[0 if at == 0 else 1:], three]
+        grams = [mixed[0][len(tail):], two[len(tail) - 1:], three]  # those that end in this slice
         for n, g in enumerate(grams):
             h = (g * np.uint32(0x27D4EB2F) + np.uint32(n)) * np.uint32(0x165667B1)
             counts += np.bincount(h >> shift, minlength=len(counts))
@@ -189,9 +189,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     # Each label's share of the sample is taken by hash: its expected size is
     # nine tenths of the bound, and the trainer keeps to the bound itself.
     share = 0.9 * sample_rows / len(labels)
-    rates = spark.createDataFrame([(x, min(1.0, share / n)) for x, n in per_label.items()], "label string, rate double")
+    rates = F.create_map(*[F.lit(v) for x, n in per_label.items() for v in (x, min(1.0, share / n))])
     draw = (F.conv(F.substring(F.md5(F.coalesce("id", F.lit("null"))), 1, 8), 16, 10).cast("double") / 2.0 ** 32)
-    sample = rows.withColumn("draw", draw).join(rates, "label").where("draw < rate")
+    sample = rows.withColumn("draw", draw).where(F.col("draw") < rates[F.col("label")])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
