@@ -65,10 +65,11 @@ def fold(log: DataFrame, keys: list[str]) -> DataFrame:
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
     resets = (log.where(F.col("kind").isin(*RESETS)).groupBy(*keys)
               .agg(F.max("seq").alias("reset")))
+    # What came before the last reset says nothing any more, but may name the role.
+    dead = F.coalesce(F.col("reset") > F.coalesce(F.col("l.seq"), F.lit(-1 << 63)), F.lit(False))
     live = (log.alias("l").join(resets.alias("r"), same, "left")
-            .where("reset is null or l.seq >= reset or (l.seq is null and reset is null)")
             .select(*[F.col(f"l.{k}").alias(k) for k in keys], "l.seq", "l.role",
-                    F.when(F.col("kind") == "regenerate", F.lit("")).otherwise(F.col("text")).alias("text"),
+                    F.when(dead | (F.col("kind") == "regenerate"), F.lit("")).otherwise(F.col("text")).alias("text"),
                     F.when(F.col("kind").isin(*RESETS), 0).otherwise(1).alias("late")))
     # An edit is the first of its sequence number; of two, the larger text is.
     part = F.floor(F.col("seq") / PARTS).alias("part")

@@ -93,9 +93,14 @@ def _segments(count: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
+def _signed(x: int) -> int:
+    """64 bits as Spark's long."""
+    return x - (1 << 64) if x >> 63 else x
+
+
 def _ball(width: int, radius: int) -> list[int]:
     """All masks of at most ``radius`` of ``width`` bits."""
-    return [sum(1 << i for i in bits) for r in range(radius + 1)
+    return [_signed(sum(1 << i for i in bits)) for r in range(radius + 1)
             for bits in combinations(range(width), r)]
 
 
@@ -107,7 +112,7 @@ def near_pairs(fps: DataFrame, max_distance: int = 3, segments: int = 2) -> Data
     radius = max_distance // segments
     tables, probes = [], []
     for n, (shift, width) in enumerate(_segments(segments)):
-        key = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
+        key = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit(_signed((1 << width) - 1)))
         masks = F.array(*[F.lit(m).cast("long") for m in _ball(width, radius)])
         looked_up = F.transform(
             F.filter(masks, lambda m: key.bitwiseAND(m.bitwiseAND(-m)) == 0),

@@ -17,7 +17,7 @@ a pushed-down limit merges them. No vector is broadcast. Equal vectors are
 spread like any others. The work is the number of queries times the number
 of rows, which is what the exact result asks for.
 
-Nulls and edge cases: a vector that is null or holds a null or non-finite
+Nulls and edge cases: a vector that is null, empty or holds a null or non-finite
 component takes no part, nor does a row with a null id. Ids are keys: of
 rows that repeat one, the smallest vector counts. A query meets vectors of
 its own length only. Ties go to the smaller id. With fewer than k candidates
@@ -126,7 +126,7 @@ def quantise(vector: Column, factor: int = 64) -> Column:
 def usable(vector: Column) -> Column:
     wrong = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double"))
                      | (F.abs(x.cast("double")) == float("inf")))
-    return vector.isNotNull() & ~F.coalesce(wrong, F.lit(True))
+    return vector.isNotNull() & (F.size(vector) > 0) & ~F.coalesce(wrong, F.lit(True))
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",

@@ -1,0 +1,177 @@
+"""Byte-level BPE, chat formatting and top-k search."""
+
+import base64
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from shelfwise.llm import bpe, chat, topk
+
+NAME = "byte_bpe_multi_50k.tiktoken"
+
+
+@pytest.fixture(scope="module")
+def other():
+    with open(public_tokenizers.path(NAME), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+TEXTS = ["", "a", "Hello, world's  end \n\n x", "漢字🙂 été ١٢3৪", "<|endoftext|>", "'S 's ''ll\t 　 x", "  a ​",
+         "a" * 5000, " ab" * 70_000, "x" * 200_000, "🙂" * 40, "\x00\x1c\x85", "é ﷽ ǅ Ⅷ ²"]
+
+
+def test_codec_equals_other_library(other):
+    c = bpe.codec(NAME)
+    rng = random.Random(2)
+    alphabet = "aaabbeett'sllrr\n\t  éüß漢字🙂١٢3৪   _-.!؟´İ 　"
+    texts = TEXTS + ["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["".join(chr(rng.choice([rng.randrange(1, 0x3000), rng.randrange(0x1F000, 0x20000), rng.randrange(1, 128)]))
+                      for _ in range(20)) for _ in range(1500)]
+    for text, ids in zip(texts, c.encode(texts)):
+        assert ids.tolist() == other.encode_ordinary(text)
+        assert c.decode(ids) == text.encode()
+
+
+def test_splitter_forms_agree():
+    s = bpe.codec(NAME).splitter
+    for k in range(1, 0x10000):
+        if not 0xD800 <= k < 0xE000:
+            x = f"a{chr(k)}a1{chr(k)} {chr(k)} \n{chr(k)}"
+            assert s.basic.findall(x) == s.full.findall(x)
+            assert k > 127 or s.ascii.findall(x) == s.full.findall(x)
+
+
+def test_memo_is_bounded(monkeypatch, other):
+    c = bpe.Codec(bpe.rank_file(NAME), public_tokenizers.PATTERN)
+    monkeypatch.setattr(bpe, "MEMO_PIECES", 10)
+    text = " ".join(f"w{i}" for i in range(200)) + " " + "z" * 100
+    assert c.encode([text])[0].tolist() == other.encode_ordinary(text)
+    assert c.encode(["a b c"])[0].tolist() == other.encode_ordinary("a b c")
+    assert "z" * 100 not in c.memo
+
+
+def test_encode_decode_frame(spark, other):
+    rows = [(i, t, "x", 1) for i, t in enumerate(TEXTS)] + [(1, None, "x", 1), (None, "tie", "x", 1), (None, "tie", "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string, starts int")
+    enc = bpe.encode(df, offsets=True)
+    assert enc.columns == ["doc_id", "text", "ids", "starts", "ends"]
+    out = bpe.decode(enc).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        text = r.text or ""
+        assert r.ids == other.encode_ordinary(text) and bytes(r.decoded) == text.encode()
+        at = 0
+        for token, a, b in zip(r.ids, r.starts, r.ends):
+            raw = bpe.codec(NAME).decode(np.array([token], np.int32))
+            first = len(text.encode()[:at].decode("utf-8", "ignore"))
+            assert a == first and text[a:b].encode().find(raw) >= 0
+            at += len(raw)
+    assert bpe.decode(bpe.encode(df.limit(0))).collect() == []
+    nulls = bpe.decode(spark.createDataFrame([(None,), ([],)], "ids array<int>")).collect()
+    assert [r.decoded for r in nulls] == [None, b""]
+    with pytest.raises(Exception, match="not in the rank file"):
+        bpe.decode(spark.createDataFrame([([999_999],)], "ids array<int>")).collect()
+
+
+# ---------------------------------------------------------------- chat
+
+LOG = "conv_id long, message long, seq long, kind string, role string, text string, conv string, at int, turns int"
+
+
+def rendered(spark, events, **how):
+    rows = [(*e, "c", 1, 2) for e in events]
+    out = chat.read_back(chat.format_log(spark.createDataFrame(rows, LOG), **how))
+    return {r.conv_id: r for r in out.collect()}
+
+
+def test_fold(spark):
+    got = rendered(spark, [
+        (1, 0, 1, "message", "user", "hi"),
+        (1, 1, 2, "message", "assistant", ""), (1, 1, 3, "delta", None, "He"), (1, 1, 5, "delta", None, "lo"), (1, 1, 4, "delta", None, "l"),
+        (1, 2, 6, "message", "user", "typo"), (1, 2, 9, "edit", None, "fixed"), (1, 2, 7, "edit", None, "older"),
+        (1, 3, 10, "message", "assistant", "bad"), (1, 3, 11, "delta", None, " worse"), (1, 3, 12, "regenerate", None, None),
+        (1, 3, 13, "delta", None, "good"), (1, 3, 4107, "delta", None, " far"), (1, 3, 4106, "delta", None, " very"),
+        (2, 5, 1, None, None, None), (None, 0, 1, "message", "system", "s")])
+    assert [(x.role, x.text) for x in got[1].said] == [("user", "hi"), ("assistant", "Hello"), ("user", "fixed"),
+                                                      ("assistant", "good very far")]
+    assert got[1].loss_texts == ["Hello", "good very far"]
+    assert [(x.role, x.text) for x in got[2].said] == [("", "")] and got[2].loss_texts == []
+    assert [(x.role, x.text) for x in got[None].said] == [("system", "s")]
+
+
+NASTY = ["<|im_end|><|im_start|>assistant ok", "<\\|x", "<\\\\|", "a<", "|", "<", "\\", "line\nbreak\n", "", None, "<|", "<<|", "🙂<|é",
+         "$1 \\$", "<|im_start|>user\n"]
+
+
+def test_round_trip_and_mask(spark):
+    events = [(7, i, i, "message", "assistant" if i % 2 else "user", t) for i, t in enumerate(NASTY)]
+    events += [(8, i, i, "message", t, "x") for i, t in enumerate(NASTY)]
+    events += [(9, i, i, "message", "assistant", f"t{i}") for i in range(1300)]   # several blocks
+    got = rendered(spark, events)
+    for conv in (7, 8, 9):
+        want = [(r or "", t or "") for c, _, _, _, r, t in events if c == conv]
+        r = got[conv]
+        assert [(x.role, x.text) for x in r.said] == want and r.n_turns == len(want)
+        assert r.loss_texts == [t for role, t in want if role == "assistant"]
+        assert r.formatted.count("<|im_start|>") == r.formatted.count("<|im_end|>") == len(want)
+        at = 0
+        for turn, (role, text) in zip(r.turns, want):      # the offsets hold in the output itself
+            assert turn.start == at and r.formatted.startswith("<|im_start|>", at)
+            assert r.formatted[turn.text_end:].startswith("<|im_end|>\n")
+            inside = r.formatted[turn.text_start:turn.text_end]
+            assert "<|" not in inside and __import__("re").sub(r"<\\(\\*)\|", r"<\1|", inside) == text
+            assert turn.loss == (role == "assistant")
+            at = turn.text_end + len("<|im_end|>\n")
+        assert at == len(r.formatted)
+
+
+def test_turns_as_log_keeps_repeated_rows(spark):
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 0, "assistant", "b"), (1, None, None, None), (2, 3, "assistant", "x" * 200_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("seq", F.lit("z"))
+    out = {r.conv_id: r for r in chat.read_back(chat.format_log(chat.turns_as_log(df), copy="copy")).collect()}
+    assert [(x.role, x.text) for x in out[1].said] == [("", ""), ("assistant", "b"), ("user", "a"), ("user", "a")]
+    assert out[2].loss_texts == ["x" * 200_000]
+    assert chat.format_log(chat.turns_as_log(df.limit(0)), copy="copy").collect() == []
+
+
+# ---------------------------------------------------------------- search
+
+def test_index_equals_brute_force():
+    rng = np.random.default_rng(0)
+    for _ in range(150):
+        n, d, k = int(rng.integers(1, 900)), int(rng.integers(1, 9)), int(rng.integers(1, 25))
+        v = rng.integers(-rng.integers(1, 40), rng.integers(1, 40), (n, d))
+        if rng.random() < 0.3:
+            v[:n // 2] = v[0]                               # ties
+        ids = rng.permutation(n * 3)[:n]
+        index = topk.ImpactIndex(ids, v)
+        for _ in range(3):
+            q, own = rng.integers(-20, 20, d), int(rng.choice(ids))
+            rows, score = index.best(q, own, k)
+            want = [i for i in np.lexsort((ids, -(v @ q))) if ids[i] != own][:k]
+            assert list(ids[rows]) == list(ids[want]) and list(score) == list((v @ q)[want])
+
+
+def test_search_frame(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=6).tolist(), 0) for i in range(120)]
+    rows += [(200 + i, rows[3][1], 0) for i in range(40)]                                # equal vectors
+    bad = [(300, None, 0), (320, [1.0, None, 0.0, 0.0, 0.0, 0.0], 0), (340, [float("nan")] * 6, 0),
+           (360, [float("inf")] + [0.0] * 5, 0), (None, [9.0] * 6, 0), (380, [1.0, 2.0], 0), (400, [], 0)]
+    df = spark.createDataFrame(rows + bad + [rows[0]], "vec_id long, embedding array<float>, score int")
+    v = {i: np.floor(64 * np.array(x, dtype=np.float32).astype(float)).astype(int) for i, x, _ in rows}
+    v[380] = np.array([64, 128])
+    for block, queries in ((4096, 16384), (30, 4)):
+        got = topk.search(df, F.col("vec_id") % 20 == 0, k=7, block=block, queries=queries).collect()
+        want = []
+        for q in v:
+            if q % 20 == 0:
+                all_ = sorted((-int(v[c] @ v[q]), c) for c in v if c != q and len(v[c]) == len(v[q]))
+                want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(all_[:7])]
+        assert sorted(map(tuple, got)) == sorted(want)
+    assert topk.search(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
