@@ -17,7 +17,6 @@ from shelfwise.functions.naming import normalize_columns
 # columns tried in order (only the first one found is cleaned).
 DATETIME_KEYS = ("date", "time", "created")
 PRICE_CANDIDATES = ("price", "unit_price", "cost")
-NULL_MARK = "<null>"
 
 
 def trim_strings(df: DataFrame, chars: str | None = None) -> DataFrame:
@@ -41,6 +40,12 @@ def datetime_columns(df: DataFrame, keys=DATETIME_KEYS, exclude=()) -> list[str]
             and any(k in f.name.lower() for k in keys)]
 
 
+def instants(df: DataFrame) -> list[str]:
+    """Date and timestamp columns, in order: what says which of two rows is later."""
+    return [f.name for f in df.schema.fields
+            if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+
+
 def parse_datetimes(df: DataFrame, keys=DATETIME_KEYS, fmt: str | None = None,
                     exclude=()) -> DataFrame:
     """C4: string columns named like a date/time -> timestamp; bad text -> null."""
@@ -49,6 +54,17 @@ def parse_datetimes(df: DataFrame, keys=DATETIME_KEYS, fmt: str | None = None,
                        for c in df.columns])
 
 
+def lost_datetimes(raw: DataFrame, trim_chars: str | None = None, fmt: str | None = None) -> dict[str, int]:
+    """Per date-like text column of a raw table: texts that are not blank and
+    do not parse (C4 makes them null). One aggregate over those columns."""
+    df = trim_strings(normalize_columns(raw), trim_chars)
+    cols = datetime_columns(df)
+    if not cols:
+        return {}
+    lost = [F.count_if((F.length(qcol(c)) > 0) & safe_timestamp(df, c, fmt).isNull()).alias(c) for c in cols]
+    return df.agg(*lost).first().asDict()
+
+
 def fill_quantity(df: DataFrame, col: str = "quantity") -> DataFrame:
     """The column named exactly ``col`` -> double, null/unparsable -> 0.0."""
     if col not in df.columns:
@@ -56,11 +72,20 @@ def fill_quantity(df: DataFrame, col: str = "quantity") -> DataFrame:
     return df.withColumn(col, F.coalesce(qcol(col).try_cast("double"), F.lit(0.0)))
 
 
+def _part(df: DataFrame, name: str) -> Column:
+    """One value so that no two rows read alike: ``n`` for null, else the text's
+    length in bytes and the text. Instants count microseconds, whatever the
+    session's time zone."""
+    c = qcol(name)
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        c = F.unix_micros(c)
+    text = c.cast("string")
+    return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("n"))
+
+
 def content_hash(df: DataFrame, cols: list[str] | None = None) -> Column:
-    """sha-256 of the row's text form (``|``-joined, nulls marked)."""
-    cols = cols or df.columns
-    parts = [F.coalesce(qcol(c).cast("string"), F.lit(NULL_MARK)) for c in cols]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    """sha-256 of the row: equal for equal rows only, and the same in every session."""
+    return F.sha2(F.concat(*[_part(df, c) for c in cols or df.columns]), 256)
 
 
 def ensure_transaction_id(df: DataFrame, method: str = "hash") -> DataFrame:
@@ -148,16 +173,17 @@ def clean_transactions(df: DataFrame, id_method: str = "hash", trim_chars: str |
                        fmt: str | None = None, exclude=()) -> DataFrame:
     """Normalize -> trim -> parse datetimes -> quantity -> dedup -> id.
 
-    De-duplication runs before a missing ``transaction_id`` is added (with a
+    Of rows that repeat an ``id`` the latest stays, by the date and timestamp
+    columns as they are after parsing (so text and typed dates give the same
+    survivor). De-duplication runs before a missing ``transaction_id`` is added (with a
     random id added first, no two rows would ever be equal).
     """
     df = normalize_columns(df)
     df = trim_strings(df, trim_chars)
-    dt_cols = datetime_columns(df, exclude=exclude)
     df = parse_datetimes(df, fmt=fmt, exclude=exclude)
     df = fill_quantity(df)
     if "id" in df.columns:
-        df = dedup_by_key(df, ["id"], order_by=dt_cols)
+        df = dedup_by_key(df, ["id"], order_by=instants(df))
     else:
         df = dedup_rows(df)
     return ensure_transaction_id(df, id_method)

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.functions.columns import (
     SALE_LABELS,
@@ -145,20 +146,36 @@ def net_movement(trx: DataFrame, roles: TransactionRoles | None = None) -> DataF
     """sum of quantity change per product over every transaction type."""
     roles = roles or resolve_transaction_roles(trx.columns)
     return (trx.groupBy(qcol(roles.product).alias(PRODUCT))
-               .agg(F.sum(safe_double(trx, roles.quantity)).alias("total_quantity_change")))
+               .agg(F.sum(safe_double(trx, roles.quantity)).alias("net_change")))
 
 
 # --------------------------------------------------------------------------
 # Inventory side
 # --------------------------------------------------------------------------
 
-def _key(df: DataFrame, name: str, as_string: bool) -> Column:
-    c = qcol(name)
-    return c.cast("string") if as_string else c
+_RANK = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.FloatType, T.DoubleType)
 
 
-def _needs_string_keys(a: DataFrame, a_col: str, b: DataFrame, b_col: str) -> bool:
-    return dtype_of(a, a_col) != dtype_of(b, b_col)
+def key_type(*types: T.DataType) -> T.DataType:
+    """The type in which product keys of different sources are compared.
+
+    Equal types stay. Numbers meet in the widest of them (a decimal beside
+    another type as double). A text meets a number as that number: texts that
+    are none match nothing. Anything else meets as text."""
+    if len(set(types)) == 1:
+        return types[0]
+    numbers = [t for t in types if isinstance(t, _RANK)]
+    if not numbers or not all(isinstance(t, (*_RANK, T.StringType)) for t in types):
+        return T.StringType()
+    widest = max(numbers, key=lambda t: [isinstance(t, k) for k in _RANK].index(True))
+    return T.DoubleType() if isinstance(widest, (T.DecimalType, T.FloatType)) and len(set(numbers)) > 1 else widest
+
+
+def as_key(c: Column, own: T.DataType, wanted: T.DataType) -> Column:
+    """A key column in the type of ``key_type``; text that is no number becomes null."""
+    if own == wanted:
+        return c
+    return c.try_cast(wanted) if isinstance(own, T.StringType) else c.cast(wanted)
 
 
 def stock_on_hand_col(stock: Column, net: Column) -> Column:
@@ -180,25 +197,27 @@ def stock_on_hand(inv: DataFrame, trx: DataFrame,
     """Inventory LEFT JOIN net movement on product."""
     inv_roles = inv_roles or resolve_inventory_roles(inv.columns)
     trx_roles = trx_roles or resolve_transaction_roles(trx.columns)
-    as_str = _needs_string_keys(inv, inv_roles.product, trx, trx_roles.product)
-    left = inv.select(_key(inv, inv_roles.product, as_str).alias(PRODUCT),
+    own, theirs = dtype_of(inv, inv_roles.product), dtype_of(trx, trx_roles.product)
+    wanted = key_type(own, theirs)
+    left = inv.select(qcol(inv_roles.product).alias(PRODUCT), as_key(qcol(inv_roles.product), own, wanted).alias("_key"),
                       safe_double(inv, inv_roles.stock).alias("initial_stock_quantity"))
-    mv = net_movement(trx, trx_roles)
-    if as_str:
-        mv = mv.withColumn(PRODUCT, F.col(PRODUCT).cast("string"))
-    return (left.join(mv, PRODUCT, "left")
-                .select(PRODUCT, "initial_stock_quantity", "total_quantity_change",
+    net = (trx.groupBy(as_key(qcol(trx_roles.product), theirs, wanted).alias("_key"))
+              .agg(F.sum(safe_double(trx, trx_roles.quantity)).alias("net_change")))
+    return (left.join(net, "_key", "left")
+                .select(PRODUCT, "initial_stock_quantity", "net_change",
                         stock_on_hand_col(F.col("initial_stock_quantity"),
-                                          F.col("total_quantity_change")).alias("stock_on_hand")))
+                                          F.col("net_change")).alias("stock_on_hand")))
 
 
 # --------------------------------------------------------------------------
 # Supplier lead time
 # --------------------------------------------------------------------------
 
-def supplier_lead_by_product(sup: DataFrame, roles: SupplierRoles) -> DataFrame:
+def supplier_lead_by_product(sup: DataFrame, roles: SupplierRoles,
+                             wanted: T.DataType | None = None) -> DataFrame:
     """one row per supplier product: the lead time of the lowest
-    supplier id (nulls last), smallest non-null lead on ties.
+    supplier id (nulls last), smallest non-null lead on ties. With ``wanted``
+    products are told apart as keys of that type (column ``_key``).
 
     Reducing before the join keeps it one-to-one (the reference joins every
     supplier row and keeps an arbitrary one).
@@ -207,9 +226,14 @@ def supplier_lead_by_product(sup: DataFrame, roles: SupplierRoles) -> DataFrame:
     sid = qcol(roles.supplier_id) if roles.supplier_id else F.lit(None).cast("string")
     pick = F.min(F.struct(sid.isNull().alias("a"), sid.alias("b"),
                           lead.isNull().alias("c"), lead.alias("d")))
-    return (sup.groupBy(qcol(roles.product).alias("sup_product_id"))
-               .agg(pick.alias("_p"))
-               .select("sup_product_id", F.col("_p.d").alias("avg_lead_time_days")))
+    lead_value = F.col("_p.d").alias("avg_lead_time_days")
+    own = dtype_of(sup, roles.product)
+    if wanted is None:
+        return (sup.groupBy(qcol(roles.product).alias("supplied_product")).agg(pick.alias("_p"))
+                   .select("supplied_product", lead_value))
+    return (sup.groupBy(as_key(qcol(roles.product), own, wanted).alias("_key"))
+               .agg(pick.alias("_p"), F.min(qcol(roles.product)).alias("supplied_product"))
+               .select("_key", "supplied_product", lead_value))
 
 
 def global_median_lead(sup: DataFrame, roles: SupplierRoles, accuracy: int = 10000) -> Column:
@@ -285,15 +309,16 @@ def build_gold(trx: DataFrame, inv: DataFrame, sup: DataFrame,
     sr = resolve_supplier_roles(sup.columns, overrides.get("suppliers"))
     mode = supplier_lead_mode(sr)
 
-    # Key types may differ between sources (all inferred): compare as text then.
-    key_types = {dtype_of(trx, tr.product), dtype_of(inv, ir.product)}
-    if mode == "by_product":
-        key_types.add(dtype_of(sup, sr.product))
-    as_str = len(key_types) > 1
+    # Key types may differ between sources (all inferred).
+    own, moved = dtype_of(inv, ir.product), dtype_of(trx, tr.product)
+    supplied = [dtype_of(sup, sr.product)] if mode == "by_product" else []
+    wanted = key_type(own, moved, *supplied)
+    same = all(t == own for t in (moved, *supplied))
+    key = PRODUCT if same else "_key"
 
     # Inventory: only the columns gold reads, one row per product.
     inv_cols = [
-        _key(inv, ir.product, as_str).alias(PRODUCT),
+        qcol(ir.product).alias(PRODUCT),
         safe_double(inv, ir.stock).alias("initial_stock_quantity"),
         actual_lead_time_col(inv, ir).alias("actual_lead_time"),
     ]
@@ -305,16 +330,20 @@ def build_gold(trx: DataFrame, inv: DataFrame, sup: DataFrame,
     if dedup:  # (_received is dropped by the final projection)
         inv_p = dedup_by_key(inv_p, [PRODUCT], order_by=["_received"] if ir.received else None)
 
-    mv = movement_summary(trx, tr, labels, fallback)
-    if as_str:
-        mv = mv.withColumn(PRODUCT, F.col(PRODUCT).cast("string"))
-    df = inv_p.join(mv, PRODUCT, "left")
+    if same:
+        mv = movement_summary(trx, tr, labels, fallback)
+    else:  # movements are summed by the common key; the inventory keeps its own column
+        inv_p = inv_p.withColumn(key, as_key(F.col(PRODUCT), own, wanted))
+        trx = trx.withColumn(tr.product, as_key(qcol(tr.product), moved, wanted))
+        mv = movement_summary(trx, tr, labels, fallback).withColumnRenamed(PRODUCT, key)
+    df = inv_p.join(mv, key, "left")
 
     if mode == "by_product":
-        leads = supplier_lead_by_product(sup, sr)
-        if as_str:
-            leads = leads.withColumn("sup_product_id", F.col("sup_product_id").cast("string"))
-        df = df.join(leads, df[PRODUCT] == leads["sup_product_id"], "left")
+        if same:
+            leads = supplier_lead_by_product(sup, sr)
+            df = df.join(leads, df[PRODUCT] == leads["supplied_product"], "left")
+        else:
+            df = df.join(supplier_lead_by_product(sup, sr, wanted), key, "left")
         avg = F.col("avg_lead_time_days")
     elif mode == "global_median":
         avg = global_median_lead(sup, sr, median_accuracy)
@@ -329,7 +358,7 @@ def build_gold(trx: DataFrame, inv: DataFrame, sup: DataFrame,
     level = F.col("historical_reorder_level") if ir.reorder_level else None
     out = {
         PRODUCT: F.col(PRODUCT),
-        "supplier_product_ref": F.col("sup_product_id"),
+        "supplier_product_ref": F.col("supplied_product"),
         "initial_stock_quantity": F.col("initial_stock_quantity"),
         "stock_on_hand": stock,
         "total_sales": F.col("total_sales"),

@@ -66,17 +66,20 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = AUC_BUCKETS,
     d = base.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("pos"),
                               F.count_if(F.col("y") != 1).alias("neg"))
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = d.agg(F.percentile_approx("s", probs, accuracy).alias("q")).scalar()
+    # The counts are summed along so that the subquery needs the same columns
+    # as the main branch: both then read one shuffle of the distinct scores.
+    bounds = d.agg(F.struct(F.percentile_approx("s", probs, accuracy).alias("q"),
+                            F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("x")).scalar()
     # (a subquery may not sit inside the search's lambda: project it first)
-    d = (d.withColumn("_q", bounds)
-          .withColumn("b", count_le(F.col("_q"), F.col("s"), buckets - 1)).drop("_q"))
+    d = (d.withColumn("_x", bounds).withColumn("_q", F.when(F.col("_x.p") + F.col("_x.n") >= 0, F.col("_x.q")))
+          .withColumn("b", count_le(F.col("_q"), F.col("s"), buckets - 1)).drop("_q", "_x"))
     within = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("neg_before", F.coalesce(F.sum("neg").over(within), F.lit(0)))
     per_b = d.groupBy("b").agg(
         F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)).alias("inner"),
-        F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+        F.sum("pos").cast("double").alias("p"), F.sum("neg").cast("double").alias("n"))
     lower = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    per_b = per_b.withColumn("neg_lower", F.coalesce(F.sum("n").over(lower), F.lit(0)))
+    per_b = per_b.withColumn("neg_lower", F.coalesce(F.sum("n").over(lower), F.lit(0.0)))
     num = F.sum(F.col("inner") + F.col("p") * F.col("neg_lower"))
     return per_b.agg(F.when((F.sum("p") > 0) & (F.sum("n") > 0),
                             num / (F.sum("p") * F.sum("n"))).alias("auc"))

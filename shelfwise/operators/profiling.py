@@ -39,19 +39,17 @@ def risk_summary(gold: DataFrame, label: str = "stockout_risk") -> DataFrame:
     )
 
 
-def profile(df: DataFrame, cols=PROFILE_COLUMNS, digits: int = 6) -> DataFrame:
+def profile(df: DataFrame, cols=PROFILE_COLUMNS) -> DataFrame:
     """V3: count, mean, sample stddev, min, max per column (long form).
 
     Same statistics as ``df.describe()`` but numeric, one row per column.
     One aggregate over the data; the unpivot runs on its single row.
-    ``digits`` rounds mean and stddev (their last bits depend on the
-    summation order).
     """
     aggs = []
     for i, c in enumerate(cols):
         x = qcol(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.round(F.avg(x), digits).alias(f"m{i}"),
-                 F.round(F.stddev_samp(x), digits).alias(f"s{i}"),
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
+                 F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     one = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("count"),

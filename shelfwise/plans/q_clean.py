@@ -20,10 +20,16 @@ _INV_TRIMMED = """"Product ID" AS product_id, trim("Product Name") AS product_na
 _TRX_NORM = """" Product ID" AS product_id, "Transaction Type" AS transaction_type, "Quantity" AS quantity,
        "Transaction Date" AS transaction_date, "Supplier-ID" AS supplier_id"""
 
-_SILVER_TRX_SQL = """SELECT *, sha256(concat_ws('|', coalesce(CAST(product_id AS VARCHAR), '<null>'),
-         coalesce(CAST(transaction_type AS VARCHAR), '<null>'), coalesce(CAST(quantity AS VARCHAR), '<null>'),
-         coalesce(CAST(transaction_date AS VARCHAR), '<null>'), coalesce(CAST(supplier_id AS VARCHAR), '<null>')))
-         AS transaction_id
+
+
+def _id_sql(*columns: str) -> str:
+    """The content id: each value as its length in bytes, a colon and its text; null as n."""
+    parts = (f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'n')" for c in columns)
+    return f"sha256({' || '.join(parts)})"
+
+
+_SILVER_TRX_SQL = f"""SELECT *, {_id_sql('product_id', 'transaction_type', 'quantity', 'epoch_us(transaction_date)',
+                                    'supplier_id')} AS transaction_id
   FROM (SELECT DISTINCT " Product ID" AS product_id, trim("Transaction Type") AS transaction_type,
                coalesce(TRY_CAST("Quantity" AS DOUBLE), 0.0::DOUBLE) AS quantity,
                TRY_CAST(trim("Transaction Date") AS TIMESTAMP) AS transaction_date, "Supplier-ID" AS supplier_id
@@ -76,10 +82,8 @@ def fill_quantity(spark, d):
     return cl.fill_quantity(_norm(fx.movements_dirty(spark, d)))
 
 
-@register("transaction_id_hash", fx.with_views("movements") + """SELECT *, sha256(concat_ws('|',
-         coalesce(CAST(product_id AS VARCHAR), '<null>'), coalesce(CAST(transaction_type AS VARCHAR), '<null>'),
-         coalesce(CAST(quantity_change AS VARCHAR), '<null>'), coalesce(CAST(transaction_date AS VARCHAR), '<null>'),
-         coalesce(CAST(supplier_id AS VARCHAR), '<null>'))) AS transaction_id
+@register("transaction_id_hash", fx.with_views("movements") + f"""SELECT *,
+       {_id_sql('product_id', 'transaction_type', 'quantity_change', 'transaction_date', 'supplier_id')} AS transaction_id
 FROM movements""")
 def transaction_id_hash(spark, d):
     """Content-hash transaction id (sha-256 of the row text)."""
@@ -115,6 +119,17 @@ def clean_transactions(spark, d):
     return cl.clean_transactions(fx.movements_dirty(spark, d))
 
 
+@register("clean_transactions_by_id", f"""SELECT *,
+       {_id_sql('id', 'product_id', 'quantity', 'epoch_us(transaction_date)', 'supplier_id')} AS transaction_id
+FROM (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY transaction_date DESC NULLS LAST,
+        product_id DESC NULLS LAST, quantity DESC NULLS LAST, supplier_id DESC NULLS LAST) AS rn
+  FROM (SELECT l_orderkey * 8 + l_linenumber AS id, l_partkey AS product_id, CAST(l_quantity AS DOUBLE) AS quantity,
+               CAST(l_shipdate AS TIMESTAMP) AS transaction_date, l_suppkey AS supplier_id FROM lineitem)) WHERE rn = 1)""")
+def clean_transactions_by_id(spark, d):
+    """C12 with an ``id`` and typed dates: the latest row of an id stays."""
+    return cl.clean_transactions(fx.movements_by_id(spark, d))
+
+
 @register("clean_inventory", fx.with_views("inventory_dirty") + _SILVER_INV_SQL)
 def clean_inventory(spark, d):
     """The whole inventory cleaning chain."""

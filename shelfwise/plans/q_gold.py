@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import SALE_LABELS
 from shelfwise.functions.naming import resolve_inventory_roles, resolve_supplier_roles
 from shelfwise.operators import features as fe
 from shelfwise.plans.catalog import register
 from shelfwise.sources import fixtures as fx
 
-_LABELS_SQL = ", ".join(f"'{x}'" for x in SALE_LABELS)
+# Written out, not taken from the code: the oracle must notice a wrong label.
+_LABELS_SQL = "'SALE', 'SALES', 'OUT', 'KELUAR'"
 
 
 def gold_sql(trx="movements", inv="inventory", sup="suppliers_by_product", mode="by_product",
@@ -22,13 +22,13 @@ def gold_sql(trx="movements", inv="inventory", sup="suppliers_by_product", mode=
     views = [trx, inv] + ([sup] if mode != "default" else [])
     if mode == "by_product":
         lead_cte = f""",
-lead AS (SELECT product_id AS sup_product_id, average_lead_time_days FROM (
+lead AS (SELECT product_id AS supplied_product, average_lead_time_days FROM (
   SELECT product_id, average_lead_time_days, row_number() OVER (PARTITION BY product_id
          ORDER BY {sup_id} ASC NULLS LAST, average_lead_time_days ASC NULLS LAST) AS rn
   FROM {sup}) WHERE rn = 1)"""
-        lead_join = "LEFT JOIN lead l ON i.product_id = l.sup_product_id"
+        lead_join = "LEFT JOIN lead l ON i.product_id = l.supplied_product"
         lead_val = "l.average_lead_time_days"
-        ref = "l.sup_product_id AS supplier_product_ref, "
+        ref = "l.supplied_product AS supplier_product_ref, "
         ref_out = "supplier_product_ref, "
     elif mode == "global_median":
         lead_cte = f""",
@@ -51,10 +51,10 @@ sales AS (SELECT m.* FROM {trx} m CROSS JOIN flag WHERE CASE WHEN flag.any_sale
 sv AS (SELECT product_id, abs(sum(quantity_change)) AS total_sales,
               count(DISTINCT CAST(transaction_date AS DATE)) AS active_days
        FROM sales GROUP BY product_id),
-net AS (SELECT product_id, sum(quantity_change) AS total_quantity_change FROM {trx} GROUP BY product_id){lead_cte},
+net AS (SELECT product_id, sum(quantity_change) AS net_change FROM {trx} GROUP BY product_id){lead_cte},
 base AS (
   SELECT i.product_id, {ref}CAST(i.stock_quantity AS DOUBLE) AS initial_stock_quantity,
-         greatest(CAST(i.stock_quantity AS DOUBLE) + coalesce(n.total_quantity_change, 0.0::DOUBLE), 0.0::DOUBLE) AS stock_on_hand,
+         greatest(CAST(i.stock_quantity AS DOUBLE) + coalesce(n.net_change, 0.0::DOUBLE), 0.0::DOUBLE) AS stock_on_hand,
          s.total_sales, s.active_days,
          coalesce(CASE WHEN s.active_days > 0 THEN s.total_sales / s.active_days ELSE s.total_sales END, 0.0::DOUBLE)
            AS daily_sales_velocity,
@@ -97,6 +97,50 @@ def gold_fallback(spark, d):
     return _gold(spark, d, trx=fx.movements_nosale)
 
 
+@register("gold_labels", gold_sql(trx="movements_labels"))
+def gold_labels(spark, d):
+    """All four sale labels, in any case, beside other and null types."""
+    return _gold(spark, d, trx=fx.movements_labels)
+
+
+@register("gold_unsold", gold_sql(trx="movements_partial"))
+def gold_unsold(spark, d):
+    """Products without any movement: the null side of F8 and F15."""
+    return _gold(spark, d, trx=fx.movements_partial)
+
+
+_DUP_SQL = fx.with_views("movements", "inventory_dup", "suppliers_by_product").rstrip() + """,
+inv_latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY product_id
+  ORDER BY date_received DESC NULLS LAST) AS rn FROM inventory_dup) WHERE rn = 1)
+"""
+
+
+@register("gold_dup_products", gold_sql(inv="inv_latest", prefix=_DUP_SQL))
+def gold_dup_products(spark, d):
+    """An inventory that repeats products with other values: the latest received counts."""
+    return _gold(spark, d, inv=fx.inventory_dup)
+
+
+def _typed(fixture, name, kind):
+    return lambda spark, d: fixture(spark, d).withColumn(name, F.col(name).cast(kind))
+
+
+@register("gold_mixed_keys", f"SELECT * REPLACE (CAST(supplier_product_ref AS DOUBLE) AS supplier_product_ref) FROM ({GOLD_SQL})")
+def gold_mixed_keys(spark, d):
+    """Product keys as int, bigint and double: they match as numbers, and the
+    inventory's type stays."""
+    return _gold(spark, d, trx=_typed(fx.movements, "product_id", "int"),
+                 sup=_typed(fx.suppliers_by_product, "product_id", "double"))
+
+
+@register("gold_text_keys", GOLD_SQL)
+def gold_text_keys(spark, d):
+    """Zero-padded text keys in the movements against numbers elsewhere."""
+    def padded(spark, d):
+        return fx.movements(spark, d).withColumn("product_id", F.lpad(F.col("product_id").cast("string"), 12, "0"))
+    return _gold(spark, d, trx=padded)
+
+
 @register("gold_nulls", gold_sql(inv="inventory_nulls"))
 def gold_nulls(spark, d):
     """Null stock and null dates: every null rule of SURVEY §2.4."""
@@ -149,16 +193,16 @@ def sales_velocity(spark, d):
 
 
 @register("net_movement", fx.with_views("movements")
-          + "SELECT product_id, sum(quantity_change) AS total_quantity_change FROM movements GROUP BY product_id")
+          + "SELECT product_id, sum(quantity_change) AS net_change FROM movements GROUP BY product_id")
 def net_movement(spark, d):
     """F7."""
     return fe.net_movement(fx.movements(spark, d))
 
 
 @register("stock_on_hand", fx.with_views("movements", "inventory_nulls") + """SELECT i.product_id,
-       CAST(i.stock_quantity AS DOUBLE) AS initial_stock_quantity, n.total_quantity_change,
-       greatest(CAST(i.stock_quantity AS DOUBLE) + coalesce(n.total_quantity_change, 0.0::DOUBLE), 0.0::DOUBLE) AS stock_on_hand
-FROM inventory_nulls i LEFT JOIN (SELECT product_id, sum(quantity_change) AS total_quantity_change
+       CAST(i.stock_quantity AS DOUBLE) AS initial_stock_quantity, n.net_change,
+       greatest(CAST(i.stock_quantity AS DOUBLE) + coalesce(n.net_change, 0.0::DOUBLE), 0.0::DOUBLE) AS stock_on_hand
+FROM inventory_nulls i LEFT JOIN (SELECT product_id, sum(quantity_change) AS net_change
                                   FROM movements GROUP BY product_id) n ON i.product_id = n.product_id""")
 def stock_on_hand(spark, d):
     """F8/F9 (over the inventory with null stocks)."""
@@ -175,7 +219,7 @@ def actual_lead_time(spark, d):
     return inv.select(F.col("product_id"), fe.actual_lead_time_col(inv, roles).alias("actual_lead_time"))
 
 
-@register("lead_by_product", fx.with_views("suppliers_by_product") + """SELECT product_id AS sup_product_id,
+@register("lead_by_product", fx.with_views("suppliers_by_product") + """SELECT product_id AS supplied_product,
        average_lead_time_days AS avg_lead_time_days FROM (
   SELECT product_id, average_lead_time_days, row_number() OVER (PARTITION BY product_id
          ORDER BY supplier_id ASC NULLS LAST, average_lead_time_days ASC NULLS LAST) AS rn

@@ -7,6 +7,8 @@ so the check covers the writer, the reader and the job wiring.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from shelfwise.operators import cleaning as cl
 from shelfwise.operators import recommend as rc
 from shelfwise.plans import jobs
@@ -17,7 +19,7 @@ from shelfwise.plans.q_report import _RECS, _SCORED, _gold_cte, scored
 from shelfwise.session import scratch_dir
 from shelfwise.sources import files as io
 from shelfwise.sources import fixtures as fx
-from shelfwise.streaming.silver_stream import start_silver_stream
+from shelfwise.streaming.silver_stream import silver_snapshot, start_silver_stream
 
 
 @register("csv_roundtrip", _gold_cte(_SCORED + _RECS) + "SELECT * FROM recs")
@@ -57,14 +59,14 @@ def _write_bronze(spark, d, root: str) -> dict:
     sup = fx.suppliers_by_product(spark, d)
     io.write_csv(trx, f"{root}/{jobs.BRONZE_FILES[jobs.TRANSACTIONS]}")
     io.write_csv(inv, f"{root}/{jobs.BRONZE_FILES[jobs.INVENTORY]}")
-    io.write_json(sup, f"{root}/{jobs.BRONZE_FILES[jobs.SUPPLIERS]}")
+    io.write_json(sup, f"{root}/{jobs.SUPPLIERS_LINES}")
     return {jobs.TRANSACTIONS: trx.schema, jobs.INVENTORY: inv.schema, jobs.SUPPLIERS: sup.schema}
 
 
 def _silver(spark, d) -> str:
     root = scratch_dir(spark, "medallion")
     schemas = _write_bronze(spark, d, f"{root}/raw")
-    jobs.run_silver(spark, f"{root}/raw", f"{root}/silver", schemas=schemas, multi_line_json=False)
+    jobs.run_silver(spark, f"{root}/raw", f"{root}/silver", schemas=schemas, suppliers_layout="lines")
     return root
 
 
@@ -83,14 +85,62 @@ def gold_job(spark, d):
     return io.read_parquet(spark, m["path"])
 
 
+_SUPPLIERS_SQL = fx.with_views("suppliers_by_product") + "SELECT * FROM suppliers_by_product"
+
+
+def _documents(spark, d, root: str, pretty: bool) -> str:
+    """The suppliers as JSON arrays, one document in a file for each range of
+    200 products: one object on a line, or indented."""
+    sup = fx.suppliers_by_product(spark, d)
+    one = F.to_json(F.struct(*sup.columns), {"pretty": str(pretty).lower()})
+    docs = (sup.groupBy(F.floor(F.col("product_id") / 200).alias("part"))
+            .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(one), ",\n"), F.lit("\n]")).alias("value")))
+    docs.write.partitionBy("part").text(f"{root}/source")
+    return f"{root}/source/*"
+
+
+@register("json_array_lines", _SUPPLIERS_SQL)
+def json_array_lines(spark, d):
+    """An array with one object on each line, with a schema and without."""
+    root = scratch_dir(spark, "json")
+    path = _documents(spark, d, root, pretty=False)
+    schema = fx.suppliers_by_product(spark, d).schema
+    with_schema = cl.clean_suppliers(io.read_json(spark, path, schema=schema))
+    return with_schema.intersect(cl.clean_suppliers(io.read_json(spark, path)).select(*with_schema.columns))
+
+
+@register("json_document", _SUPPLIERS_SQL)
+def json_document(spark, d):
+    """Indented documents, landed as JSON lines and read with a schema and without."""
+    root = scratch_dir(spark, "json")
+    landed = io.land_json(spark, _documents(spark, d, root, pretty=True), f"{root}/bronze")
+    again = cl.clean_suppliers(io.read_json(spark, f"{root}/bronze", multi_line=False))
+    first = cl.clean_suppliers(landed)
+    return first.select(*again.columns).intersect(again)
+
+
+@register("csv_multiline_roundtrip", """SELECT p_partkey, p_name || chr(10) || '"' || p_name || '", ' || chr(10) AS note
+FROM part""")
+def csv_multiline_roundtrip(spark, d):
+    """Text with line breaks, quotes and commas through CSV."""
+    root = scratch_dir(spark, "csv")
+    name = F.col("p_name")
+    df = fx.table(spark, d, "part").select(
+        "p_partkey", F.concat(name, F.lit('\n"'), name, F.lit('", \n')).alias("note"))
+    io.write_csv(df, f"{root}/notes")
+    return io.read_csv(spark, f"{root}/notes", schema=df.schema, multiLine=True)
+
+
 @register("silver_stream", fx.with_views("movements_dirty") + _SILVER_TRX_SQL)
 def silver_stream(spark, d):
-    """Structured Streaming ingest of the bronze CSV files into silver
-    (availableNow), equal to the batch cleaning of the same files."""
+    """Structured Streaming ingest of the bronze CSV files into silver, one file at
+    a time in two runs, equal to the batch cleaning of the same files."""
     root = scratch_dir(spark, "stream")
     trx = fx.movements_dirty(spark, d)
-    io.write_csv(trx, f"{root}/raw")
-    q = start_silver_stream(spark, f"{root}/raw", f"{root}/silver", trx.schema,
-                            checkpoint=f"{root}/checkpoint")
-    q.awaitTermination()
-    return io.read_parquet(spark, f"{root}/silver")
+    for part in (0, 1):  # the copies of a row land in both
+        some = trx.where(F.col("Supplier-ID") % 2 == part).unionAll(trx.where(F.col("Supplier-ID") % 2 == 0))
+        some.write.mode("append").option("header", True).csv(f"{root}/raw")
+        q = start_silver_stream(spark, f"{root}/raw", f"{root}/silver", trx.schema,
+                                checkpoint=f"{root}/checkpoint")
+        q.awaitTermination()
+    return silver_snapshot(spark, f"{root}/silver")

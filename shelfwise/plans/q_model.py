@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -74,8 +75,9 @@ _MODELS: dict = {}
 
 
 def _models(spark, d):
-    """Both forests trained on the train split (memoised per session and input)."""
-    key = (id(spark), d)
+    """Both forests trained on the train split, once for each application and input:
+    several queries ask for the same ones."""
+    key = (spark.sparkContext.applicationId, d)
     if key not in _MODELS:
         g = _gold(spark, d)
         train, _ = md.split(g)
@@ -87,6 +89,47 @@ def _models(spark, d):
     return _MODELS[key]
 
 
+@register("score_contract", _gold_cte() + """SELECT product_id, stock_on_hand, true AS label_ok, true AS probability_ok,
+       true AS rop_ok FROM gold""")
+def score_contract(spark, d):
+    """Every product once, its stock as in gold, a 0/1 label that goes with its
+    probability, and a reorder point."""
+    p, x = F.col("stockout_probability"), F.col("predicted_stockout")
+    return score(spark, d).select(
+        "product_id", "stock_on_hand",
+        F.coalesce(x.isin(0, 1) & ((x == 1) == (p > 0.5)) | (p == 0.5), F.lit(False)).alias("label_ok"),
+        F.coalesce(p.between(0, 1), F.lit(False)).alias("probability_ok"),
+        F.coalesce(~F.isnan("predicted_rop") & (F.col("predicted_rop") >= 0), F.lit(False)).alias("rop_ok"))
+
+
+@register("importances_contract", """SELECT * FROM (VALUES (0, 'initial_stock_quantity'), (1, 'stock_on_hand'),
+  (2, 'total_sales'), (3, 'active_days'), (4, 'daily_sales_velocity'), (5, 'actual_lead_time'), (6, 'avg_lead_time_days'),
+  (7, 'procurement_lead_time')) t(position, feature), (SELECT 1.0::DOUBLE AS total, true AS none_negative)""")
+def importances_contract(spark, d):
+    """M5/M9: the eight features in order, importances that add up to 1."""
+    i = train_risk(spark, d)
+    total = i.agg(F.round(F.sum("importance"), 6).alias("total"), (F.min("importance") >= 0).alias("none_negative")).first()
+    return i.select("position", "feature", F.lit(total["total"]).alias("total"),
+                    F.lit(total["none_negative"]).alias("none_negative"))
+
+
+@register("evaluate_contract", _gold_cte() + f"""SELECT count(*) AS n, 0.0::DOUBLE AS auc_gap, 0.0::DOUBLE AS mae_gap,
+       0.0::DOUBLE AS r2_gap FROM gold WHERE {_BUCKET_SQL} >= 80""")
+def evaluate_contract(spark, d):
+    """M6-M8 on the forests' own predictions: our metrics less MLlib's, over the test rows."""
+    risk, rop = _models(spark, d)
+    filled = md.fill_zero(md.split(_gold(spark, d))[1])
+    p1 = risk.transform(filled).withColumn("p", md.positive_probability())
+    ours = mt.auc(p1.select("stockout_risk", "p"), "stockout_risk", "p").first()["auc"]
+    theirs = BinaryClassificationEvaluator(labelCol="stockout_risk", rawPredictionCol="p", numBins=0).evaluate(p1)
+    p2 = rop.transform(filled)
+    ml = md.evaluate_regression(p2)
+    reg = mt.regression_metrics(p2, "reorder_point", "prediction")
+    return reg.select("n", F.lit(abs(round(ours - theirs, 6))).alias("auc_gap"),
+                      F.abs(F.round(F.col("mae") - ml["mae"], 6)).alias("mae_gap"),
+                      F.abs(F.round(F.col("r2") - ml["r2"], 6)).alias("r2_gap"))
+
+
 @register("train_risk")
 def train_risk(spark, d):
     """M5/M9: classifier importances (feature order, summing to 1)."""

@@ -39,13 +39,15 @@ def risk_summary(spark, d):
 _PROFILE_SQL = "\nUNION ALL ".join(
     f"""SELECT '{c}' AS feature, count({c}) AS count, round(avg({c}), 6) AS mean,
        round(stddev_samp({c}), 6) AS stddev, min({c}) AS min, max({c}) AS max FROM gold"""
-    for c in pf.PROFILE_COLUMNS)
+    for c in ("daily_sales_velocity", "stock_on_hand", "procurement_lead_time",
+              "order_buffer_index", "safety_stock", "reorder_point"))
 
 
 @register("profile", _gold_cte() + _PROFILE_SQL)
 def profile(spark, d):
     """V3: describe() of the six headline features, numeric long form."""
-    return pf.profile(_gold(spark, d))
+    p = pf.profile(_gold(spark, d))
+    return p.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})  # their last bits depend on the order of sums
 
 
 # The gold table contract as Spark reports it.
@@ -90,7 +92,12 @@ def scored(spark, d):
 
 _SCORED = """, scored AS (SELECT *, CASE WHEN product_id % 10 = 0 THEN 1 - stockout_risk ELSE stockout_risk END
                        AS predicted_stockout, reorder_point * (product_id % 4) / 2.0 AS predicted_rop FROM gold)"""
-_I = rc.DEFAULT_INSIGHTS
+_I = {  # written out: the oracle must notice a wrong text
+    "HIGH": "Produk ini berisiko tinggi mengalami stockout. "
+            "Disarankan segera melakukan restock untuk menghindari kehilangan penjualan.",
+    "MEDIUM": "Produk menunjukkan potensi stockout dalam waktu dekat. "
+              "Monitoring dan restock dalam waktu dekat sangat disarankan.",
+    "LOW": "Stok produk masih dalam kondisi aman. Belum diperlukan tindakan restock dalam waktu dekat."}
 _PRIORITY = """CASE WHEN predicted_stockout = 1 AND predicted_rop > stock_on_hand THEN 'HIGH'
             WHEN predicted_stockout = 1 THEN 'MEDIUM' ELSE 'LOW' END"""
 _ORDER = """CASE WHEN predicted_rop - stock_on_hand IS NOT NULL

@@ -7,7 +7,8 @@ and tests; on a cluster the submitter's session (and its conf) is used.
 
 from __future__ import annotations
 
-import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,15 +46,15 @@ def get_session(master: str | None = None, app_name: str = "shelfwise",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the submitter and points at shared storage.
-    Only when it is unset (local tests) do we set one under the local temp
-    folder.
+    The submitter sets it to shared storage. Without it, a local session (one
+    machine, as in tests) gets a folder of its own; any other master is an
+    error, since each executor would write to its own disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "shelfwise-checkpoints")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="shelfwise-checkpoints-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -40,9 +40,10 @@ def read_csv(spark: SparkSession, path: str, schema=None, header: bool = True,
 
     With ``schema`` the inference pass (a full extra read) is skipped, which
     is what large inputs want. ``null_tokens`` reproduces pandas' missing
-    markers (``PANDAS_NULL_TOKENS``) without pandas.
+    markers (``PANDAS_NULL_TOKENS``) without pandas. ``multiLine=True`` reads
+    quoted line breaks as text; a file is then one task's work.
     """
-    reader = spark.read.option("header", header)
+    reader = spark.read.option("header", header).option("escape", '"')
     if schema is not None:
         reader = reader.schema(_schema(schema))
     else:
@@ -51,20 +52,14 @@ def read_csv(spark: SparkSession, path: str, schema=None, header: bool = True,
     return null_tokens_to_null(df, null_tokens) if null_tokens else df
 
 
-def read_json(spark: SparkSession, path: str, multi_line: bool | str = True, schema=None,
+def read_json(spark: SparkSession, path: str, multi_line: bool = True, schema=None,
               **options) -> DataFrame:
-    """JSON; ``multi_line=True`` for one document spread over many lines
-    (each file is then parsed whole), ``False`` for JSON lines (split
-    freely), ``"auto"`` to read JSON lines and fall back to whole documents
-    when the inferred schema holds nothing but ``_corrupt_record``."""
-    if multi_line == "auto":
-        if schema is not None:
-            raise ValueError("multi_line='auto' infers the layout; pass True or False with a schema")
-        lines = read_json(spark, path, multi_line=False, **options)
-        if lines.columns == ["_corrupt_record"]:
-            return read_json(spark, path, multi_line=True, **options)
-        return lines
-    reader = spark.read.option("multiLine", multi_line)
+    """JSON in the layout that the caller names: ``multi_line=True`` for one
+    document (an object or an array, over any lines) in each file, which is
+    then parsed whole; ``False`` for JSON lines, which split freely. A schema
+    never changes the layout. A record that does not parse is an error
+    (``mode="PERMISSIVE"`` keeps it as nulls)."""
+    reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(_schema(schema))
     return reader.options(**options).json(path)
@@ -83,9 +78,12 @@ def _shaped(df: DataFrame, n_files: int | None) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", n_files: int | None = None,
               **options) -> None:
-    """CSV with header; values written exactly (no whitespace trimming)."""
+    """CSV with header; values written exactly (no whitespace trimming; quotes
+    doubled, as other CSV readers expect). Text with line breaks needs
+    ``multiLine=True`` on reading."""
     (_shaped(df, n_files).write.mode(mode)
         .option("header", True)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .options(**options).csv(path))

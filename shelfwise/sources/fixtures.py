@@ -31,20 +31,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Its schema is inferred once per path and then passed
-    explicitly (inference is a small job of its own on every read; these
-    tables are read-only)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """A driver table, with the schema that its files have now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- movements
@@ -58,7 +47,11 @@ def _movement_cols():
 
 
 def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ttype, qchange = _movement_cols()
+    return _movements(spark, sf_dir, _movement_cols()[0])
+
+
+def _movements(spark: SparkSession, sf_dir: str, ttype) -> DataFrame:
+    qchange = _movement_cols()[1]
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("product_id"),
         ttype.alias("transaction_type"),
@@ -69,8 +62,33 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movements_nosale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No row carries a sale label: gold falls back to negative quantities."""
-    return movements(spark, sf_dir).withColumn("transaction_type", F.lit("MOVE"))
+    """No row carries a sale label, which only reading the types can tell: gold
+    falls back to negative quantities."""
+    rf = F.col("l_returnflag")
+    kind = F.when(rf == "R", "IN").when(rf == "A", "MOVE").otherwise("transfer")
+    return _movements(spark, sf_dir, kind)
+
+
+def movements_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four sale labels in several spellings, other types and null types."""
+    k = F.col("l_partkey") % 6
+    kind = (F.when(k == 0, "sale").when(k == 1, "SALES").when(k == 2, "Keluar").when(k == 3, "OUT")
+             .when(k == 4, "RETURN"))
+    return _movements(spark, sf_dir, kind)
+
+
+def movements_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth product never moves."""
+    return movements(spark, sf_dir).where(F.col("product_id") % 5 != 0)
+
+
+def movements_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movements with an ``id`` that repeats (order and line number do) with typed dates."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+                     F.col("l_partkey").alias("product_id"), F.col("l_quantity").alias("quantity"),
+                     F.col("l_shipdate").cast("timestamp").alias("transaction_date"),
+                     F.col("l_suppkey").alias("supplier_id"))
 
 
 def movements_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +149,19 @@ def inventory_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def inventory_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fourth product twice, the second row received a day later with other stock."""
+    inv = inventory(spark, sf_dir)
+    copies = F.when(F.col("product_id") % 4 == 0, F.lit(2)).otherwise(F.lit(1))
+    inv = inv.withColumn("_c", F.explode(F.sequence(F.lit(1), copies)))
+    later = F.col("_c") == 2
+    return inv.select(
+        "product_id", (F.col("stock_quantity") + F.when(later, 5.0).otherwise(0.0)).alias("stock_quantity"),
+        "reorder_level", "unit_price",
+        F.when(later, F.col("date_received") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("date_received"))
+         .alias("date_received"), "last_order_date")
+
+
 def inventory_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-looking CSV export: odd headers, padded names, price as text, and
     the parts of size 1 exported twice (exact duplicates)."""
@@ -189,8 +220,16 @@ SQL_VIEWS = {
     "movements": f"""SELECT l_partkey AS product_id, {_MOVEMENT_TYPE_SQL} AS transaction_type,
        {_MOVEMENT_Q_SQL} AS quantity_change, l_shipdate AS transaction_date, l_suppkey AS supplier_id
   FROM lineitem""",
-    "movements_nosale": """SELECT product_id, 'MOVE' AS transaction_type, quantity_change,
-       transaction_date, supplier_id FROM movements""",
+    "movements_nosale": f"""SELECT l_partkey AS product_id,
+       CASE l_returnflag WHEN 'R' THEN 'IN' WHEN 'A' THEN 'MOVE' ELSE 'transfer' END AS transaction_type,
+       {_MOVEMENT_Q_SQL} AS quantity_change, l_shipdate AS transaction_date, l_suppkey AS supplier_id FROM lineitem""",
+    "movements_labels": f"""SELECT l_partkey AS product_id, CASE l_partkey % 6 WHEN 0 THEN 'sale' WHEN 1 THEN 'SALES'
+         WHEN 2 THEN 'Keluar' WHEN 3 THEN 'OUT' WHEN 4 THEN 'RETURN' END AS transaction_type,
+       {_MOVEMENT_Q_SQL} AS quantity_change, l_shipdate AS transaction_date, l_suppkey AS supplier_id FROM lineitem""",
+    "movements_partial": """SELECT * FROM movements WHERE product_id % 5 <> 0""",
+    "inventory_dup": """SELECT * FROM inventory UNION ALL
+SELECT product_id, stock_quantity + 5, reorder_level, unit_price, date_received + INTERVAL 1 DAY, last_order_date
+  FROM inventory WHERE product_id % 4 = 0""",
     "movements_dirty": f"""WITH b AS (
   SELECT l_partkey AS " Product ID", concat('  ', {_MOVEMENT_TYPE_SQL}, ' ') AS "Transaction Type",
          CASE WHEN l_partkey % 7 = 0 THEN 'n/a' ELSE CAST({_MOVEMENT_Q_SQL} AS VARCHAR) END AS "Quantity",
@@ -227,7 +266,8 @@ SELECT * FROM b UNION ALL SELECT * FROM b WHERE "Reorder Level" = 1""",
 
 # Views other views depend on must come first in a WITH list.
 _VIEW_DEPS = {
-    "movements_nosale": ["movements"],
+    "movements_partial": ["movements"],
+    "inventory_dup": ["inventory"],
     "inventory_nolevel": ["inventory"],
     "inventory_nulls": ["inventory"],
 }

@@ -3,54 +3,72 @@
 The batch silver job rewrites the whole zone on every run. Here new bronze
 CSV files are picked up as they land (``trigger(availableNow=True)`` for a
 scheduled catch-up run, or a processing-time trigger for a continuous one)
-and appended to silver with the same stateless cleaning steps (C1, C3-C6).
-
-De-duplication across files (C8) uses ``dropDuplicatesWithinWatermark``
-keyed on the row content, with the file's modification time as event time:
-an exact copy that lands within ``dedup_delay`` of the first one is
-dropped, and the state is bounded by that delay instead of growing with
-the table. Progress and state live in ``checkpoint`` (default: a folder
-below ``spark.checkpoint.dir``), so a restarted query resumes where it
-stopped.
+and appended to silver with the same cleaning steps.
+
+Every file counts, whatever its modification time: there is no watermark, and
+the file source's own age limit (7 days by default) is lifted. Duplicates
+are dropped whenever they land: each micro-batch is reduced to distinct rows
+and joined against the content keys that silver holds (anti join on one
+column). A batch that is run again after a failure finds its rows there and
+adds nothing, so the sink is idempotent.
+
+Silver is append-only. Where rows have an ``id``, later versions of a row
+are appended beside earlier ones, and ``silver_snapshot`` picks the latest
+for each id, which equals the batch job's table. Progress lives in
+``checkpoint`` (default: a folder below ``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.functions.naming import normalize_columns
 from shelfwise.operators import cleaning as cl
 from shelfwise.session import checkpoint_root
 
-INGEST_TIME = "_ingest_time"
+CONTENT = "_content"
+EVERY_AGE = "36500d"  # the file source drops files older than this against the newest
+
 
+def clean_versions(raw: DataFrame) -> DataFrame:
+    """The batch job's cleaning (C1, C3-C6) with duplicates of whole rows dropped, every
+    version of an id kept, and the content key of each row."""
+    df = cl.trim_strings(normalize_columns(raw))
+    df = cl.dedup_rows(cl.fill_quantity(cl.parse_datetimes(df)))
+    df = df.withColumn(CONTENT, cl.content_hash(df))
+    return df if "transaction_id" in df.columns else df.withColumn("transaction_id", df[CONTENT])
 
-def clean_transactions_stream(raw: DataFrame, dedup_delay: str = "1 day") -> DataFrame:
-    """Streaming form of ``clean_transactions`` (without an ``id`` column)."""
-    df = raw.select("*", F.col("_metadata.file_modification_time").alias(INGEST_TIME))
-    content = [c for c in df.columns if c != INGEST_TIME]
-    df = normalize_columns(df.select(*content, INGEST_TIME))
-    content = [c for c in df.columns if c != INGEST_TIME]
-    df = cl.fill_quantity(cl.parse_datetimes(cl.trim_strings(df), exclude=(INGEST_TIME,)))
-    df = df.withWatermark(INGEST_TIME, dedup_delay).dropDuplicatesWithinWatermark(content)
-    return cl.ensure_transaction_id(df.select(*content))
+
+def silver_snapshot(spark: SparkSession, silver_dir: str) -> DataFrame:
+    """What the batch job would have made of all files: the latest row of each ``id``,
+    or all rows where there is none."""
+    df = spark.read.parquet(silver_dir).drop(CONTENT)
+    if "id" not in df.columns:
+        return df
+    own = [c for c in df.columns if c != "transaction_id"]
+    return cl.dedup_by_key(df, ["id"], order_by=cl.instants(df.select(*own)))
 
 
 def start_silver_stream(spark: SparkSession, bronze_dir: str, silver_dir: str, schema,
-                        checkpoint: str | None = None, dedup_delay: str = "1 day",
-                        available_now: bool = True, processing_time: str | None = None,
+                        checkpoint: str | None = None, available_now: bool = True,
+                        processing_time: str | None = None,
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the ingest; returns the running ``StreamingQuery``."""
-    reader = spark.readStream.schema(schema).option("header", True)
+    reader = spark.readStream.schema(schema).option("header", True).option("escape", '"').option("maxFileAge", EVERY_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(bronze_dir)
-    out = clean_transactions_stream(raw, dedup_delay)
+    # The folder exists from the start, so every batch can look up what is there.
+    empty = clean_versions(spark.createDataFrame([], raw.schema))
+    empty.write.mode("append").parquet(silver_dir)
+
+    def append(batch: DataFrame, _: int) -> None:
+        there = batch.sparkSession.read.schema(empty.schema).parquet(silver_dir).select(CONTENT)
+        clean_versions(batch).join(there, CONTENT, "left_anti").write.mode("append").parquet(silver_dir)
+
     ckpt = checkpoint or f"{checkpoint_root(spark)}/shelfwise/streams/{silver_dir.strip('/').replace('/', '_')}"
-    w = (out.writeStream.format("parquet").outputMode("append")
-         .option("path", silver_dir).option("checkpointLocation", ckpt))
+    w = raw.writeStream.foreachBatch(append).option("checkpointLocation", ckpt)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:

@@ -54,7 +54,7 @@ def test_hot_product_gold_equals_brute_force(spark):
     inv = fx.inventory(spark, SF_SMALL)
     sup = fx.suppliers_by_product(spark, SF_SMALL)
     g = fe.build_gold(trx, inv, sup).toPandas().set_index("product_id")
-    lead = {r["sup_product_id"]: r["avg_lead_time_days"]
+    lead = {r["supplied_product"]: r["avg_lead_time_days"]
             for r in fe.supplier_lead_by_product(sup, fe.resolve_supplier_roles(sup.columns)).collect()}
     inv_pd = inv.toPandas().dropna(subset=["date_received"])
     bf = brute_force(trx.toPandas(), inv_pd, lead)
