@@ -36,10 +36,10 @@ from pyspark.sql.window import Window
 
 from shelfwise.llm.common import col, cut_lineage, ship_code
 
-BLOCK = 4096         # candidates indexed together
+BLOCK = 16384        # candidates indexed together
 QUERIES = 16384      # queries that meet a block in one task
-BANDS = (0.5, 0.2, 0.12, 0.06, 0.0)  # least impact of each band in parts of the largest
-RESCORE = 512        # few enough rows to score exactly
+BANDS = (0.2, 0.12, 0.08, 0.04, 0.0)  # least impact of each band in parts of the largest
+RESCORE = 0.25       # share of a block's rows that is scored exactly rather than read on
 _SEEN = float(1 << 40)  # one posting read, in the same accumulator as the sum of impacts
 
 
@@ -53,6 +53,7 @@ class ImpactIndex:
         self.row = order.T.ravel()
         value = np.take_along_axis(vectors, order, axis=0).T.ravel()
         self.value = value.astype(np.float64)
+        self.plain = vectors.astype(np.float64)
         self.low, self.high = vectors.min(axis=0), vectors.max(axis=0)
         self.least = int(self.low.min())
         self.span = int(self.high.max()) - self.least + 3
@@ -73,7 +74,9 @@ class ImpactIndex:
         dim = np.flatnonzero(query)
         if n > k and len(dim) and reach < 1 << 38 and len(dim) < 1 << 12:
             rows = self._possible(query, dim, others, k)
-        score = self.vectors[rows] @ query
+        # Floats of 53 bits hold these products exactly and multiply faster than longs.
+        exact = reach < 1 << 53
+        score = (self.plain[rows] @ query.astype(np.float64)).astype(np.int64) if exact else self.vectors[rows] @ query
         if len(rows) > 4 * k:  # ties included
             keep = score >= np.partition(score, len(score) - k)[len(score) - k]
             rows, score = rows[keep], score[keep]
@@ -107,13 +110,13 @@ class ImpactIndex:
             done = now
             # The whole sums of the rows that lead now are a bound that others must reach.
             lead = np.argpartition(total, n - k)[n - k:]
-            whole = self.vectors[lead[others[lead]]] @ query - int(base.sum())
+            whole = self.plain[lead[others[lead]]] @ query - int(base.sum())
             if len(whole) == k:
                 bound = max(bound, float(whole.min()))
             # A dimension gains a row less than t, or its own largest impact if none reached t.
             large = tops >= t
             rows = np.flatnonzero((total + (int(large.sum()) - seen) * t + int(tops[~large].sum()) >= bound) & others)
-            if len(rows) <= RESCORE:
+            if len(rows) <= max(RESCORE * n, 4 * k):
                 break
         return rows
 
