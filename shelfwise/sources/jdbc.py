@@ -38,9 +38,12 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
 
 
 def column_bounds(spark: SparkSession, url: str, table: str, column: str, properties: dict | None = None) -> tuple:
-    """(min, max) of a column, computed by the database."""
+    """(min, max) of a column, computed by the database; the name is quoted as Spark's
+    own JDBC reads quote it."""
+    q = "`" if url.startswith(("jdbc:mysql", "jdbc:mariadb")) else '"'
+    name = q + column.replace(q, 2 * q) + q
     r = (spark.read.format("jdbc").option("url", url)
-         .option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"))
+         .option("query", f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {table}"))
     for k, v in (properties or {}).items():
         r = r.option(k, v)
     return tuple(r.load().first())

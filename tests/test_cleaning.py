@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from shelfwise.operators import cleaning as cl
 
 
@@ -94,3 +96,30 @@ def test_supplier_key(spark):
     assert cl.clean_suppliers(only_id).columns == ["supplier_id", "name"]
     both = spark.createDataFrame([(1, 2)], "id int, supplier_id int")
     assert cl.conform_supplier_key(both).columns == ["id", "supplier_id"]
+
+
+def test_distinct_rows_get_distinct_ids(spark):
+    """Separators, null marks and digits in the text can't make two rows read alike, and
+    an id does not depend on the session's time zone."""
+    texts = ["a|b", "b|c", "a", "c", "<null>", "x", None, "", "n", "1:a", "1:", ":", "|"]
+    df = spark.createDataFrame([(a, b) for a in texts for b in texts], "p string, q string")
+    assert cl.ensure_transaction_id(df).select("transaction_id").distinct().count() == len(texts) ** 2
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    when = spark.createDataFrame([(0,), (1700000000,)], "s long").select(F.timestamp_seconds("s").alias("t"))
+    got = []
+    try:
+        for z in ("UTC", "Asia/Jakarta"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            got.append(sorted(r.transaction_id for r in cl.ensure_transaction_id(when).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got[0] == got[1]
+
+
+def test_latest_row_survives_for_text_and_typed_dates(spark):
+    rows_ = [(1, "2024-01-02", "9"), (1, "2024-05-01", "1"), (2, None, "5")]
+    text = spark.createDataFrame(rows_, "id int, created_date string, amount string")
+    typed = text.withColumn("created_date", F.to_timestamp("created_date"))
+    for df in (text, typed):
+        kept = {r.id: r.amount for r in cl.clean_transactions(df).collect()}
+        assert kept == {1: "1", 2: "5"}

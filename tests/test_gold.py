@@ -95,7 +95,7 @@ def test_key_types_are_reconciled(spark, tables):
     inv_num = spark.createDataFrame([(1, 10.0)], "product_id long, stock_quantity double")
     trx_txt = spark.createDataFrame([("1", "SALE", -4.0, "2024-01-01")], TRX_SCHEMA)
     g = fe.build_gold(trx_txt, inv_num, sup).collect()[0]
-    assert (g["product_id"], g["stock_on_hand"], g["total_sales"]) == ("1", 6.0, 4.0)
+    assert (g["product_id"], g["stock_on_hand"], g["total_sales"]) == (1, 6.0, 4.0)
 
 
 def test_duplicate_inventory_rows_collapse(spark, tables):

@@ -37,7 +37,6 @@ def test_multiline_json_and_landing(spark, tmp_dir):
         json.dump([{"id": 1, "name": "A", "lead_time": 3}, {"id": 2, "name": "B", "lead_time": 5}], f, indent=2)
     df = io.read_json(spark, src)
     assert df.count() == 2
-    assert io.read_json(spark, src, multi_line="auto").count() == 2
     landed = io.land_json(spark, src, f"{tmp_dir}/bronze")
     assert rows(landed) == rows(df)
 
@@ -69,10 +68,16 @@ def test_silver_gold_jobs(spark, tmp_dir):
     from tests.conftest import SF_SMALL
     schemas = _write_bronze(spark, SF_SMALL, f"{tmp_dir}/raw")
     counts = jobs.run_silver(spark, f"{tmp_dir}/raw", f"{tmp_dir}/silver", schemas=schemas,
-                             multi_line_json=False)
+                             suppliers_layout="lines")
     assert counts[jobs.INVENTORY] == 200 and counts[jobs.TRANSACTIONS] > 5000
-    m = jobs.run_gold(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold", n_files=1)
+    assert counts["lost"]["transaction_date"] > 0   # the fixture has dates that do not parse
+    m = jobs.run_gold(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold", n_files=1, report=True)
     assert m["rows"] == 200 and m["at_risk"] + m["safe"] == 200
+    rep = m["report"]
+    assert rep["input_rows"][jobs.INVENTORY] == 200 and rep["sales_rule"] == "labels"
+    assert rep["lead_time_rule"] == "by_product" and rep["roles"]["inventory"]["product"] == "product_id"
+    assert rep["nulls_read_as_zero"] == {"stock": 0, "reorder_level": 0}
+    assert len(rep["profile"]) == 6 and len(rep["sample"]) == 5 and len(rep["schema"]) == 15
     r = jobs.run_models(spark, m["path"], f"{tmp_dir}/models", num_trees=5)
     assert 0.5 <= r["auc"] <= 1.0 and r["r2"] <= 1.0
     assert list(r["importances"]) == ["initial_stock_quantity", "stock_on_hand", "total_sales", "active_days",
@@ -83,7 +88,8 @@ def test_silver_gold_jobs(spark, tmp_dir):
     recorded = spark.read.json(f"{tmp_dir}/models/metrics").first()
     assert recorded["auc"] == r["auc"] and recorded["n_test"] == r["n_test"]
     assert spark.read.json(f"{tmp_dir}/models/importances").count() == 8
-    s = jobs.run_recommend(spark, r["model_output"], f"{tmp_dir}/out")
+    s = jobs.run_recommend(spark, r["model_output"], f"{tmp_dir}/out", sample=3)
+    assert len(s.pop("sample")) == 3
     assert s["rows"] == 200 and s["high"] + s["medium"] + s["low"] == 200
     back = io.read_csv(spark, f"{tmp_dir}/out/{jobs.RECOMMENDATIONS}", infer_schema=True)
     assert {"priority", "recommended_order", "insight", "predicted_rop"} <= set(back.columns)
@@ -107,9 +113,10 @@ def test_bronze_to_gold_from_jdbc(spark, tmp_dir):
         json.dump([{"id": 7, "product_id": "P1", "lead_time_days": 3},
                    {"id": 8, "product_id": "P2", "lead_time_days": 5}], f, indent=2)
     landed = jobs.run_bronze(spark, f"{tmp_dir}/raw", url, "stock_move", inv_csv, sup_json,
-                             jdbc_properties=props, partition_column="id", bounds=(1, 4), num_partitions=2)
+                             jdbc_properties=props, partition_column="id", num_partitions=2)
     assert landed == {jobs.TRANSACTIONS: 4, jobs.INVENTORY: 2, jobs.SUPPLIERS: 2}
-    counts = jobs.run_silver(spark, f"{tmp_dir}/raw", f"{tmp_dir}/silver")   # JSON layout detected
+    counts = jobs.run_silver(spark, f"{tmp_dir}/raw", f"{tmp_dir}/silver", suppliers_layout="lines")
+    assert counts.pop("lost") == {}            # typed by inference: nothing to parse
     assert counts == {jobs.TRANSACTIONS: 3, jobs.INVENTORY: 2, jobs.SUPPLIERS: 2}
     inv = spark.read.parquet(f"{tmp_dir}/silver/{jobs.INVENTORY}")
     assert {r["product_id"]: r["unit_price"] for r in inv.collect()} == {"P1": 2.5, "P2": 2.5}
@@ -128,3 +135,80 @@ def test_jdbc_single_query_and_argument_check(spark, tmp_dir):
     assert back.rdd.getNumPartitions() == 1 and back.count() == 5
     with pytest.raises(ValueError):
         read_jdbc(spark, url, "t", partition_column="id", properties=props)
+    found = read_jdbc(spark, url, "t", partition_column="id", num_partitions=3, properties=props)
+    assert found.rdd.getNumPartitions() == 3 and found.count() == 5        # bounds from the database
+    write_jdbc(spark.range(0).selectExpr("CAST(id AS INT) AS id"), url, "none", properties=props)
+    assert read_jdbc(spark, url, "none", partition_column="id", num_partitions=3, properties=props).count() == 0
+
+
+def test_json_layouts_never_guess(spark, tmp_dir):
+    import pytest
+    doc, lines = os.path.join(tmp_dir, "d.json"), os.path.join(tmp_dir, "l.jsonl")
+    with open(doc, "w") as f:
+        f.write('[\n{"id": 1, "name": "A"},\n{"id": 2, "name": "B"}\n]\n')
+    with open(lines, "w") as f:
+        f.write('{"id": 1, "name": "A"}\n{"id": 2, "name": "B"}\n')
+    for schema in (None, "id long, name string"):
+        assert io.read_json(spark, doc, schema=schema).count() == 2
+        assert io.read_json(spark, lines, multi_line=False, schema=schema).count() == 2
+        with pytest.raises(Exception, match="(?i)malformed"):
+            io.read_json(spark, doc, multi_line=False, schema=schema).collect()
+
+
+def test_csv_line_breaks_and_quotes(spark, tmp_dir):
+    df = spark.createDataFrame([(1, 'a\nb "q", c'), (2, "plain"), (3, "\\ back")], "id long, note string")
+    io.write_csv(df, f"{tmp_dir}/t")
+    assert rows(io.read_csv(spark, f"{tmp_dir}/t", schema=df.schema, multiLine=True)) == rows(df)
+
+
+def test_models_hand_over_as_csv(spark, tmp_dir):
+    from shelfwise.plans import jobs
+    from shelfwise.plans.q_report import scored
+    from tests.conftest import SF_SMALL
+    out = scored(spark, SF_SMALL).select("product_id", "stock_on_hand", "predicted_stockout", "predicted_rop")
+    io.write_csv(out, f"{tmp_dir}/m")
+    m = jobs.run_recommend(spark, f"{tmp_dir}/m", f"{tmp_dir}/out", fmt="csv", schema=out.schema)
+    assert (m["high"], m["medium"], m["low"]) == (108, 37, 55)
+
+
+def test_jobs_command_line(spark, tmp_dir, capsys):
+    from shelfwise.plans import jobs
+    from shelfwise.plans.q_io import _write_bronze
+    from tests.conftest import SF_SMALL
+    schemas = _write_bronze(spark, SF_SMALL, f"{tmp_dir}/raw")
+    with open(f"{tmp_dir}/schemas.json", "w") as f:
+        json.dump({k: v.toDDL() for k, v in schemas.items()}, f)
+    jobs.main(["silver", f"{tmp_dir}/raw", f"{tmp_dir}/silver", "--layout", "lines", "--schemas", f"{tmp_dir}/schemas.json"])
+    jobs.main(["gold", f"{tmp_dir}/silver", f"{tmp_dir}/gold"])
+    assert "'sales_rule': 'labels'" in capsys.readouterr().out
+    url = f"jdbc:derby:{tmp_dir}/cli;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    write_jdbc(spark.range(4).selectExpr("CAST(id AS INT) AS id"), url, "m", properties=props)
+    with open(f"{tmp_dir}/inv.csv", "w") as f:
+        f.write('product_id,note\n1,"two\nlines"\n')
+    with open(f"{tmp_dir}/sup.json", "w") as f:
+        f.write('{"id": 7}')
+    with open(f"{tmp_dir}/sources.json", "w") as f:
+        json.dump({"jdbc_url": url, "jdbc_table": "m", "inventory_csv": f"{tmp_dir}/inv.csv",
+                   "suppliers_json": f"{tmp_dir}/sup.json", "jdbc_properties": props}, f)
+    jobs.main(["bronze", f"{tmp_dir}/sources.json", f"{tmp_dir}/landed"])
+    said = capsys.readouterr().out
+    assert f"'{jobs.TRANSACTIONS}': 4" in said and f"'{jobs.INVENTORY}': 1" in said and f"'{jobs.SUPPLIERS}': 1" in said
+
+
+def test_shared_folder_is_required_off_one_machine():
+    import types
+
+    import pytest
+
+    from shelfwise.session import checkpoint_root
+
+    def session(master, conf=None):
+        context = types.SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        return types.SimpleNamespace(conf=types.SimpleNamespace(get=lambda k, d: conf or d), sparkContext=context)
+
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_root(session(master))
+        assert checkpoint_root(session(master, "s3a://b/c/")) == "s3a://b/c"
+    assert "shelfwise" in checkpoint_root(session("local[4]"))

@@ -4,7 +4,7 @@ a restart resumes from the checkpoint."""
 import os
 
 from shelfwise.operators import cleaning as cl
-from shelfwise.streaming.silver_stream import start_silver_stream
+from shelfwise.streaming.silver_stream import silver_snapshot, start_silver_stream
 from tests.conftest import rows
 
 SCHEMA = "`Product ID` string, `Transaction Type` string, Quantity string, `Transaction Date` string"
@@ -22,12 +22,44 @@ def test_two_landings(spark, tmp_dir):
     _land(f"{bronze}/a.csv", ["1, SALE ,-2,2024-01-02", "1, SALE ,-2,2024-01-02", "2,RETURN,n/a,bad"])
     q = start_silver_stream(spark, bronze, silver, SCHEMA, checkpoint=ckpt)
     q.awaitTermination()
-    first = spark.read.parquet(silver)
+    first = silver_snapshot(spark, silver)
     assert first.count() == 2
     _land(f"{bronze}/b.csv", ["1, SALE ,-2,2024-01-02", "3,OUT,-1,2024-01-03"])
     q = start_silver_stream(spark, bronze, silver, SCHEMA, checkpoint=ckpt)
     q.awaitTermination()
-    out = spark.read.parquet(silver)
+    out = silver_snapshot(spark, silver)
     assert out.count() == 3
     batch = cl.clean_transactions(spark.read.csv(bronze, header=True, schema=SCHEMA))
     assert rows(out, ["transaction_id"]) == rows(batch.select(*out.columns), ["transaction_id"])
+
+
+def test_files_of_any_age_are_kept(spark, tmp_dir):
+    """Modification times that go backwards by days lose nothing, and a repeat is
+    dropped whenever it lands."""
+    import time
+    bronze, silver, ckpt = f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/ckpt"
+    for name, days, lines in (("a", 0, ["1,SALE,-1,2024-01-01"]), ("b", 3, ["2,SALE,-1,2024-01-01"]),
+                              ("c", 10, ["3,SALE,-1,2024-01-01", "1,SALE,-1,2024-01-01"]),
+                              ("d", 400, ["4,SALE,-1,2024-01-01"]), ("e", 0, ["2,SALE,-1,2024-01-01"])):
+        _land(f"{bronze}/{name}.csv", lines)
+        then = time.time() - days * 86400
+        os.utime(f"{bronze}/{name}.csv", (then, then))
+        start_silver_stream(spark, bronze, silver, SCHEMA, checkpoint=ckpt).awaitTermination()
+    out = silver_snapshot(spark, silver)
+    assert sorted(r["product_id"] for r in out.collect()) == ["1", "2", "3", "4"]
+    batch = cl.clean_transactions(spark.read.csv(bronze, header=True, schema=SCHEMA))
+    assert rows(out, ["transaction_id"]) == rows(batch.select(*out.columns), ["transaction_id"])
+
+
+def test_ids_equal_the_batch_job(spark, tmp_dir):
+    schema = "id int, quantity string, `Transaction Date` string"
+    bronze, silver, ckpt = f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/ckpt"
+    for name, lines in (("a", ["1,5,2024-05-01", "2,1,2024-01-01"]), ("b", ["1,7,2024-01-01", "2,3,2024-02-01", "3,1,bad"])):
+        os.makedirs(bronze, exist_ok=True)
+        with open(f"{bronze}/{name}.csv", "w") as f:
+            f.write("id,quantity,Transaction Date\n" + "\n".join(lines) + "\n")
+        start_silver_stream(spark, bronze, silver, schema, checkpoint=ckpt).awaitTermination()
+    out = silver_snapshot(spark, silver)
+    batch = cl.clean_transactions(spark.read.csv(bronze, header=True, schema=schema))
+    assert rows(out, ["id"]) == rows(batch.select(*out.columns), ["id"])
+    assert [r["quantity"] for r in rows(out, ["id"])] == [5.0, 3.0, 1.0]
