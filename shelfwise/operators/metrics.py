@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import qcol
 
-# Buckets of the distinct scores used by the AUC prefix sums. The per-bucket
+# Most buckets of the distinct scores used by the AUC prefix sums. The per-bucket
 # rows (at most AUC_BUCKETS) are what goes through a window without a
 # partition key.
 AUC_BUCKETS = 1024
@@ -38,7 +38,7 @@ def count_le(bounds: Column, x: Column, size: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
 
 
-def auc(df: DataFrame, label: str, score: str, buckets: int = AUC_BUCKETS,
+def auc(df: DataFrame, label: str, score: str, buckets: int | None = None,
         accuracy: int = 10000) -> DataFrame:
     """Area under the ROC curve of ``score`` for a 0/1 ``label`` (one row: ``auc``).
 
@@ -60,6 +60,8 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = AUC_BUCKETS,
     4. over the at most ``buckets`` bucket rows: negatives in lower buckets.
     The bucketing only spreads the work: the result is exact for any bounds.
     """
+    if buckets is None:  # a few for each shuffle partition spread the work as far as it goes
+        buckets = min(AUC_BUCKETS, max(2, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     s = qcol(score).cast("double")
     y = qcol(label).cast("double")
     base = df.select(s.alias("s"), y.alias("y")).filter(F.col("s").isNotNull() & F.col("y").isNotNull())

@@ -137,8 +137,8 @@ def test_jdbc_single_query_and_argument_check(spark, tmp_dir):
         read_jdbc(spark, url, "t", partition_column="id", properties=props)
     found = read_jdbc(spark, url, "t", partition_column="id", num_partitions=3, properties=props)
     assert found.rdd.getNumPartitions() == 3 and found.count() == 5        # bounds from the database
-    write_jdbc(spark.range(0).selectExpr("CAST(id AS INT) AS id"), url, "none", properties=props)
-    assert read_jdbc(spark, url, "none", partition_column="id", num_partitions=3, properties=props).count() == 0
+    write_jdbc(spark.range(0).selectExpr("CAST(id AS INT) AS id"), url, "nothing", properties=props)
+    assert read_jdbc(spark, url, "nothing", partition_column="id", num_partitions=3, properties=props).count() == 0
 
 
 def test_json_layouts_never_guess(spark, tmp_dir):

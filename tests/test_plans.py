@@ -102,3 +102,23 @@ def test_query_matches_oracle(spark, name):
     assert sorted(df.columns) == sorted(o_cols)
     assert len(s_rows) == len(o_rows)
     assert digest(df.columns, s_rows)[0] == digest(o_cols, o_rows)[0]
+
+
+def test_auc_reads_its_input_once(spark):
+    """The quantile subquery and the main branch share the shuffle of the distinct scores."""
+    from shelfwise.plans.q_model import auc
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan, gold = _plan(auc(spark, SF_SMALL)), _plan(_gold(spark))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert "ReusedExchange" in plan and "scalar-subquery" in plan
+    assert plan.count("FileScan") == gold.count("FileScan")
+
+
+def test_fallback_probe_is_in_the_plan(spark):
+    """The no-sale fixture can't be folded: the plan holds the existence test."""
+    plan = _plan(fe.build_gold(fx.movements_nosale(spark, SF_SMALL), fx.inventory(spark, SF_SMALL),
+                               fx.suppliers_by_product(spark, SF_SMALL)))
+    assert "Subquery" in plan and plan.count("FileScan") > _plan(_gold(spark)).count("FileScan") - 1
