@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, chat, html_extract, langid, license_scan, mixing, topk
+from shelfwise.llm import bpe, chat, html_extract, langid, license_scan, mixing, sharding, topk
 from shelfwise.llm.common import table
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.simhash import simhash_components
@@ -115,6 +115,20 @@ def op5_html_extract(spark: SparkSession, d: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+@query("op6_sharding", """
+WITH t AS (SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS bytes,
+  ('0x' || substr(md5(doc_id::VARCHAR), 1, 12))::BIGINT AS h FROM documents),
+p AS (SELECT doc_id, bytes, d AS depth, substr(lpad(bin(h), 48, '0'), 1, d) AS shard FROM t, range(49) r(d)),
+s AS (SELECT shard, depth, sum(bytes)::BIGINT AS shard_bytes, count(*) AS shard_docs FROM p GROUP BY ALL),
+f AS (SELECT p.*, shard_bytes, shard_docs, row_number() OVER (PARTITION BY doc_id ORDER BY p.depth) AS n
+  FROM p JOIN s ON p.shard = s.shard AND p.depth = s.depth WHERE shard_bytes <= 1048576 OR shard_docs = 1)
+SELECT doc_id, bytes, shard, depth::INTEGER AS depth, shard_bytes, shard_docs, shard_bytes > 1048576 AS oversize
+FROM f WHERE n = 1""")
+def op6_sharding(spark: SparkSession, d: str) -> DataFrame:
+    """The shard of every document, each at most 1 MiB of text."""
+    return sharding.assign(table(spark, d, "documents"), limit=1 << 20)
+
+
 @query("op7_exact_dedup", f"""
 WITH t AS (SELECT doc_id, {_LOWER} AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
