@@ -80,7 +80,7 @@ def run_bronze(spark: SparkSession, bronze_dir: str, jdbc_url: str, jdbc_table:
                inventory_csv: str, suppliers_json: str, jdbc_properties: dict | None = None,
                partition_column: str | None = None, bounds: tuple | None = None,
                num_partitions: int | None = None, pandas_nulls: bool = True,
-               schemas: dict | None = None) -> dict:
+               schemas: dict | None = None, multi_line_csv: bool = True) -> dict:
     """Land the three sources in the bronze zone.
 
     The movements table is read over JDBC in ``num_partitions`` parallel
@@ -88,7 +88,8 @@ def run_bronze(spark: SparkSession, bronze_dir: str, jdbc_url: str, jdbc_table:
     unless given; a single query without a column) and written as CSV; the
     inventory CSV is re-written (pandas' missing-value markers become empty
     fields when ``pandas_nulls``, as the reference's pandas round trip did;
-    quoted line breaks stay); the supplier JSON document is parsed and written
+    quoted line breaks stay, unless ``multi_line_csv`` is off, which splits large
+    files over tasks); the supplier JSON document is parsed and written
     as JSON lines. ``schemas`` skips inference. Returns the rows landed per
     table, counted while they are written.
     """
@@ -99,7 +100,7 @@ def run_bronze(spark: SparkSession, bronze_dir: str, jdbc_url: str, jdbc_table:
     trx = read_jdbc(spark, jdbc_url, jdbc_table, partition_column, lo, hi, num_partitions,
                     properties=jdbc_properties)
     tokens = io.PANDAS_NULL_TOKENS if pandas_nulls else None
-    inv = io.read_csv(spark, inventory_csv, schema=schemas.get(INVENTORY), null_tokens=tokens, multiLine=True)
+    inv = io.read_csv(spark, inventory_csv, schema=schemas.get(INVENTORY), null_tokens=tokens, multiLine=multi_line_csv)
     sup = io.read_json(spark, suppliers_json, schema=schemas.get(SUPPLIERS))
     return {
         TRANSACTIONS: _write_and_count(trx, lambda d: io.write_csv(d, f"{b}/{BRONZE_FILES[TRANSACTIONS]}")),
@@ -110,7 +111,7 @@ def run_bronze(spark: SparkSession, bronze_dir: str, jdbc_url: str, jdbc_table:
 
 def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, schemas: dict | None = None,
                null_tokens=None, id_method: str = "hash", suppliers_layout: str = "document",
-               n_files: int | None = None, csv_options: dict | None = None) -> dict:
+               n_files: int | None = None, multi_line_csv: bool = True) -> dict:
     """Read the three bronze files, clean them, write Parquet to silver.
 
     ``schemas`` (name -> StructType/DDL) skips inference, which otherwise
@@ -118,13 +119,15 @@ def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, schemas: d
     file: ``"document"`` (``suppliers_info.json``, as its source wrote it) or
     ``"lines"`` (``suppliers_info.jsonl``, as ``run_bronze`` lands it). Returns
     rows written per table, and under ``lost`` how many non-empty texts of
-    each date-like column did not parse.
+    each date-like column did not parse. ``multi_line_csv`` keeps quoted line
+    breaks, as ``run_bronze`` lands them; each file is then one task's work, so
+    turn it off for a few huge files without such text.
     """
     schemas = schemas or {}
     b = bronze_dir.rstrip("/")
     if suppliers_layout not in ("document", "lines"):
         raise ValueError("suppliers_layout must be 'document' or 'lines'")
-    how = csv_options or {}
+    how = {"multiLine": multi_line_csv}
     trx = io.read_csv(spark, f"{b}/{BRONZE_FILES[TRANSACTIONS]}", schema=schemas.get(TRANSACTIONS),
                       null_tokens=null_tokens, **how)
     inv = io.read_csv(spark, f"{b}/{BRONZE_FILES[INVENTORY]}", schema=schemas.get(INVENTORY),

@@ -53,9 +53,11 @@ def silver_snapshot(spark: SparkSession, silver_dir: str) -> DataFrame:
 def start_silver_stream(spark: SparkSession, bronze_dir: str, silver_dir: str, schema,
                         checkpoint: str | None = None, available_now: bool = True,
                         processing_time: str | None = None,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the ingest; returns the running ``StreamingQuery``."""
-    reader = spark.readStream.schema(schema).option("header", True).option("escape", '"').option("maxFileAge", EVERY_AGE)
+                        max_files_per_trigger: int | None = None, multi_line: bool = True) -> StreamingQuery:
+    """Start the ingest; returns the running ``StreamingQuery``. ``multi_line`` keeps quoted
+    line breaks, as the batch job does."""
+    reader = (spark.readStream.schema(schema).option("header", True).option("escape", '"')
+              .option("multiLine", multi_line).option("maxFileAge", EVERY_AGE))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(bronze_dir)

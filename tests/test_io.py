@@ -212,3 +212,18 @@ def test_shared_folder_is_required_off_one_machine():
             checkpoint_root(session(master))
         assert checkpoint_root(session(master, "s3a://b/c/")) == "s3a://b/c"
     assert "shelfwise" in checkpoint_root(session("local[4]"))
+
+
+def test_line_breaks_survive_bronze_and_silver(spark, tmp_dir):
+    from shelfwise.plans import jobs
+    trx = spark.createDataFrame([("P1", "SALE", -1.0, "2024-01-01", "a\nb"), ("P2", "OUT", -2.0, "2024-01-02", 'say "x"')],
+                                "product_id string, transaction_type string, quantity double, transaction_date string, note string")
+    inv = spark.createDataFrame([("P1", 5.0, "two\nlines")], "product_id string, stock_quantity double, note string")
+    io.write_csv(trx, f"{tmp_dir}/raw/{jobs.BRONZE_FILES[jobs.TRANSACTIONS]}")
+    io.write_csv(inv, f"{tmp_dir}/raw/{jobs.BRONZE_FILES[jobs.INVENTORY]}")
+    io.write_json(spark.createDataFrame([(1, "P1")], "id long, product_id string"), f"{tmp_dir}/raw/{jobs.SUPPLIERS_LINES}")
+    n = jobs.run_silver(spark, f"{tmp_dir}/raw", f"{tmp_dir}/silver", suppliers_layout="lines",
+                        schemas={jobs.TRANSACTIONS: trx.schema, jobs.INVENTORY: inv.schema})
+    assert (n[jobs.TRANSACTIONS], n[jobs.INVENTORY]) == (2, 1) and n["lost"] == {"transaction_date": 0}
+    notes = {r.note for r in spark.read.parquet(f"{tmp_dir}/silver/{jobs.TRANSACTIONS}").collect()}
+    assert notes == {"a\nb", 'say "x"'}
