@@ -18,7 +18,9 @@ from shelfwise.llm.common import cut_lineage
 def _large_star(e: DataFrame) -> DataFrame:
     """Every neighbour above a node moves to the smallest of the neighbourhood."""
     both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # Written out, so that the join is a plain one of two shuffles and the rows of
+    # a node with very many neighbours are split over tasks.
+    least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return (both.where("v > u").join(least, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
 
