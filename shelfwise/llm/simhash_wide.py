@@ -164,4 +164,4 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     those without id. Only the ids that go are joined to the texts."""
     groups = near_components(docs, id_col, text_col, shingle, similarity)
     goes = groups.where(col(id_col) != F.col("component_id")).select(col(id_col).alias(id_col)).distinct()
-    return docs.join(goes, id_col, "left_anti")
+    return docs.join(goes, id_col, "left_anti").select(*[col(c) for c in docs.columns])

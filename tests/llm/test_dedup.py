@@ -191,6 +191,6 @@ def test_wide_groups(spark):
     assert got == want
     kept = simhash_wide.keep_one_of_each(docs(spark, rows))
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted({*want.values(), None}, key=str)
-    assert sorted(kept.columns) == sorted(docs(spark, []).columns)
+    assert kept.columns == docs(spark, []).columns
     assert simhash_wide.keep_one_of_each(docs(spark, [])).collect() == []
     assert simhash.SEED == 42
