@@ -139,13 +139,14 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = (met.join(nodes, "node", "left")
                .select("key", "node", F.coalesce("root", "node").alias("component")))
     sizes = grouped.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"),
-                                      F.max(F.struct("n", "component"))["component"].alias("largest"))
-             .where("parts > 1").select("key", "largest"))
-    mixed = cut_lineage(grouped.join(mixed, "key").join(distinct.select("node", "fp"), "node"))
-    rest = (mixed.where("component <> largest")
-            .select("key", F.col("node").alias("a"), F.col("component").alias("of_a"), F.col("fp").alias("fp_a")))
-    every = mixed.select("key", F.col("node").alias("b"), F.col("component").alias("of_b"), F.col("fp").alias("fp_b"))
+    mixed = cut_lineage(sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"),
+                                                 F.max(F.struct("n", "component"))["component"].alias("largest"))
+                        .where("parts > 1").select("key", "largest"))
+    every = cut_lineage(grouped.join(mixed, "key", "left_semi").join(distinct.select("node", "fp"), "node")
+                        .select("key", F.col("node").alias("b"), F.col("component").alias("of_b"),
+                                F.col("fp").alias("fp_b")))
+    rest = (every.join(mixed, (every["key"] == mixed["key"]) & (F.col("of_b") != F.col("largest")))
+            .select(every["key"], F.col("b").alias("a"), F.col("of_b").alias("of_a"), F.col("fp_b").alias("fp_a")))
     # Verified as the join meets them: only links leave it.
     second = rest.join(every, (rest["key"] == every["key"]) & (F.col("of_a") != F.col("of_b"))
                        & (_distance("fp_a", "fp_b") <= most))
