@@ -54,6 +54,7 @@ class ImpactIndex:
         value = np.take_along_axis(vectors, order, axis=0).T.ravel()
         self.value = value.astype(np.float64)
         self.plain = vectors.astype(np.float64)
+        self.gain, self.read = np.empty(n * d), np.empty(n * d, dtype=self.row.dtype)  # room for one band
         self.low, self.high = vectors.min(axis=0), vectors.max(axis=0)
         self.least = int(self.low.min())
         self.span = int(self.high.max()) - self.least + 3
@@ -92,7 +93,8 @@ class ImpactIndex:
         sums = np.zeros(n)
         begin, end = dim * n, (dim + 1) * n
         done = np.where(up, end, begin)
-        bound, weight = -1.0, q.astype(np.float64)
+        bound, weight, less = -1.0, q.astype(np.float64).tolist(), (_SEEN - base).tolist()
+        gain, rows_read = self.gain, self.read
         for band in BANDS:
             t = int(most * band)
             # impact >= t: the large components for a positive weight, the small for a negative
@@ -100,12 +102,16 @@ class ImpactIndex:
             now = np.clip(self._upto(dim, edge), begin, end)
             first, last = np.where(up, now, done), np.where(up, done, now)
             size = np.maximum(last - first, 0)
-            parts = list(zip(first.tolist(), (first + size).tolist()))
-            gain = np.concatenate([self.value[a:b] for a, b in parts])
-            gain *= np.repeat(weight, size)
-            gain += np.repeat(_SEEN - base, size)
-            sums += np.bincount(np.concatenate([self.row[a:b] for a, b in parts]), gain, minlength=n)
-            seen, total = np.divmod(sums, _SEEN)
+            filled = 0
+            for a, m, w, c in zip(first.tolist(), size.tolist(), weight, less):
+                part = gain[filled:filled + m]
+                np.multiply(self.value[a:a + m], w, out=part)
+                part += c
+                rows_read[filled:filled + m] = self.row[a:a + m]
+                filled += m
+            sums += np.bincount(rows_read[:filled], gain[:filled], minlength=n)
+            seen = np.floor(sums / _SEEN)
+            total = sums - seen * _SEEN
             total[~others] = -1.0e300
             done = now
             # The whole sums of the rows that lead now are a bound that others must reach.
