@@ -81,8 +81,9 @@ def _hinted(name: str, attributes: str, in_article: bool) -> bool:
     return found and name not in ("html", "body", "main")
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
-    """(kind, text, in the article) of a page, in order.
+def tokens(page: str, hints: bool = True) -> Iterator[tuple[str, str, bool]]:
+    """(kind, text, in the article) of a page, in order; without ``hints`` only elements,
+    not classes, ids and roles, say what is skipped.
 
     Kind is ``w:`` and the block that text stands in, or ``t:`` and the tag;
     ``|`` comes before each kind of a tag that ends a block."""
@@ -115,7 +116,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
                         pass
                 elif name in ("body", "html"):
                     skip.clear()
-            elif name in ARTICLE and not _hinted(name, m[3], True) and "article" not in skip and article == 0 \
+            elif name in ARTICLE and not (hints and _hinted(name, m[3], True)) and "article" not in skip and article == 0 \
                     and not set(skip) & {"nav", "footer", "aside", "form"}:
                 skip.clear()     # an element left open does not swallow the article
                 article += 1
@@ -134,7 +135,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
         if block:
             leaf_out = False
         if not closing and name not in VOID:
-            out = (name in SKIPPED or _hinted(name, m[3], article > 0)
+            out = (name in SKIPPED or hints and _hinted(name, m[3], article > 0)
                    or name == "header" and not article)
             if out and name in LEAVES and name != "li":
                 leaf, leaf_out = name, True     # its end tag may be left out: until the next block
@@ -162,6 +163,8 @@ def _clean(parts: list[str]) -> str:
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The main text of one page: its blocks, joined by line breaks."""
     seq = list(tokens(page or ""))
+    if not any(kind.startswith("w:") for kind, _, _ in seq):
+        seq = list(tokens(page or "", hints=False))  # the hint was on what wraps the whole page
     has_article = any(inside for _, _, inside in seq)
     best, best_span, total, start = 0.0, None, 0.0, 0
     for i, (kind, text, inside) in enumerate(seq):

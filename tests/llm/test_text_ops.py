@@ -213,6 +213,7 @@ PAGES = [
     ("<article><p>a < b and <!-- <p>hidden</p> --> c<script>if (x < 1) '<p>no</p>'</script> d</p></article>", "a < b and c d"),
     ("<article><p title='1 > 0'>q</p><p>cut off &am", "q\ncut off &am"), ("<article><p>kept</p><p class='x", "kept"),
     ("<div class=ad>left open<article><p>hello world</p></article>", "hello world"),
+    ("<body><div class='wrap has-sidebar'><p>real text here</p></div></body>", "real text here"),
     ("<p>visible words</p><!-- never closed <p>b</p>", "visible words"),
 ]
 
