@@ -66,8 +66,9 @@ def test_one_fact_scan_and_copartitioned_joins(spark, tmp_dir):
 
 
 def _registry():
-    import __spark_entry__ as E
-    return E.queries(), E.oracle_sql()
+    """The library's own queries (the optional ones have tests of their own)."""
+    from shelfwise.plans import catalog
+    return catalog.queries(), catalog.oracle_sql()
 
 
 SLOW = {"train_risk", "evaluate_risk", "train_reorder", "score", "model_recommend"}
@@ -82,6 +83,7 @@ def test_registry_shape():
 
 def test_entry_smoke(spark):
     import __spark_entry__ as E
+    assert set(_registry()[0]) <= set(E.queries()) and set(_registry()[1]) <= set(E.oracle_sql())
     df = E.entry(spark)
     assert df.count() == 200
     assert df.columns[0] == "product_id"
