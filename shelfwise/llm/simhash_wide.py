@@ -3,7 +3,7 @@
 Sixty-four bits tell texts apart that share 97 % of their shingles; at 0.8 a
 sixth of all bits differ. So the fingerprint here has ``SEGMENTS`` segments of
 ``WIDTH`` bits and a check word, ``BITS`` in all, each bit a majority over the
-hashed shingles as in ``simhash``. Two texts link if the whole fingerprints
+hashed shingles as in ``simhash``, but over the distinct ones. Two texts link if the whole fingerprints
 differ in no more bits than texts of the wanted similarity do (the angle
 between two shingle sets of Jaccard similarity J has the cosine 2J / (1+J)),
 with one standard deviation to spare.
@@ -65,8 +65,10 @@ def wide_hash(h: np.ndarray) -> np.ndarray:
 
 
 def wide_fingerprint(text: str | None, shingle: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """The fingerprint's words (unsigned) and the values it has in the table."""
-    h = shingle_hashes(text, shingle)
+    """The fingerprint's words (unsigned) and the values it has in the table.
+
+    Each distinct shingle votes once: a line that a text repeats is one line."""
+    h = np.unique(shingle_hashes(text, shingle))
     ones = np.zeros(BITS, dtype=np.int64)
     for i in range(0, len(h), _ROWS):
         part = wide_hash(h[i:i + _ROWS]).view(np.uint8)

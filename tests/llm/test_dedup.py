@@ -174,6 +174,23 @@ def test_wide_pairs_by_sampling():
     assert len(found["low"]) > 20 and np.mean(found["low"]) <= 0.02
 
 
+def test_wide_fingerprint_of_distinct_shingles():
+    """A line that texts repeat weighs as one line, as in the Jaccard similarity of sets."""
+    rng = random.Random(4)
+    most = simhash_wide.max_distance(0.8)
+    for _ in range(10):
+        word = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+        line = word(12)
+        apart = [" ".join(word(200) + line * 20) for _ in range(2)]
+        base = word(300)
+        near = [" ".join(base), " ".join(base + line * 5)]
+        assert jaccard(*apart) < 0.1 and jaccard(*near) > 0.9
+        (fa, _), (fb, _) = map(simhash_wide.wide_fingerprint, apart)
+        assert int(np.bitwise_count(fa ^ fb).sum()) > most
+        (fa, ka), (fb, kb) = map(simhash_wide.wide_fingerprint, near)
+        assert int(np.bitwise_count(fa ^ fb).sum()) <= most and set(ka.tolist()) & set(kb.tolist())
+
+
 def test_wide_groups(spark):
     rng = random.Random(9)
     rows = []
