@@ -3,30 +3,36 @@
 Sixty-four bits tell texts apart that share 97 % of their shingles; at 0.8 a
 sixth of all bits differ. So the fingerprint here has ``SEGMENTS`` segments of
 ``WIDTH`` bits and a check word, ``BITS`` in all, each bit a majority over the
-hashed shingles as in ``simhash``, but over the distinct ones. Two texts link if the whole fingerprints
-differ in no more bits than texts of the wanted similarity do (the angle
-between two shingle sets of Jaccard similarity J has the cosine 2J / (1+J)),
-with one standard deviation to spare.
+hashed shingles as in ``simhash``, but over the distinct ones. Texts whose
+fingerprints differ in no more bits than texts of the wanted similarity do
+(the angle between two shingle sets of Jaccard similarity J has the cosine
+2J / (1+J)), with ``SPARE`` standard deviations to spare, may link; they do if
+the Jaccard similarity of their sets of shingles, counted exactly, says so.
 
 Candidates come from multi-index hashing. In every segment a text enters the
 table under its own value and under those of a small Hamming ball: one of its
 ``WEAK`` least certain bits flipped, those whose votes were closest. Texts
 that meet under a value are compared in two rounds. First each with the
-smallest of the value; the links give components. Then, under values where
-components differ, all texts outside the largest component with everything
-there; only links leave that join. No pair inside one component is formed, so
-a group of near copies costs its size, not its square, and no link between
+smallest of the value, the nearest of which is confirmed; the links give
+components. Then, under values where components differ, all texts outside the
+largest component with everything there; only pairs that may link leave that
+join, and they are confirmed. No pair inside one component is formed, so a
+group of near copies costs its size, not its square, and no link between
 components that a shared value shows is missed.
 
-Which pairs share a value is a matter of chance: by sampling, 0.9 of those at
-similarity 0.8 and 0.99 at 0.85 (see tests); larger groups are held together
-by many pairs. ``WIDTH`` suits up to a few hundred million texts; beyond,
-values fill with chance meetings and a larger width (with more segments) keeps
-the work in proportion.
+Which pairs share a value is a matter of chance, the only one: no link is
+false, and by sampling sets of 100 to 600 shingles 0.985 of the pairs at a
+similarity of 0.80 to 0.82 meet and are close enough, more above (see tests).
+Of texts of a dozen words or fewer, which differ in few and heavy shingles,
+more are missed. Larger groups are held together by many pairs. ``WIDTH``
+suits up to a few hundred million texts; beyond, values fill with chance
+meetings and a larger width (with more segments) keeps the work in proportion.
 
-Scale: texts are read once; a distinct fingerprint is some 500 bytes and
+Scale: texts are read once for fingerprints and once in each round for the
+shingles of those that may link; a distinct fingerprint is some 700 bytes and
 enters SEGMENTS * (WEAK + 1) rows of 16 bytes. Values are counted on the map
 side, and a value that a third of all texts share is an ordinary skewed key.
+Confirming moves the shingles of both texts of a pair, 8 bytes each.
 
 Nulls and edge cases: as in ``simhash``, except that rows with a null id take
 no part (they have no component and stay).
@@ -35,6 +41,7 @@ no part (they have no component and stay).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from math import acos, pi, sqrt
 
 import numpy as np
@@ -46,7 +53,8 @@ from shelfwise.llm.common import col, cut_lineage, ship_code
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.simhash import shingle_hashes
 
-SEGMENTS, WIDTH, WEAK = 24, 26, 3
+SEGMENTS, WIDTH, WEAK = 24, 26, 5
+SPARE = 2.5     # standard deviations of the distance that a candidate has to spare
 WORDS = -(-SEGMENTS * WIDTH // 64) + 1
 BITS = 64 * WORDS
 _ROWS = 1 << 13
@@ -68,7 +76,10 @@ def wide_fingerprint(text: str | None, shingle: int = 5) -> tuple[np.ndarray, np
     """The fingerprint's words (unsigned) and the values it has in the table.
 
     Each distinct shingle votes once: a line that a text repeats is one line."""
-    h = np.unique(shingle_hashes(text, shingle))
+    return _fingerprint(np.unique(shingle_hashes(text, shingle)))
+
+
+def _fingerprint(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ones = np.zeros(BITS, dtype=np.int64)
     for i in range(0, len(h), _ROWS):
         part = wide_hash(h[i:i + _ROWS]).view(np.uint8)
@@ -83,23 +94,26 @@ def wide_fingerprint(text: str | None, shingle: int = 5) -> tuple[np.ndarray, np
 
 
 def wide_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, fp array of long, keys array of int) of all rows with an id."""
+    """(id, mark, n, fp, keys) of all rows with an id; ``n`` counts the distinct shingles."""
     ship_code(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, 1024):
                 batch = whole.slice(i, 1024)
-                got = [wide_fingerprint(t.as_py(), shingle) for t in batch.column(1)]
+                sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(2)]
+                got = [_fingerprint(h) for h in sets]
                 fps = np.concatenate([g[0] for g in got]).view(np.int64)
                 keys = np.concatenate([g[1] for g in got])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), _fixed(fps, WORDS), _fixed(keys, SEGMENTS * (WEAK + 1))],
-                    names=["id", "fp", "keys"])
+                    [batch.column(0), batch.column(1), pa.array([len(h) for h in sets], pa.int32()),
+                     _fixed(fps, WORDS), _fixed(keys, SEGMENTS * (WEAK + 1))],
+                    names=["id", "mark", "n", "fp", "keys"])
 
-    rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")).where("id is not null")
+    rows = docs.select(col(id_col).alias("id"), _mark(text_col).alias("mark"),
+                       col(text_col).cast("string").alias("text")).where("id is not null")
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, fp array<long>, keys array<int>")
+    return rows.mapInArrow(run, f"id {kind}, mark string, n int, fp array<long>, keys array<int>")
 
 
 def _fixed(values: np.ndarray, size: int) -> pa.ListArray:
@@ -107,9 +121,9 @@ def _fixed(values: np.ndarray, size: int) -> pa.ListArray:
 
 
 def max_distance(similarity: float) -> int:
-    """Differing bits that texts of this similarity seldom exceed."""
+    """Differing bits that hardly any two texts of this similarity exceed."""
     p = acos(2 * similarity / (1 + similarity)) / pi
-    return round(BITS * p + sqrt(BITS * p * (1 - p)))
+    return round(BITS * p + SPARE * sqrt(BITS * p * (1 - p)))
 
 
 def _distance(a: str, b: str) -> Column:
@@ -117,48 +131,105 @@ def _distance(a: str, b: str) -> Column:
                F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
 
 
-def _verified(pairs: DataFrame, fps: DataFrame, most: int) -> DataFrame:
-    """Of (a, b) those whose fingerprints are close enough."""
-    a = fps.select(F.col("node").alias("a"), F.col("fp").alias("fp_a"))
-    b = fps.select(F.col("node").alias("b"), F.col("fp").alias("fp_b"))
-    return pairs.join(a, "a").join(b, "b").where(_distance("fp_a", "fp_b") <= most).select("a", "b")
+def _may_link(a: str, b: str, similarity: float) -> Column:
+    """What two texts of this similarity fulfil: set sizes (exactly so) and distance."""
+    low, high = F.least(f"n_{a}", f"n_{b}"), F.greatest(f"n_{a}", f"n_{b}")
+    return (low >= (similarity - 1e-9) * high) & (_distance(f"fp_{a}", f"fp_{b}") <= max_distance(similarity))
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                    similarity: float = 0.8) -> DataFrame:
-    """One row for each row with an id: id, ``component_id`` (the smallest id of its group)."""
-    most = max_distance(similarity)
+def _mark(text_col: str) -> Column:
+    """Tells the texts apart that rows with one id have."""
+    return F.coalesce(F.md5(col(text_col).cast("string")), F.lit(""))
+
+
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(node, shingles): the distinct shingle hashes of the texts in ``wanted`` (id, mark, node)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, 1024):
+                batch = whole.slice(i, 1024)
+                sets = [np.unique(shingle_hashes(t.as_py(), shingle)).view(np.int64) for t in batch.column(1)]
+                ends = np.cumsum([0, *map(len, sets)])
+                hashes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), hashes], names=["node", "shingles"])
+
+    texts = docs.select(col(id_col).alias("id"), _mark(text_col).alias("mark"),
+                        col(text_col).cast("string").alias("text"))
+    one = texts.join(wanted, ["id", "mark"]).select("node", "text").dropDuplicates(["node"])
+    return one.mapInArrow(run, "node long, shingles array<long>")
+
+
+def _confirmed(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int,
+               similarity: float) -> DataFrame:
+    """Of (a, b) those whose sets of shingles are as similar as that, exactly."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = distinct.join(ends, "node", "left_semi").select("first.id", "first.mark", "node")
+    sets = cut_lineage(_shingle_sets(docs, wanted, id_col, text_col, shingle))
+    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+    # i / (a + b - i) >= similarity, where i counts the shared ones.
+    linked = (F.size(F.array_intersect("of_a", "of_b")) * (1 + similarity)
+              >= (similarity - 1e-12) * (F.size("of_a") + F.size("of_b")))
+    return pairs.join(a, "a").join(b, "b").where(linked).select("a", "b")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """(id, mark, first): one row for each row with an id; ``first`` is the smallest (id, mark) of its group."""
+    confirmed = partial(_confirmed, docs=docs, id_col=id_col, text_col=text_col, shingle=shingle,
+                        similarity=similarity)
     fps = cut_lineage(wide_fingerprints(docs, id_col, text_col, shingle))
-    distinct = cut_lineage(fps.groupBy("fp").agg(F.min("id").alias("node"), F.min_by("keys", "id").alias("keys")))
+    distinct = fps.groupBy("fp").agg(F.min(F.struct("id", "mark")).alias("first"), F.min("n").alias("n"),
+                                     F.min_by("keys", "id").alias("keys"))
+    # Written out, the number of a fingerprint is fixed, whatever task runs again.
+    distinct = cut_lineage(distinct.withColumn("node", F.monotonically_increasing_id()))
     members = distinct.select(F.explode("keys").alias("key"), "node")
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead")).where("n > 1")
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("lead")).where("size > 1")
     met = cut_lineage(members.join(shared, "key").select("key", "node", "lead"))
 
-    first = met.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    links = cut_lineage(_verified(first, distinct, most))
+    # The first round confirms each text's nearest lead; the second sees to the others.
+    leads = met.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    a = distinct.select(F.col("node").alias("a"), F.col("fp").alias("fp_a"), F.col("n").alias("n_a"))
+    b = distinct.select(F.col("node").alias("b"), F.col("fp").alias("fp_b"), F.col("n").alias("n_b"))
+    near = leads.join(a, "a").join(b, "b").where(_may_link("a", "b", similarity))
+    first = cut_lineage(near.select("a", "b", _distance("fp_a", "fp_b").alias("far"))
+                        .groupBy("b").agg(F.min(F.struct("far", "a"))["a"].alias("a")).select("a", "b"))
+    links = cut_lineage(confirmed(first, distinct))
     nodes = cut_lineage(connected_components(links, "a", "b"))
 
     grouped = (met.join(nodes, "node", "left")
                .select("key", "node", F.coalesce("root", "node").alias("component")))
-    sizes = grouped.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = grouped.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     mixed = cut_lineage(sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"),
-                                                 F.max(F.struct("n", "component"))["component"].alias("largest"))
+                                                 F.max(F.struct("size", "component"))["component"].alias("largest"))
                         .where("parts > 1").select("key", "largest"))
-    every = cut_lineage(grouped.join(mixed, "key", "left_semi").join(distinct.select("node", "fp"), "node")
+    every = cut_lineage(grouped.join(mixed, "key", "left_semi").join(distinct.select("node", "fp", "n"), "node")
                         .select("key", F.col("node").alias("b"), F.col("component").alias("of_b"),
-                                F.col("fp").alias("fp_b")))
+                                F.col("fp").alias("fp_b"), F.col("n").alias("n_b")))
     rest = (every.join(mixed, (every["key"] == mixed["key"]) & (F.col("of_b") != F.col("largest")))
-            .select(every["key"], F.col("b").alias("a"), F.col("of_b").alias("of_a"), F.col("fp_b").alias("fp_a")))
-    # Verified as the join meets them: only links leave it.
+            .select(every["key"], F.col("b").alias("a"), F.col("of_b").alias("of_a"), F.col("fp_b").alias("fp_a"),
+                    F.col("n_b").alias("n_a")))
+    # Compared as the join meets them: only pairs that may link leave it.
     second = rest.join(every, (rest["key"] == every["key"]) & (F.col("of_a") != F.col("of_b"))
-                       & (_distance("fp_a", "fp_b") <= most))
+                       & _may_link("a", "b", similarity))
     more = cut_lineage(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    more = cut_lineage(confirmed(more, distinct))
     if not more.isEmpty():
-        nodes = connected_components(
-            nodes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more), "a", "b")
-    classes = cut_lineage(distinct.join(nodes, "node", "left")
-                          .select("fp", F.coalesce("root", "node").alias("component_id")))
-    return fps.select("id", "fp").join(classes, "fp").select(F.col("id").alias(id_col), "component_id")
+        nodes = cut_lineage(connected_components(
+            nodes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more), "a", "b"))
+    linked = distinct.join(nodes, "node").select("fp", "first", "root")
+    named = cut_lineage(linked.groupBy("root").agg(F.min("first").alias("of_all")))
+    named = linked.join(named, "root").select("fp", "of_all")
+    classes = cut_lineage(distinct.select("fp", "first").join(named, "fp", "left")
+                          .select("fp", F.coalesce("of_all", "first").alias("first")))
+    return fps.select("id", "mark", "fp").join(classes, "fp").select("id", "mark", "first")
+
+
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                    similarity: float = 0.8) -> DataFrame:
+    """One row for each row with an id: id, ``component_id`` (the smallest id of its group)."""
+    return _components(docs, id_col, text_col, shingle, similarity).select(
+        F.col("id").alias(id_col), F.col("first.id").alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,

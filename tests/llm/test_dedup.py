@@ -191,6 +191,32 @@ def test_wide_fingerprint_of_distinct_shingles():
         assert int(np.bitwise_count(fa ^ fb).sum()) <= most and set(ka.tolist()) & set(kb.tolist())
 
 
+def test_wide_links_are_exact(spark):
+    """Of pairs just over 0.8 nearly all link, of those under it none, whatever their estimate."""
+    rng = random.Random(6)
+    rows, similar = [], {}
+    for i in range(400):
+        n = rng.randint(150, 400)
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+        near = list(base)
+        at = rng.randrange(n // 2)
+        want = rng.uniform(0.76, 0.84)
+        cut = round((n - 8 - want * n) / (1 + want))               # a passage of other words
+        near[at:at + cut] = [f"x{rng.randrange(10 ** 6)}" for _ in range(cut)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(near))]
+        similar[2 * i] = jaccard(rows[-2][1], rows[-1][1])
+    line = [f"l{i}" for i in range(12)]
+    for i in (2000, 2001):                                         # a common line, often repeated
+        rows.append((i, " ".join([f"{i}-{k}" for k in range(200)] + line * 20)))
+    rows += [(2002, " ".join(map(str, range(300)))), (2003, " ".join([*map(str, range(300)), *line * 5]))]
+    got = {r.doc_id: r.component_id for r in simhash_wide.near_components(docs(spark, rows)).collect()}
+    over = [got[a + 1] == a for a, j in similar.items() if j >= 0.8]
+    under = [got[a + 1] == a for a, j in similar.items() if j < 0.8]
+    assert len(over) > 80 and np.mean(over) >= 0.95
+    assert len(under) > 80 and not any(under)
+    assert [got[i] for i in range(2000, 2004)] == [2000, 2001, 2002, 2002]
+
+
 def test_wide_groups(spark):
     rng = random.Random(9)
     rows = []
