@@ -35,7 +35,8 @@ side, and a value that a third of all texts share is an ordinary skewed key.
 Confirming moves the shingles of both texts of a pair, 8 bytes each.
 
 Nulls and edge cases: as in ``simhash``, except that rows with a null id take
-no part (they have no component and stay).
+no part (they have no component and stay). An id on different texts does not
+bring their groups together.
 """
 
 from __future__ import annotations
@@ -234,8 +235,13 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                      similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` whose id names their group, with all their columns, and
-    those without id. Only the ids that go are joined to the texts."""
-    groups = near_components(docs, id_col, text_col, shingle, similarity)
-    goes = groups.where(col(id_col) != F.col("component_id")).select(col(id_col).alias(id_col)).distinct()
-    return docs.join(goes, id_col, "left_anti").select(*[col(c) for c in docs.columns])
+    """The rows of ``docs`` whose text names their group, with all their columns, and
+    those without id. Only the ids that go are joined to the texts.
+
+    Where one id stands on several texts, each is a text of its own: the smallest
+    (id, hash of the text) of a group stays. Rows equal in both stay or go together."""
+    groups = _components(docs, id_col, text_col, shingle, similarity)
+    goes = groups.where((F.col("id") != F.col("first.id")) | (F.col("mark") != F.col("first.mark"))).select(
+        F.col("id").alias("_id_that_goes"), F.col("mark").alias("_mark_that_goes")).distinct()
+    same = (col(id_col) == F.col("_id_that_goes")) & (_mark(text_col) == F.col("_mark_that_goes"))
+    return docs.join(goes, same, "left_anti").select(*[col(c) for c in docs.columns])

@@ -237,3 +237,17 @@ def test_wide_groups(spark):
     assert kept.columns == docs(spark, []).columns
     assert simhash_wide.keep_one_of_each(docs(spark, [])).collect() == []
     assert simhash.SEED == 42
+
+
+def test_wide_repeated_ids(spark):
+    """One id on different texts neither joins their groups nor takes its texts along."""
+    rng = random.Random(12)
+    a, b, c, d = ([f"w{rng.randrange(10 ** 6)}" for _ in range(100)] for _ in range(4))
+    near = lambda t: " ".join([*t[:-1], "other"])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (6, near(a)), (4, near(b)), (5, " ".join(c)), (5, " ".join(d)),
+            (5, near(d)), (5, None), (7, "")]
+    groups = sorted((r.doc_id, r.component_id) for r in simhash_wide.near_components(docs(spark, rows)).collect())
+    assert groups == [(4, 4), (5, 4), (5, 5), (5, 5), (5, 5), (5, 5), (5, 5), (6, 5), (7, 5)]
+    kept = [(r.doc_id, r.text) for r in simhash_wide.keep_one_of_each(docs(spark, rows)).collect()]
+    assert len(kept) == 5 and {(5, " ".join(a)), (4, near(b)), (5, " ".join(c)), (5, None)} < set(kept)
+    assert sum(t in (" ".join(d), near(d)) for _, t in kept) == 1
