@@ -67,7 +67,9 @@ OUTSIDE = 1.0    # what a word costs beside the article of a page that has one
 _TOKEN = re.compile(
     r"<!--(?:.*?(?:-->|--!>)|.*)"                                   # comment, or cut off
     r"|<[!?][^>]*(?:>|$)"                                           # declaration
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(>|$)", re.S)
+    r"|<(/?)([a-zA-Z][^\s/>]*)"                                     # tag: name, attributes, end
+    r"((?:[\s/]+|[^\s/>][^\s/>=]*(?:\s*=\s*(?:\"[^\"]*(?:\"|$)|'[^']*(?:'|$)|[^\s>\"'][^\s>]*)?)?)*+)(>|$)", re.S)
+_SCRIPT = re.compile(r"<!--|-->|<(/?)script(?=[\s/>])", re.I)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME_PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+|\d+")
 
@@ -81,21 +83,44 @@ def _hinted(name: str, attributes: str, in_article: bool) -> bool:
     return found and name not in ("html", "body", "main")
 
 
+def _raw_end(page: str, at: int, name: str) -> int:
+    """Where the end tag of an element without markup ends, whose content begins at ``at``.
+
+    Only a script may speak of its own tags: in ``<!-- <script> ... </script> -->``."""
+    if name != "script":
+        m = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
+    else:
+        inside = 0               # 1: after <!--, 2: after <script in there
+        while m := _SCRIPT.search(page, at):
+            at = m.end()
+            if m[0] == "<!--":
+                inside, at = inside or 1, at - 2
+            elif m[0] == "-->":
+                inside = 0
+            elif not m[1]:
+                inside = 2 if inside else 0
+            elif inside < 2:
+                break
+            else:
+                inside = 1
+    return _TOKEN.match(page, m.start()).end() if m else len(page)
+
+
 def tokens(page: str, hints: bool = True) -> Iterator[tuple[str, str, bool]]:
     """(kind, text, in the article) of a page, in order; without ``hints`` only elements,
     not classes, ids and roles, say what is skipped.
 
     Kind is ``w:`` and the block that text stands in, or ``t:`` and the tag;
     ``|`` comes before each kind of a tag that ends a block."""
-    at, raw = 0, None            # raw: element whose content is no markup
+    at = 0
     skip: list[str] = []         # open elements from the outermost skipped one on
     article = 0                  # open article elements
     link, leaf, leaf_out = 0, "other", False
-    for m in [*_TOKEN.finditer(page), None]:
+    while True:
+        m = _TOKEN.search(page, at)
         text = page[at:m.start()] if m else page[at:]
-        if m and raw is None or not m:
-            if text and raw is None and not skip and not leaf_out and not text.isspace():
-                yield "w:" + ("a" if link else leaf), text, article > 0
+        if text and not skip and not leaf_out and not text.isspace():
+            yield "w:" + ("a" if link else leaf), text, article > 0
         if m is None:
             return
         at = m.end()
@@ -103,10 +128,6 @@ def tokens(page: str, hints: bool = True) -> Iterator[tuple[str, str, bool]]:
         if not name:
             continue
         closing = bool(m[1])
-        if raw:
-            if closing and name == raw:
-                raw = None
-            continue
         if m[4] == "":           # the page ends inside a tag
             return
         if skip:
@@ -122,14 +143,14 @@ def tokens(page: str, hints: bool = True) -> Iterator[tuple[str, str, bool]]:
                 article += 1
                 yield "|t:" + name, "", True
             elif name in RAW and not m[3].endswith("/"):
-                raw = name
+                at = _raw_end(page, at, name)
             elif name == "body" and skip[0] == "head":
                 skip.clear()
             elif name not in VOID and not m[3].endswith("/"):
                 skip.append(name)
             continue
         if not closing and name in RAW:
-            raw = name if not m[3].endswith("/") else None
+            at = _raw_end(page, at, name) if not m[3].endswith("/") else at
             continue
         block = name in BLOCKS
         if block:

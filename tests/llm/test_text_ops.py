@@ -215,6 +215,13 @@ PAGES = [
     ("<div class=ad>left open<article><p>hello world</p></article>", "hello world"),
     ("<body><div class='wrap has-sidebar'><p>real text here</p></div></body>", "real text here"),
     ("<p>visible words</p><!-- never closed <p>b</p>", "visible words"),
+    ("<script>for(var i=0;i<n;i++){f(i)}</script><p>Body text", "Body text"),
+    ("<head><script>if(a<b)f('it')</SCRIPT ></head><body><p>Body text", "Body text"),
+    ("<p>One<p title=it's>two<a href=x'y>three</a> four<p>five", "One\ntwothree four\nfive"),
+    ("<script>var s='<a title=it';</script><p>Body's text</p><p>more", "Body's text\nmore"),
+    ("<script><!-- '<script>x</script>' --></script><p>Body text", "Body text"),
+    ("<script>var s='<!--';</script><p>Body text<!-- c --> more", "Body text more"),
+    ("<p title = \"a>b\" alt='c>d' data-x=\"it's\">kept</p>", "kept"),
 ]
 
 
