@@ -51,14 +51,20 @@ LEAVES = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th",
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "b", "br", "em", "i", "img", "span", "strong", "sub", "sup", "u", "code"}
 ARTICLE = {"article", "main"}
-# Words in class, id or role that mark what is no article text.
+# What marks no article text, as a whole class, id or role, or with companions in a compound.
 HINTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "sponsor", "sponsored",
          "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal",
          "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "nav", "navbar", "navigation", "menu",
          "breadcrumb", "breadcrumbs", "sidebar", "widget", "widgets", "related", "recommended", "share", "sharing",
          "social", "footer", "masthead", "topbar", "toolbar", "pagination", "pager", "search", "comment", "comments",
          "commentlist", "disqus", "replies", "respond", "contentinfo", "complementary", "dialog", "form"}
-HEADER_HINTS = {"header", "heading-bar", "site-header"}
+HEADER_HINTS = {"header", "headingbar"}
+COMPANIONS = {"area", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "field", "global", "header",
+              "holder", "icons", "inner", "items", "left", "links", "list", "main", "message", "outer", "page", "panel",
+              "posts", "primary", "right", "secondary", "section", "site", "slot", "thread", "top", "unit", "wrap",
+              "wrapper"}
+COMMENTS = {"comment", "comments", "commentlist", "disqus", "replies", "respond"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 LEAST = 0.05     # smallest size of a weight
 WORD = 1.0       # a word in a block that no labelled page has
@@ -70,17 +76,34 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)"                                     # tag: name, attributes, end
     r"((?:[\s/]+|[^\s/>][^\s/>=]*(?:\s*=\s*(?:\"[^\"]*(?:\"|$)|'[^']*(?:'|$)|[^\s>\"'][^\s>]*)?)?)*+)(>|$)", re.S)
 _SCRIPT = re.compile(r"<!--|-->|<(/?)script(?=[\s/>])", re.I)
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_NAME_PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+|\d+")
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>\"'][^\s>]*))?)?")
+_NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+|[^\W\d_]+")
 
 
-def _hinted(name: str, attributes: str, in_article: bool) -> bool:
-    found = False
+def _marks(token: str, hints: set[str]) -> bool:
+    """Whether a class, id or role is a hint, alone or in a compound of hints and companions."""
+    whole = token.lower().replace("-", "").replace("_", "")
+    parts = {p.lower() for p in _NAME_PART.findall(token)}
+    return whole in hints or bool(parts & hints) and all(p in hints or p in COMPANIONS or p.isdigit() for p in parts)
+
+
+def _hinted(name: str, attributes: str, in_article: bool) -> str:
+    """What the class, id and role of an element say that it is: ``comments``, ``other`` or nothing.
+
+    Inside an article ids name its parts: only those of comments count there, and none of a heading."""
+    if name in ("html", "body", "main"):
+        return ""
+    found = ""
     for m in _ATTRIBUTE.finditer(attributes):
-        words = {w.lower() for w in _NAME_PART.findall(m[2] or m[3] or m[4] or "")}
-        if words & HINTS or (not in_article and words & HEADER_HINTS):
-            found = True
-    return found and name not in ("html", "body", "main")
+        kind = m[1].lower()
+        if kind not in ("class", "id", "role") or kind == "id" and in_article and name in HEADINGS:
+            continue
+        for token in html.unescape(m[2] or m[3] or m[4] or "").split():
+            if _marks(token, COMMENTS):
+                return "comments"
+            if not (kind == "id" and in_article) and _marks(token, HINTS if in_article else HINTS | HEADER_HINTS):
+                found = "other"
+    return found
 
 
 def _raw_end(page: str, at: int, name: str) -> int:
@@ -106,14 +129,17 @@ def _raw_end(page: str, at: int, name: str) -> int:
     return _TOKEN.match(page, m.start()).end() if m else len(page)
 
 
-def tokens(page: str, hints: bool = True) -> Iterator[tuple[str, str, bool]]:
-    """(kind, text, in the article) of a page, in order; without ``hints`` only elements,
-    not classes, ids and roles, say what is skipped.
+def tokens(page: str, hints: str = "all", lost: Counter | None = None) -> Iterator[tuple[str, str, bool]]:
+    """(kind, text, in the article) of a page, in order. ``hints`` says which classes, ids and
+    roles skip an element: ``all``, those of ``comments`` or ``none``. ``lost`` counts the words
+    that were skipped by what hint.
 
     Kind is ``w:`` and the block that text stands in, or ``t:`` and the tag;
     ``|`` comes before each kind of a tag that ends a block."""
     at = 0
     skip: list[str] = []         # open elements from the outermost skipped one on
+    why = ""                     # the hint that skips it, or nothing
+    words = {"all": {"comments", "other"}, "comments": {"comments"}, "none": set()}[hints]
     article = 0                  # open article elements
     link, leaf, leaf_out = 0, "other", False
     while True:
@@ -121,6 +147,8 @@ def tokens(page: str, hints: bool = True) -> Iterator[tuple[str, str, bool]]:
         text = page[at:m.start()] if m else page[at:]
         if text and not skip and not leaf_out and not text.isspace():
             yield "w:" + ("a" if link else leaf), text, article > 0
+        elif lost is not None and why and (skip or leaf_out) and not SKIPPED.intersection(skip):
+            lost[why] += len(text.split())
         if m is None:
             return
         at = m.end()
@@ -137,7 +165,7 @@ def tokens(page: str, hints: bool = True) -> Iterator[tuple[str, str, bool]]:
                         pass
                 elif name in ("body", "html"):
                     skip.clear()
-            elif name in ARTICLE and not (hints and _hinted(name, m[3], True)) and "article" not in skip and article == 0 \
+            elif name in ARTICLE and _hinted(name, m[3], True) not in words and "article" not in skip and article == 0 \
                     and not set(skip) & {"nav", "footer", "aside", "form"}:
                 skip.clear()     # an element left open does not swallow the article
                 article += 1
@@ -156,8 +184,10 @@ def tokens(page: str, hints: bool = True) -> Iterator[tuple[str, str, bool]]:
         if block:
             leaf_out = False
         if not closing and name not in VOID:
-            out = (name in SKIPPED or hints and _hinted(name, m[3], article > 0)
-                   or name == "header" and not article)
+            why = _hinted(name, m[3], article > 0)
+            why = why if why in words and not (name == "article" and not article) else ""
+            out = why or name in SKIPPED or name == "header" and not article
+            why = "" if name in SKIPPED else why
             if out and name in LEAVES and name != "li":
                 leaf, leaf_out = name, True     # its end tag may be left out: until the next block
                 yield "|t:skipped", "", article > 0
@@ -183,9 +213,13 @@ def _clean(parts: list[str]) -> str:
 
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The main text of one page: its blocks, joined by line breaks."""
-    seq = list(tokens(page or ""))
+    lost: Counter = Counter()
+    seq = list(tokens(page or "", lost=lost))
+    kept = sum(len(text.split()) for kind, text, _ in seq if kind.startswith("w:"))
+    if lost["other"] > kept:     # the hint was on what wraps the text; readers' comments may well be longer than it
+        seq = list(tokens(page or "", hints="comments"))
     if not any(kind.startswith("w:") for kind, _, _ in seq):
-        seq = list(tokens(page or "", hints=False))  # the hint was on what wraps the whole page
+        seq = list(tokens(page or "", hints="none"))
     has_article = any(inside for _, _, inside in seq)
     best, best_span, total, start = 0.0, None, 0.0, 0
     for i, (kind, text, inside) in enumerate(seq):

@@ -221,6 +221,18 @@ PAGES = [
     ("<script>var s='<a title=it';</script><p>Body's text</p><p>more", "Body's text\nmore"),
     ("<script><!-- '<script>x</script>' --></script><p>Body text", "Body text"),
     ("<script>var s='<!--';</script><p>Body text<!-- c --> more", "Body text more"),
+    ("<article class='post category-social tag-advertising'><p>Body text</p></article><p>(c) us", "Body text"),
+    ("<article class='related'><p>Body text</p></article>", "Body text"),
+    ("<div class='content has-sidebar'><h1>Title</h1><p>Body of the text</p></div><p>(c) us", "Title\nBody of the text\n(c) us"),
+    ("<article><p>Body text<h2 id='related-work'>Related work</h2><p>others<section id='search'><h2 id='share'>Search</h2>"
+     "<p>how to</section><div class='share-buttons'>Share me</div></article>",
+     "Body text\nRelated work\nothers\nSearch\nhow to"),
+    ("<div id='search'><p>All of the text of a page about search</p></div><p>(c) us",
+     "All of the text of a page about search\n(c) us"),
+    ("<div><p>Short text</p></div><div id='comments'><p>a reader writes much more than it</p></div>", "Short text"),
+    ("<p>Some text of a page</p><div class='siteFooter'>foot</div><ul class='social_links'><li>x</ul><div id='ad-slot-3'>buy</div>",
+     "Some text of a page"),
+    ("<p title='a class=ad b'>Some text</p><p>(c) us", "Some text\n(c) us"),
     ("<p title = \"a>b\" alt='c>d' data-x=\"it's\">kept</p>", "kept"),
 ]
 
