@@ -18,7 +18,8 @@ key held by a third of all rows is spread over shards that fit; a document
 that alone exceeds the limit is a shard of its own (``oversize``).
 
 Scale: texts are read once, for their length. What goes on is a row of a
-hundred bytes for each document. ``write_shards`` moves every text once.
+hundred bytes for each document. ``write_shards`` writes the rows out with a
+number, by which they meet their shards, and moves every text once.
 
 Nulls and edge cases: a null text has no bytes. A null key is placed by its
 text. Rows that repeat a key are rows of their own. An empty table has no
@@ -42,20 +43,26 @@ def _bits(digest: str, n: int) -> Column:
     return F.lpad(F.conv(F.substring(digest, 3 * n + 1, 3), 16, 2), ROUND, "0")
 
 
-def _placed(docs: DataFrame, key_col: str, text_col: str) -> DataFrame:
+def _placed(docs: DataFrame, key_col: str, text_col: str, row: Column) -> DataFrame:
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
     key = F.coalesce(col(key_col).cast("string"), F.concat(F.lit("text:"), F.md5(text)))
     rows = docs.select(col(key_col).alias("key"), F.octet_length(text).cast("long").alias("bytes"),
-                       F.md5(key).alias("h"))
+                       F.md5(key).alias("h"), row.alias("row"))
     # Written out, the row number is fixed, whatever task runs again.
-    rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
+    rows = cut_lineage(rows)
     return rows.withColumn("h", F.concat("h", F.md5(F.col("row").cast("string"))))
 
 
 def assign(docs: DataFrame, limit: int, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its key, ``bytes``, ``shard`` (the bits of its prefix), ``depth``,
     ``shard_bytes``, ``shard_docs`` and ``oversize``."""
-    rows = _placed(docs, key_col, text_col).withColumn("path", F.lit(""))
+    return _assigned(docs, limit, key_col, text_col, F.monotonically_increasing_id()).select(
+        F.col("key").alias(key_col), "bytes", "shard", "depth", "shard_bytes", "shard_docs", "oversize")
+
+
+def _assigned(docs: DataFrame, limit: int, key_col: str, text_col: str, row: Column) -> DataFrame:
+    """``assign`` with the key as ``key`` and the number of the row as ``row``."""
+    rows = _placed(docs, key_col, text_col, row).withColumn("path", F.lit(""))
     done = []
     for n in range(ROUNDS):
         rows = rows.withColumn("path", F.concat("path", _bits("h", n)))
@@ -69,7 +76,7 @@ def assign(docs: DataFrame, limit: int, key_col: str = "doc_id", text_col: str =
         leaf = prefixes.join(sums.where(fits), "prefix").groupBy("path").agg(
             F.min(F.struct("depth", F.col("prefix").alias("shard"), "shard_bytes", "shard_docs")).alias("leaf"))
         directory = cut_lineage(cells.select("path").join(leaf, "path", "left"))
-        done.append(rows.join(directory.where("leaf is not null"), "path").select("key", "bytes", "leaf.*"))
+        done.append(rows.join(directory.where("leaf is not null"), "path").select("row", "key", "bytes", "leaf.*"))
         large = directory.where("leaf is null").select("path")
         if large.isEmpty():
             break
@@ -77,7 +84,7 @@ def assign(docs: DataFrame, limit: int, key_col: str = "doc_id", text_col: str =
     out = done[0]
     for more in done[1:]:
         out = out.unionAll(more)
-    return out.select(F.col("key").alias(key_col), "bytes", "shard", "depth", "shard_bytes", "shard_docs",
+    return out.select("row", "key", "bytes", "shard", "depth", "shard_bytes", "shard_docs",
                       (F.col("shard_bytes") > limit).alias("oversize"))
 
 
@@ -87,10 +94,14 @@ def directory(assigned: DataFrame) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write every document with a key to the folder of its shard (``shard=BITS``), a file
-    for each shard, and return the directory. Keys must be unique and not null."""
-    where = cut_lineage(assign(docs, limit, key_col, text_col))
-    kept = docs.select(*[col(c) for c in docs.columns if c.lower() != "shard"])
-    rows = kept.join(where.select(col(key_col).alias(key_col), "shard"), key_col)
+    """Write every document once to the folder of its shard (``shard=BITS``), a file for
+    each shard, and return the directory. Keys may repeat or be null."""
+    row = "_row"
+    while row in map(str.lower, docs.columns):
+        row += "_"
+    numbered = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
+    where = cut_lineage(_assigned(numbered, limit, key_col, text_col, F.col(row)))
+    kept = numbered.select(*[col(c) for c in numbered.columns if c.lower() != "shard"])
+    rows = kept.join(where.select(F.col("row").alias(row), "shard"), row).drop(row)
     rows.repartition("shard").write.partitionBy("shard").parquet(path)
     return directory(where)

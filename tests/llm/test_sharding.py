@@ -64,3 +64,16 @@ def test_edges_and_files(spark, tmp_dir):
     want = {r.shard: r.shard_docs for r in table.collect()}
     assert {r.shard: r.n for r in back.groupBy("shard").agg(F.count("*").alias("n")).collect()} == want
     assert sum(want.values()) == 200 and max(want.values()) <= 20
+
+
+def test_files_hold_every_row_once(spark, tmp_dir):
+    """Rows with a null or a repeated key are written, each once."""
+    rows = [(i, "x" * 50) for i in range(60)] + [(5, "y" * 50)] * 40 + [(5, f"z{i:03}" * 10) for i in range(30)]
+    rows += [(None, f"n{i:03}" * 10) for i in range(30)] + [(None, "n" * 50)] * 10 + [(None, None), (7, None)]
+    table = sharding.write_shards(docs(spark, rows), f"{tmp_dir}/rows", limit=1000)
+    got = spark.read.schema("doc_id long, text string, shard string").parquet(f"{tmp_dir}/rows").collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(rows, key=str)
+    want = {r.shard: (r.shard_docs, r.shard_bytes) for r in table.collect()}
+    for shard, (n, size) in want.items():
+        inside = [r for r in got if r.shard == shard]
+        assert (len(inside), sum(len(r.text or "") for r in inside)) == (n, size) and size <= 1000
