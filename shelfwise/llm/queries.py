@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, chat, html_extract, langid, license_scan, mixing, sharding, topk
-from shelfwise.llm.common import table
+from shelfwise.llm import bpe, chat, html_extract, langid, license_scan, merkle, mixing, prefix_trie, sharding, topk
+from shelfwise.llm.common import col, table
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.simhash import simhash_components
 
@@ -190,3 +190,95 @@ def op10_chat_format(spark: SparkSession, d: str) -> DataFrame:
         "conv_id", "n_turns", F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
         F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+def _crc32_sql(number: str) -> str:
+    """Unsigned CRC-32 of a number's decimal digits, in DuckDB."""
+    digits = f"[ascii(x)::UBIGINT FOR x IN string_split(({number})::VARCHAR, '')]"
+    return (f"xor(4294967295::UBIGINT, list_reduce(list_concat([4294967295::UBIGINT], {digits}), lambda a, x: "
+            "list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda c, z: xor(c >> 1, (c & 1) * 3988292384))))")
+
+
+def _leaf_sql(n_chars: str) -> str:
+    of = "coalesce(strlen(({0})::VARCHAR)::VARCHAR || ':' || ({0})::VARCHAR, '-')"
+    return "sha256(" + " || ".join(of.format(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+# ``leaf_tree`` and ``top_tree`` hold every node of the languages' trees and of the tree of subroots.
+_TREE_SQL = """{name} AS (
+  SELECT {key} AS key, 0 AS level, row_number() OVER (PARTITION BY {key} ORDER BY {order}) - 1 AS pos, {digest} AS digest
+  FROM {rows}
+  UNION ALL
+  SELECT key, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY key) AS n FROM {name}) WHERE n > 1 GROUP BY key, level, pos // 2)"""
+_STEPS_SQL = """{name} AS (
+  SELECT a.key, a.pos, list(CASE WHEN s.digest IS NULL THEN 'A' WHEN s.pos < a.pos >> l.level THEN 'L' || s.digest
+                            ELSE 'R' || s.digest END ORDER BY l.level) FILTER (l.level < h.height) AS steps
+  FROM {tree} a JOIN (SELECT key, max(level) AS height FROM {tree} GROUP BY key) h ON a.key = h.key
+  JOIN (SELECT unnest(range(40)) AS level) l ON l.level < greatest(h.height, 1)
+  LEFT JOIN {tree} s ON s.key = a.key AND s.level = l.level AND s.pos = xor(a.pos >> l.level, 1)
+  WHERE a.level = 0 GROUP BY a.key, a.pos)"""
+_MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS key, {_leaf_sql("n_chars")} AS leaf,
+    CASE WHEN {_crc32_sql("doc_id")} % 7 = 0 THEN {_leaf_sql("n_chars + 1")} END AS forged FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+{_TREE_SQL.format(name="leaf_tree", key="key", order="doc_id NULLS FIRST, leaf", digest="leaf", rows="leaves")},
+subroots AS (SELECT key AS lang, arg_max(digest, level) AS digest FROM leaf_tree GROUP BY key),
+ranked AS (SELECT *, row_number() OVER (ORDER BY lang) - 1 AS pos FROM subroots),
+{_TREE_SQL.format(name="top_tree", key="0", order="lang", digest="digest", rows="subroots")},
+{_STEPS_SQL.format(name="low", tree="leaf_tree")},
+{_STEPS_SQL.format(name="high", tree="top_tree")},
+whole AS (SELECT doc_id, leaf, forged, r.digest AS subroot,
+    (SELECT arg_max(digest, level) FROM top_tree) AS root,
+    list_concat(coalesce(low.steps, []), coalesce(high.steps, [])) AS steps
+  FROM placed p JOIN low ON p.key = low.key AND p.pos = low.pos JOIN ranked r ON r.lang = p.key JOIN high ON high.pos = r.pos),
+folded AS (SELECT *, list_reduce(list_concat([coalesce(forged, leaf)], steps), lambda acc, s: sha256(
+    CASE s[1] WHEN 'L' THEN s[2:] || acc WHEN 'R' THEN acc || s[2:] ELSE acc END)) AS folded_root FROM whole)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string([s[2:] FOR s IN steps], '')) AS proof_sha256, folded_root,
+  folded_root = root AS verified FROM folded"""
+
+
+@query("op11_merkle", _MERKLE_SQL)
+def op11_merkle(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest of all documents, and what tampering with every seventh does to its proof."""
+    docs = table(spark, d, "documents")
+    changed = [col(c) + 1 if c == "n_chars" else col(c) for c in merkle.FIELDS]
+    forged = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, merkle.leaf(changed))
+    out = merkle.manifest(docs, carry={"forged": forged})
+    folded = merkle.fold(F.coalesce("forged", "leaf"), F.col("witness"))
+    return (out.withColumn("proof_sha256", merkle.proof_sha256(F.col("witness"))).withColumn("folded_root", folded)
+            .select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                    (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
+_TRIE_SQL = f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos,
+    [coalesce(role, ''), coalesce(text, '')] AS said FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(said ORDER BY pos) AS turns, {_crc32_sql("conv_id")} % 9 AS head FROM t GROUP BY conv_id),
+c AS (SELECT o.conv_id, list_concat(coalesce(b.turns[:o.head::INT], []), o.turns[o.head::INT + 1:]) AS turns
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+p AS (SELECT conv_id, d AS depth, turns[:d] AS path, CASE WHEN d > 0 THEN turns[:d - 1] END AS up, len(turns) = d AS ends,
+    CASE WHEN d > 0 THEN strlen(turns[d][2]) ELSE 0 END AS bytes
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1))::INT AS d FROM c)),
+n AS (SELECT path, any_value(depth) AS depth, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(bytes) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY path),
+kids AS (SELECT up, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY up),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids ON kids.up = n.path),
+above AS (SELECT path[:a] AS path, saved, n_children FROM (SELECT *, unnest(range(0, depth + 1))::INT AS a FROM m)),
+sub AS (SELECT path, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM above GROUP BY path)
+SELECT m.conv_id, m.depth::BIGINT AS depth, par.conv_id AS parent_conv_id, m.n_convs, m.n_children, sub.n_leaves,
+  sub.saved_tokens, m.ends_sha256
+FROM m JOIN sub ON sub.path = m.path LEFT JOIN n par ON par.path = m.up"""
+
+
+@query("op13_prefix_trie", _TRIE_SQL)
+def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt to begin like the first of its five."""
+    turns = prefix_trie.ordered_turns(table(spark, d, "conversations"))
+    conv = F.col("conv")
+    base, head = conv - conv % 5, F.crc32(conv.cast("string")) % 9
+    return prefix_trie.trie(*prefix_trie.rebuilt(turns, base, head, most=8))
