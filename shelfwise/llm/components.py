@@ -27,7 +27,7 @@ def _large_star(e: DataFrame) -> DataFrame:
 
 def _small_star(e: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of them (u > v holds)."""
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
+    least = cut_lineage(e.groupBy("u").agg(F.min("v").alias("m")))  # as above
     moved = e.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 

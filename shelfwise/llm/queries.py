@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, chat, html_extract, langid, license_scan, merkle, mixing, prefix_trie, sharding, topk
+from shelfwise.llm import bpe, chat, html_extract, langid, license_scan, merkle, mixing, nn_descent, prefix_trie, sharding, topk
 from shelfwise.llm.common import col, table
 from shelfwise.llm.exact_dedup import exact_groups
 from shelfwise.llm.simhash import simhash_components
@@ -252,6 +252,12 @@ def op11_merkle(spark: SparkSession, d: str) -> DataFrame:
                     (F.col("folded_root") == F.col("root")).alias("verified")))
 
 
+@query("op12_nn_descent")
+def op12_nn_descent(spark: SparkSession, d: str) -> DataFrame:
+    """Links of cosine 0.9 or more between all embeddings, and their components (tested against brute force)."""
+    return nn_descent.near_components(table(spark, d, "embeddings"), threshold=0.9)
+
+
 _TRIE_SQL = f"""
 WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
     sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos,

@@ -13,7 +13,9 @@ of equal documents costs one entry however large it is. A pair is looked up
 from one side only: from the fingerprint whose lowest differing segment bit
 is 0. With two segments of 32 bits a table value holds fingerprints that
 agree in 32 bits, which for unrelated texts stays near one even at billions
-of fingerprints. Texts are read once; everything after is 8 bytes a row.
+of fingerprints. A group of many different near fingerprints is joined by
+links to a few of them, not by all its pairs (``near_nodes``). Texts are read
+once; everything after is 8 bytes a row.
 
 Nulls and edge cases: a null text is empty; a text without words has
 fingerprint 0 and links like any other; fewer words than a shingle make one
@@ -31,7 +33,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import col, cut_lineage, ship_code
@@ -104,11 +106,9 @@ def _ball(width: int, radius: int) -> list[int]:
             for bits in combinations(range(width), r)]
 
 
-def near_pairs(fps: DataFrame, max_distance: int = 3, segments: int = 2) -> DataFrame:
-    """(a, b): all pairs of different fingerprints at ``max_distance`` bits or fewer.
-
-    ``fps`` has one column ``fp`` of distinct values.
-    """
+def _entries(fps: DataFrame, max_distance: int, segments: int) -> tuple[DataFrame, DataFrame]:
+    """(``b``, ``seg``, ``key``): where fingerprints are entered; (``a``, ``seg``, ``key``, ``same``): where
+    they look, ``same`` under their own value."""
     radius = max_distance // segments
     tables, probes = [], []
     for n, (shift, width) in enumerate(_segments(segments)):
@@ -116,18 +116,69 @@ def near_pairs(fps: DataFrame, max_distance: int = 3, segments: int = 2) -> Data
         masks = F.array(*[F.lit(m).cast("long") for m in _ball(width, radius)])
         looked_up = F.transform(
             F.filter(masks, lambda m: key.bitwiseAND(m.bitwiseAND(-m)) == 0),
-            lambda m: F.struct(F.lit(n).alias("seg"), key.bitwiseXOR(m).alias("key"),
-                               (m == 0).alias("same")))
+            lambda m: F.struct(F.lit(n).alias("seg"), key.bitwiseXOR(m).alias("key"), (m == 0).alias("same")))
         tables.append(F.struct(F.lit(n).alias("seg"), key.alias("key")))
         probes.append(looked_up)
     table = fps.select(F.col("fp").alias("b"), F.explode(F.array(*tables)).alias("e"))
     probe = fps.select(F.col("fp").alias("a"), F.explode(F.concat(*probes)).alias("e"))
-    table = table.select("b", "e.seg", "e.key")
-    probe = probe.select("a", "e.seg", "e.key", "e.same")
-    on = ((table["seg"] == probe["seg"]) & (table["key"] == probe["key"])
-          & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
-          & (~F.col("same") | (F.col("a") < F.col("b"))))
-    return probe.join(table, on).select("a", "b").distinct()
+    return table.select("b", "e.seg", "e.key"), probe.select("a", "e.seg", "e.key", "e.same")
+
+
+def near_nodes(fps: DataFrame, max_distance: int = 3, segments: int = 2) -> DataFrame:
+    """(``node``, ``root``) of the fingerprints that have another one at ``max_distance`` bits or
+    fewer: the components of all such pairs. ``fps`` has one column ``fp`` of distinct values.
+
+    Every looked-up value is first verified against three of the fingerprints entered
+    under it (the smallest, the largest, and one by hash), which joins a group of any size by
+    as many links as it has lookups. Only where a value still holds several components are
+    their fingerprints compared with one another, and only across components."""
+    table, probe = _entries(fps, max_distance, segments)
+    hubs = table.groupBy("seg", "key").agg(
+        F.min("b").alias("h0"), F.max("b").alias("h1"), F.min_by("b", F.xxhash64("b")).alias("h2"),
+        F.count(F.lit(1)).alias("n"))
+    met = cut_lineage(probe.join(cut_lineage(hubs), ["seg", "key"]).where("n > 1 OR h0 <> a"))
+
+    def near(a: str, b: str) -> Column:
+        return (F.col(a) != F.col(b)) & (F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_distance)
+
+    links = met.select("a", F.explode(F.array("h0", "h1", "h2")).alias("b")).where(near("a", "b")).distinct()
+    nodes = cut_lineage(connected_components(links, "a", "b"))
+
+    def rooted(df: DataFrame, name: str) -> DataFrame:
+        roots = nodes.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+        return df.join(roots, name, "left").withColumn(f"root_{name}", F.coalesce(f"root_{name}", name))
+
+    # Values with several fingerprints; of them those that do not lie in one component.
+    lookers = cut_lineage(rooted(met.where("n > 1").select("a", "seg", "key", "same"), "a"))
+    full = lookers.select("seg", "key").distinct()
+    entered = cut_lineage(rooted(table.join(full, ["seg", "key"], "left_semi"), "b"))
+    all_roots = (lookers.select("seg", "key", F.col("root_a").alias("r"))
+                 .unionAll(entered.select("seg", "key", F.col("root_b").alias("r"))))
+    mixed = cut_lineage(all_roots.groupBy("seg", "key").agg(F.min("r").alias("x"), F.max("r").alias("y"))
+                        .where("x <> y").select("seg", "key"))
+    if mixed.isEmpty():
+        return nodes
+    left = cut_lineage(lookers.join(mixed, ["seg", "key"], "left_semi"))
+    right = cut_lineage(entered.join(mixed, ["seg", "key"], "left_semi").withColumnsRenamed({"seg": "seg_b", "key": "key_b"}))
+    on = ((F.col("seg") == F.col("seg_b")) & (F.col("key") == F.col("key_b")) & near("a", "b")
+          & (F.col("root_a") != F.col("root_b")) & (~F.col("same") | (F.col("a") < F.col("b"))))
+    more = cut_lineage(left.join(right, on).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct())
+    if more.isEmpty():
+        return nodes
+    return connected_components(nodes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more), "a", "b")
+
+
+def _classes(fps: DataFrame, first: Column, max_distance: int, segments: int) -> DataFrame:
+    """(``fp``, ``first``): the least ``first`` of the rows of ``fps`` in each fingerprint's component."""
+    distinct = cut_lineage(fps.groupBy("fp").agg(F.min(first).alias("first")))
+    nodes = near_nodes(distinct.select("fp"), max_distance, segments)
+    linked = distinct.join(nodes, distinct["fp"] == nodes["node"]).select("fp", "first", "root")
+    named = linked.groupBy("root").agg(F.min("first").alias("of_all"))
+    linked = linked.join(named, "root").select("fp", "of_all", F.lit(True).alias("linked"))
+    # Written out, so that a join by ``fp`` is a plain one of two shuffles: a
+    # fingerprint that many documents share is then split over tasks.
+    return cut_lineage(distinct.join(linked, "fp", "left")
+                       .select("fp", F.when(F.col("linked"), F.col("of_all")).otherwise(F.col("first")).alias("first")))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -135,16 +186,22 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id``
     (the smallest id that can be reached over links, its own included)."""
     fps = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
-    distinct = cut_lineage(fps.groupBy("fp").agg(F.min("id").alias("first_id")))
-    nodes = connected_components(near_pairs(distinct.select("fp"), max_distance, segments), "a", "b")
-    linked = distinct.join(nodes, distinct["fp"] == nodes["node"]).select("fp", "first_id", "root")
-    named = linked.groupBy("root").agg(F.min("first_id").alias("component"))
-    linked = linked.join(named, "root").select("fp", "component")
-    # Written out, so that the last join is a plain one of two shuffles: a
-    # fingerprint that many documents share is then split over tasks.
-    classes = cut_lineage(distinct.join(linked.withColumn("linked", F.lit(True)), "fp", "left")
-                          .select("fp", F.when(F.col("linked"), F.col("component"))
-                                  .otherwise(F.col("first_id")).alias("component_id")))
-    return (fps.join(classes, "fp")
+    return (fps.join(_classes(fps, F.col("id"), max_distance, segments), "fp")
             .select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                    "component_id"))
+                    F.col("first").alias("component_id")))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     shingle: int = 3, max_distance: int = 3, segments: int = 2) -> DataFrame:
+    """The rows of ``docs``, whole, that stand for their component: of each the one with the
+    smallest id (a null id comes last), of an id that repeats the text with the smallest digest.
+    Rows equal in id and text are one document and stay or go together. Only ids and digests of
+    the rows that go meet the texts again."""
+    mark = F.md5(F.coalesce(col(text_col).cast("string"), F.lit("")).cast("binary"))
+    who = F.struct(col(id_col).isNull().alias("none"), col(id_col).alias("id"), mark.alias("mark"))
+    fps = cut_lineage(fingerprints(docs.select(who.alias("who"), col(text_col).alias("text")), "who", "text", shingle))
+    classes = _classes(fps, F.col("id"), max_distance, segments)
+    goes = (fps.join(classes, "fp").where(F.col("id") != F.col("first"))
+            .select(F.col("id.id").alias("_gone_id"), F.col("id.mark").alias("_gone_mark")).distinct())
+    same = (mark == F.col("_gone_mark")) & col(id_col).eqNullSafe(F.col("_gone_id"))
+    return docs.join(cut_lineage(goes), same, "left_anti").select(*[col(c) for c in docs.columns])

@@ -2,15 +2,14 @@
 
 import random
 
-import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from shelfwise.llm import simhash, simhash_wide
+from shelfwise.llm import simhash
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.exact_dedup import exact_groups, keep_one
-from shelfwise.llm.simhash import fingerprint, near_pairs, simhash_components
+from shelfwise.llm.simhash import fingerprint, keep_one_of_each, near_nodes, simhash_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, h string, fp int, kept string"
 LONG = "Long Text " * 20_000
@@ -93,8 +92,14 @@ def test_fingerprint(text):
     assert fingerprint(text, 5) == slow_fingerprint(text, 5)
 
 
+def near_roots(spark, fps, most, segments):
+    signed = [f - 2 ** 64 if f >= 2 ** 63 else f for f in fps]
+    df = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(5)
+    return {r.node: r.root for r in near_nodes(df, most, segments).collect()}, signed
+
+
 @pytest.mark.parametrize("most,segments", [(3, 2), (3, 4), (5, 3), (0, 1), (4, 2)])
-def test_near_pairs(spark, most, segments):
+def test_near_nodes(spark, most, segments):
     rng = random.Random(most * 10 + segments)
     fps = {rng.getrandbits(64) for _ in range(60)} | {0, 2 ** 64 - 1}
     for f in list(fps):
@@ -103,12 +108,34 @@ def test_near_pairs(spark, most, segments):
             for b in rng.sample(range(64), rng.randint(1, most + 2)):
                 g ^= 1 << b
             fps.add(g)
-    signed = [f - 2 ** 64 if f >= 2 ** 63 else f for f in fps]
-    got = {tuple(sorted((r.a, r.b))) for r in near_pairs(
-        spark.createDataFrame([(f,) for f in signed], "fp long"), most, segments).collect()}
-    want = {tuple(sorted((a, b))) for a in signed for b in signed
-            if a < b and ((a ^ b) & (2 ** 64 - 1)).bit_count() <= most}
-    assert got == want
+    for f in list(fps)[:6]:           # groups that share a segment and lie apart: more than the first links must see
+        for _ in range(12):
+            g = f
+            for b in rng.sample(range(22), rng.randint(1, 8)):
+                g ^= 1 << b
+            fps.add(g)
+    got, signed = near_roots(spark, fps, most, segments)
+    links = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2 ** 64 - 1)).bit_count() <= most]
+    linked = {x for pair in links for x in pair}
+    assert got == {n: r for n, r in union_find(linked, links).items()}
+
+
+def test_a_large_group_of_near_fingerprints_is_joined_by_few_links(spark, monkeypatch):
+    """Rows of links grow with the group, not with its square."""
+    rng = random.Random(2)
+    seen = []
+    plain = simhash.connected_components
+    monkeypatch.setattr(simhash, "connected_components", lambda links, a, b: seen.append(links.count()) or plain(links, a, b))
+    for size in (200, 800):
+        centre, fps = rng.getrandbits(64), set()
+        while len(fps) < size:
+            g = centre
+            for b in rng.sample(range(32), rng.randint(1, 3)):
+                g ^= 1 << b
+            fps.add(g)
+        got, signed = near_roots(spark, fps | {centre}, 3, 2)
+        assert len(got) == size + 1 and len(set(got.values())) == 1
+    assert max(seen) < 800 * 3 * 35 and seen[-1] < 6 * seen[0]
 
 
 def test_components(spark):
@@ -124,6 +151,12 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
 
 
+def test_components_of_a_hub_with_the_largest_id(spark):
+    links = spark.range(100_000).select(F.lit(10 ** 9).alias("a"), F.col("id").alias("b"))
+    got = connected_components(links, "a", "b")
+    assert got.agg(F.count("*"), F.min("root"), F.max("root")).first()[:] == (100_001, 0, 0)
+
+
 def test_simhash_components(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(400)]
@@ -147,107 +180,30 @@ def test_simhash_components(spark):
     assert simhash_components(docs(spark, [])).collect() == []
 
 
-def jaccard(a, b, k=5):
-    sets = [{tuple(t.split()[i:i + k]) for i in range(max(1, len(t.split()) - k + 1))} for t in (a, b)]
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
-def test_wide_pairs_by_sampling():
-    """Share of pairs that meet under a value and are close enough, by similarity."""
-    rng = random.Random(1)
-    most = simhash_wide.max_distance(0.8)
-    found = {"0.8": [], "0.9": [], "low": []}
-    for trial in range(240):
-        n = rng.randint(120, 400)
-        a = [f"w{rng.randrange(5000)}" for _ in range(n)]
-        b = list(a)
-        for at in rng.sample(range(n), rng.randint(1, max(2, n // 12))):
-            b[at] = "x%d" % rng.randrange(1000)
-        j = jaccard(" ".join(a), " ".join(b))
-        (fa, ka), (fb, kb) = (simhash_wide.wide_fingerprint(" ".join(t)) for t in (a, b))
-        hit = bool(set(ka.tolist()) & set(kb.tolist())) and int(np.bitwise_count(fa ^ fb).sum()) <= most
-        if j >= 0.8:
-            found["0.9" if j >= 0.87 else "0.8"].append(hit)
-        elif j < 0.65:
-            found["low"].append(hit)
-    assert np.mean(found["0.9"]) >= 0.97 and np.mean(found["0.8"]) >= 0.75
-    assert len(found["low"]) > 20 and np.mean(found["low"]) <= 0.02
-
-
-def test_wide_fingerprint_of_distinct_shingles():
-    """A line that texts repeat weighs as one line, as in the Jaccard similarity of sets."""
-    rng = random.Random(4)
-    most = simhash_wide.max_distance(0.8)
-    for _ in range(10):
-        word = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
-        line = word(12)
-        apart = [" ".join(word(200) + line * 20) for _ in range(2)]
-        base = word(300)
-        near = [" ".join(base), " ".join(base + line * 5)]
-        assert jaccard(*apart) < 0.1 and jaccard(*near) > 0.9
-        (fa, _), (fb, _) = map(simhash_wide.wide_fingerprint, apart)
-        assert int(np.bitwise_count(fa ^ fb).sum()) > most
-        (fa, ka), (fb, kb) = map(simhash_wide.wide_fingerprint, near)
-        assert int(np.bitwise_count(fa ^ fb).sum()) <= most and set(ka.tolist()) & set(kb.tolist())
-
-
-def test_wide_links_are_exact(spark):
-    """Of pairs just over 0.8 nearly all link, of those under it none, whatever their estimate."""
-    rng = random.Random(6)
-    rows, similar = [], {}
-    for i in range(400):
-        n = rng.randint(150, 400)
-        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
-        near = list(base)
-        at = rng.randrange(n // 2)
-        want = rng.uniform(0.76, 0.84)
-        cut = round((n - 8 - want * n) / (1 + want))               # a passage of other words
-        near[at:at + cut] = [f"x{rng.randrange(10 ** 6)}" for _ in range(cut)]
-        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(near))]
-        similar[2 * i] = jaccard(rows[-2][1], rows[-1][1])
-    line = [f"l{i}" for i in range(12)]
-    for i in (2000, 2001):                                         # a common line, often repeated
-        rows.append((i, " ".join([f"{i}-{k}" for k in range(200)] + line * 20)))
-    rows += [(2002, " ".join(map(str, range(300)))), (2003, " ".join([*map(str, range(300)), *line * 5]))]
-    got = {r.doc_id: r.component_id for r in simhash_wide.near_components(docs(spark, rows)).collect()}
-    over = [got[a + 1] == a for a, j in similar.items() if j >= 0.8]
-    under = [got[a + 1] == a for a, j in similar.items() if j < 0.8]
-    assert len(over) > 80 and np.mean(over) >= 0.95
-    assert len(under) > 80 and not any(under)
-    assert [got[i] for i in range(2000, 2004)] == [2000, 2001, 2002, 2002]
-
-
-def test_wide_groups(spark):
+def test_one_of_each_stays(spark):
     rng = random.Random(9)
+    word = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
     rows = []
-    for i in range(12):
-        base = [f"w{rng.randrange(3000)}" for _ in range(200)]
-        rows.append((i * 100, " ".join(base)))
-        for k in range(1, 5 if i else 40):   # one large group
+    for i in range(30):
+        base = word(400)
+        rows.append((i * 10, " ".join(base)))
+        for k in range(1, 3):
             near = list(base)
-            near[rng.randrange(200)] = f"y{k}"
-            rows.append((i * 100 + k, " ".join(near)))
-    rows += [(9000, None), (9001, ""), (9002, "a b"), (9003, "a  B"), (None, "a b"), (9004, LONG), (9005, LONG)]
-    got = {r.doc_id: r.component_id for r in simhash_wide.near_components(docs(spark, rows)).collect()}
-    want = {i: i // 100 * 100 for i, _ in rows if i is not None and i < 9000}
-    want |= {9000: 9000, 9001: 9000, 9002: 9002, 9003: 9002, 9004: 9004, 9005: 9004}
-    assert got == want
-    kept = simhash_wide.keep_one_of_each(docs(spark, rows))
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted({*want.values(), None}, key=str)
-    assert kept.columns == docs(spark, []).columns
-    assert simhash_wide.keep_one_of_each(docs(spark, [])).collect() == []
-    assert simhash.SEED == 42
-
-
-def test_wide_repeated_ids(spark):
-    """One id on different texts neither joins their groups nor takes its texts along."""
-    rng = random.Random(12)
-    a, b, c, d = ([f"w{rng.randrange(10 ** 6)}" for _ in range(100)] for _ in range(4))
-    near = lambda t: " ".join([*t[:-1], "other"])
-    rows = [(5, " ".join(a)), (5, " ".join(b)), (6, near(a)), (4, near(b)), (5, " ".join(c)), (5, " ".join(d)),
-            (5, near(d)), (5, None), (7, "")]
-    groups = sorted((r.doc_id, r.component_id) for r in simhash_wide.near_components(docs(spark, rows)).collect())
-    assert groups == [(4, 4), (5, 4), (5, 5), (5, 5), (5, 5), (5, 5), (5, 5), (6, 5), (7, 5)]
-    kept = [(r.doc_id, r.text) for r in simhash_wide.keep_one_of_each(docs(spark, rows)).collect()]
-    assert len(kept) == 5 and {(5, " ".join(a)), (4, near(b)), (5, " ".join(c)), (5, None)} < set(kept)
-    assert sum(t in (" ".join(d), near(d)) for _, t in kept) == 1
+            near[rng.randrange(400)] = f"y{k}"
+            rows.append((i * 10 + k, " ".join(near)))
+    a, b = " ".join(word(300)), " ".join(word(300))
+    rows += [(9000, None), (9001, ""), (9002, "a b"), (9003, "a  B"), (9004, LONG), (9005, LONG), (None, "a b"),
+             (5000, a), (5000, b), (4999, a), (None, "quite alone here")]          # one id on two texts
+    fp = [slow_fingerprint(t, 3) for _, t in rows]
+    n = range(len(rows))
+    roots = union_find(n, [(x, y) for x in n for y in n if x < y and (fp[x] ^ fp[y]).bit_count() <= 3])
+    want = []
+    for root in set(roots.values()):
+        want.append(min((rows[x][0] is None, rows[x][0] or 0, x) for x in n if roots[x] == root)[2])
+    d = docs(spark, rows)
+    kept = keep_one_of_each(d)
+    assert kept.columns == d.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect() if r.doc_id is not None) == sorted(
+        rows[x] for x in want if rows[x][0] is not None)
+    assert [r.text for r in kept.collect() if r.doc_id is None] == ["quite alone here"]
+    assert keep_one_of_each(docs(spark, [])).collect() == []
