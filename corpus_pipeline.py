@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import bpe, langid, mixing
 from shelfwise.llm.exact_dedup import keep_one
-from shelfwise.llm.simhash_wide import keep_one_of_each
+from shelfwise.llm.simhash import keep_one_of_each
 from shelfwise.session import scratch_dir
 
 # A document is kept if some language is this likely for it. Texts without a
@@ -29,14 +29,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal but for the case of A-Z, the smallest id stays (operator 7)."""
+    """Of texts that are equal but for the case of A-Z, the smallest id stays (operator 7).
+
+    A null text counts as empty; a null id goes before any other; very long texts are compared whole."""
     return keep_one(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share 0.8 of their five-word shingles by SimHash, the smallest
-    id stays (operator 1 with a fingerprint wide enough for that similarity)."""
-    return keep_one_of_each(docs)
+    """Of documents that SimHash links, by three-word shingles at 3 bits or fewer, the smallest
+    id stays (operator 1).
+
+    Texts without words have one fingerprint and are one group; a null id goes before any other."""
+    return keep_one_of_each(docs, shingle=3, max_distance=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every copy's token ids, and whether they decode to its text (operator 9)."""
+    """Every copy's token ids, and whether they decode to its text (operator 9). A null text has none."""
     ids = bpe.encode(docs.select("doc_id", "source", "text"))
     return bpe.decode(ids).select(
         "doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
