@@ -3,16 +3,24 @@
 A page is read once into a sequence of tags and runs of words. Words score
 positive by the block they stand in, tags negative by their name; one linear
 scan finds the contiguous region with the largest sum, and the text blocks of
-that region are the result. Elements that are never part of an article
-(menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, reader comments: by element, role, class or id) are skipped whole,
-so one that stands inside the article does not cut it in two. Where a page
-has an ``article`` or ``main`` element, words outside of it score against.
+that region are the result. A page with ``article`` or ``main`` elements has a
+label of its own: words outside score against, and the region is widened to
+hold these elements whole, however many tags they hold.
+
+An element whose name, class, id or role tells that it is no article text (a
+menu, footer, sidebar, notice, advert, form, reader's comment) counts as one tag
+and is left out whole, so one inside the article does not cut it in two. What
+tells so is weighed, too: an element goes if the weights of its hints sum up
+to less than zero. An article itself never goes.
 
 The weights are log-odds of a token inside against outside the article, counted
-over all labelled pages: those with an ``article`` or ``main`` element. Word
-weights are kept above zero and tag weights below. Without labelled pages
-(or for a token they lack) a word weighs 1 and a tag next to nothing.
+over all labelled pages: words by block, tags by name, and hints by the words
+below them, those of an article they enclose against all others. (A hint inside
+an article says nothing about itself and is not counted.) Word weights are kept
+above zero and tag weights below. A hint that no labelled page has counts as
+seen outside, ``PRIOR``; so without labelled pages the fixed lists decide, a
+word weighs 1 and a tag next to nothing. Ids that may as well name a topic
+(``TOPICS``) have no such prior.
 
 Scale: two passes over the pages, row by row. Training emits some sixty
 counts a task; the weights, as many, go along with the code.
@@ -42,7 +50,8 @@ from shelfwise.llm.common import col, ship_code, without
 # HTML's elements by their part in a page.
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "xmp", "noembed", "noframes"}
 SKIPPED = {"head", "nav", "footer", "aside", "form", "svg", "button", "select", "dialog", "menu", "object", "canvas",
-           "audio", "video", "math", "datalist", "fieldset", "label", "option"}
+           "audio", "video", "datalist", "fieldset", "option"}
+SKIPPED_BLOCKS = {"head", "nav", "footer", "aside", "form", "dialog", "menu", "fieldset"}
 BLOCKS = {"address", "article", "blockquote", "body", "caption", "center", "dd", "details", "dir", "div", "dl", "dt",
           "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "li", "main",
           "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
@@ -65,10 +74,14 @@ COMPANIONS = {"area", "bar", "block", "body", "bottom", "box", "button", "button
               "wrapper"}
 COMMENTS = {"comment", "comments", "commentlist", "disqus", "replies", "respond"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+TOPICS = {"search", "related", "recommended", "social", "share", "sharing", "subscription", "widget", "widgets", "form"}
 
 LEAST = 0.05     # smallest size of a weight
 WORD = 1.0       # a word in a block that no labelled page has
 OUTSIDE = 1.0    # what a word costs beside the article of a page that has one
+TAG = 1.0        # largest cost of a tag: a few of them never outweigh a title
+SEEN = 20        # words that a hint of the lists counts as seen outside beforehand
+PRIOR = float(np.log(1 / (1 + SEEN)))
 
 _TOKEN = re.compile(
     r"<!--(?:.*?(?:-->|--!>)|.*)"                                   # comment, or cut off
@@ -87,25 +100,34 @@ def _marks(token: str, hints: set[str]) -> bool:
     return whole in hints or bool(parts & hints) and all(p in hints or p in COMPANIONS or p.isdigit() for p in parts)
 
 
-def _hinted(name: str, attributes: str, in_article: bool) -> str:
-    """What the class, id and role of an element say that it is: ``comments``, ``other`` or nothing.
+def _hints(name: str, attributes: str, in_article: bool) -> set[str]:
+    """What the name, class, id and role of an element say against it: kinds of hints (``e:``
+    for elements, ``c:`` for words, ``i:`` for an id that may be a topic).
 
     Inside an article ids name its parts: only those of comments count there, and none of a heading."""
     if name in ("html", "body", "main"):
-        return ""
-    found = ""
+        return set()
+    found = {f"e:{name}"} if name in SKIPPED or name == "header" and not in_article else set()
     for m in _ATTRIBUTE.finditer(attributes):
         kind = m[1].lower()
         if kind not in ("class", "id", "role") or kind == "id" and in_article and name in HEADINGS:
             continue
         for token in html.unescape(m[2] or m[3] or m[4] or "").split():
-            if _marks(token, COMMENTS):
-                return "comments"
-            if not (kind == "id" and in_article) and _marks(token, HINTS if in_article else HINTS | HEADER_HINTS):
-                found = "other"
+            comment = _marks(token, COMMENTS)
+            if comment or not (kind == "id" and in_article) and _marks(token, HINTS if in_article else HINTS | HEADER_HINTS):
+                word = token.lower()
+                if kind == "id" and word in TOPICS:
+                    found.add(f"i:{word}")
+                else:
+                    parts = {p.lower() for p in _NAME_PART.findall(token)}
+                    found.update(f"c:{p}" for p in parts & (HINTS | HEADER_HINTS) or {"compound"})
     return found
 
 
+def _goes(kinds: set[str], weights: dict[str, float]) -> bool:
+    return sum(weights.get(k, 0.0 if k[0] == "i" else PRIOR) for k in kinds) < 0
+
+
 def _raw_end(page: str, at: int, name: str) -> int:
     """Where the end tag of an element without markup ends, whose content begins at ``at``.
 
@@ -129,26 +151,25 @@ def _raw_end(page: str, at: int, name: str) -> int:
     return _TOKEN.match(page, m.start()).end() if m else len(page)
 
 
-def tokens(page: str, hints: str = "all", lost: Counter | None = None) -> Iterator[tuple[str, str, bool]]:
-    """(kind, text, in the article) of a page, in order. ``hints`` says which classes, ids and
-    roles skip an element: ``all``, those of ``comments`` or ``none``. ``lost`` counts the words
-    that were skipped by what hint.
+def tokens(page: str, weights: dict[str, float] | None) -> Iterator[tuple[str, str, bool, frozenset[str]]]:
+    """(kind, text, in the article, hints around) of a page, in order. Elements whose hints weigh
+    against them are one ``t:skipped``. Without ``weights`` nothing is left out, and hints around
+    are those of open elements; inside an article those that enclose it.
 
     Kind is ``w:`` and the block that text stands in, or ``t:`` and the tag;
     ``|`` comes before each kind of a tag that ends a block."""
     at = 0
-    skip: list[str] = []         # open elements from the outermost skipped one on
-    why = ""                     # the hint that skips it, or nothing
-    words = {"all": {"comments", "other"}, "comments": {"comments"}, "none": set()}[hints]
-    article = 0                  # open article elements
+    skip: list[str] = []         # open elements from the outermost one on that goes (or, to count, has hints)
+    seen: list[set[str]] = []    # the hints of each
+    around: frozenset[str] = frozenset()
+    article, had_article = 0, False  # open article elements; whether there was one
     link, leaf, leaf_out = 0, "other", False
     while True:
         m = _TOKEN.search(page, at)
         text = page[at:m.start()] if m else page[at:]
-        if text and not skip and not leaf_out and not text.isspace():
-            yield "w:" + ("a" if link else leaf), text, article > 0
-        elif lost is not None and why and (skip or leaf_out) and not SKIPPED.intersection(skip):
-            lost[why] += len(text.split())
+        if text and not text.isspace() and (weights is None or not skip and not leaf_out):
+            inner = frozenset().union(*seen) if skip else around
+            yield "w:" + ("a" if link else leaf), text, article > 0 and not skip, inner
         if m is None:
             return
         at = m.end()
@@ -159,23 +180,34 @@ def tokens(page: str, hints: str = "all", lost: Counter | None = None) -> Iterat
         if m[4] == "":           # the page ends inside a tag
             return
         if skip:
+            block = name in BLOCKS
             if closing:
                 if name in skip:
                     while skip.pop() != name:
-                        pass
+                        seen.pop()
+                    seen.pop()
                 elif name in ("body", "html"):
-                    skip.clear()
-            elif name in ARTICLE and _hinted(name, m[3], True) not in words and "article" not in skip and article == 0 \
-                    and not set(skip) & {"nav", "footer", "aside", "form"}:
-                skip.clear()     # an element left open does not swallow the article
-                article += 1
-                yield "|t:" + name, "", True
+                    skip, seen = [], []
+            elif name in ARTICLE and not had_article and not set(skip) & {"article", "nav", "footer", "aside", "form"} \
+                    and not any(k[2:] in COMMENTS for kinds in [*seen, _hints(name, m[3], True)] for k in kinds):
+                around = frozenset().union(*seen)
+                skip, seen = [], []   # an element left open does not swallow the article
+                article, had_article = article + 1, True
+                link, leaf = 0, "other"
+                yield "|t:" + name, "", True, around
+                continue
             elif name in RAW and not m[3].endswith("/"):
                 at = _raw_end(page, at, name)
             elif name == "body" and skip[0] == "head":
-                skip.clear()
+                skip, seen = [], []
             elif name not in VOID and not m[3].endswith("/"):
                 skip.append(name)
+                seen.append(_hints(name, m[3], article > 0) if weights is None else set())
+            if weights is None:
+                leaf = name if name in LEAVES and not closing else "other" if block else leaf
+                link = (0 if closing else 1) if name == "a" else 0 if block else link
+                yield ("|" if block else "") + "t:" + ("/" if closing else "") + (
+                    name if block or name in INLINE else "other"), "", False, frozenset()
             continue
         if not closing and name in RAW:
             at = _raw_end(page, at, name) if not m[3].endswith("/") else at
@@ -184,63 +216,62 @@ def tokens(page: str, hints: str = "all", lost: Counter | None = None) -> Iterat
         if block:
             leaf_out = False
         if not closing and name not in VOID:
-            why = _hinted(name, m[3], article > 0)
-            why = why if why in words and not (name == "article" and not article) else ""
-            out = why or name in SKIPPED or name == "header" and not article
-            why = "" if name in SKIPPED else why
-            if out and name in LEAVES and name != "li":
-                leaf, leaf_out = name, True     # its end tag may be left out: until the next block
-                yield "|t:skipped", "", article > 0
-                continue
-            if out and not m[3].endswith("/"):
-                skip.append(name)
-                yield "|t:skipped", "", article > 0
-                continue
+            hints = set() if name == "article" and not article else _hints(name, m[3], article > 0)
+            if hints and (weights is None or _goes(hints, weights)) and not m[3].endswith("/"):
+                ends = block or name in SKIPPED_BLOCKS
+                if name in LEAVES and name != "li" and weights is not None:
+                    leaf, leaf_out = name, True     # its end tag may be left out: until the next block
+                elif name not in LEAVES or name == "li":
+                    skip, seen = [name], [hints]
+                yield ("|" if ends else "") + "t:skipped", "", article > 0, frozenset()
+                if skip or leaf_out:
+                    continue
         if name in ARTICLE:
             article = max(0, article - 1) if closing else article + 1
+            had_article = True
+            around = around if article else frozenset()
         if name == "a":
             link = 0 if closing else 1
         if block:
             link = 0
             leaf = name if name in LEAVES and not closing else "other"
         known = name if block or name in INLINE else "other"
-        yield ("|" if block else "") + "t:" + ("/" if closing else "") + known, "", article > 0
+        yield ("|" if block else "") + "t:" + ("/" if closing else "") + known, "", article > 0, frozenset()
 
 
 def _clean(parts: list[str]) -> str:
     return " ".join(html.unescape("".join(parts)).split())
 
 
-def extract(page: str | None, weights: dict[str, float]) -> str:
-    """The main text of one page: its blocks, joined by line breaks."""
-    lost: Counter = Counter()
-    seq = list(tokens(page or "", lost=lost))
-    kept = sum(len(text.split()) for kind, text, _ in seq if kind.startswith("w:"))
-    if lost["other"] > kept:     # the hint was on what wraps the text; readers' comments may well be longer than it
-        seq = list(tokens(page or "", hints="comments"))
-    if not any(kind.startswith("w:") for kind, _, _ in seq):
-        seq = list(tokens(page or "", hints="none"))
-    has_article = any(inside for _, _, inside in seq)
-    best, best_span, total, start = 0.0, None, 0.0, 0
-    for i, (kind, text, inside) in enumerate(seq):
-        if kind.startswith("w:"):
-            n = len(text.split())
-            w = -OUTSIDE if has_article and not inside else max(LEAST, weights.get(kind, WORD))
-            score = n * w
-        else:
-            key = kind.lstrip("|")
-            score = -LEAST if key == "t:skipped" else min(-LEAST, weights.get(key, -LEAST))
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """The bounds of the contiguous run with the largest sum (the first such; empty if none is over zero)."""
+    best, span, total, start = 0.0, (0, 0), 0.0, 0
+    for i, score in enumerate(scores):
         if total <= 0:
             total, start = 0.0, i
         total += score
         if total > best:
-            best, best_span = total, (start, i + 1)
-    if best_span is None:
-        return ""
+            best, span = total, (start, i + 1)
+    return span
+
+
+def _score(kind: str, text: str, beside: bool, weights: dict[str, float]) -> float:
+    if kind.startswith("w:"):
+        return len(text.split()) * (-OUTSIDE if beside else max(LEAST, weights.get(kind, WORD)))
+    return max(-TAG, min(-LEAST, weights.get(kind.lstrip("|"), -LEAST)))
+
+
+def extract(page: str | None, weights: dict[str, float]) -> str:
+    """The main text of one page: its blocks, joined by line breaks."""
+    seq = list(tokens(page or "", weights))
+    marked = [i for i, (_, _, inside, _) in enumerate(seq) if inside]
+    first, last = best_region([_score(kind, text, bool(marked) and not inside, weights) for kind, text, inside, _ in seq])
+    if marked:
+        first, last = min(first, marked[0]) if last else marked[0], max(last, marked[-1] + 1)
     blocks: list[list[str]] = [[]]
-    for kind, text, inside in seq[best_span[0]:best_span[1]]:
+    for kind, text, inside, _ in seq[first:last]:
         if kind.startswith("w:"):
-            if inside or not has_article:
+            if inside or not marked:
                 blocks[-1].append(text)
         elif kind.startswith("|"):
             blocks.append([])
@@ -258,12 +289,14 @@ def fit(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
         outside: Counter = Counter()
         for batch in batches:
             for page in batch.column(0):
-                seq = list(tokens(page.as_py() or ""))
-                if not any(x for _, _, x in seq):
+                seq = list(tokens(page.as_py() or "", None))
+                if not any(x for _, _, x, _ in seq):
                     continue
-                for kind, text, x in seq:
+                for kind, text, x, around in seq:
                     n = len(text.split()) if text else 1
                     (inside if x else outside)[kind.lstrip("|")] += n
+                    for hint in around if text else ():
+                        (inside if x else outside)[hint] += n
         kinds = sorted({*inside, *outside})
         yield pa.RecordBatch.from_arrays(
             [pa.array(kinds, pa.string()), pa.array([inside[k] for k in kinds], pa.int64()),
@@ -273,9 +306,13 @@ def fit(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
            .mapInArrow(count, "kind string, inside long, outside long")
            .groupBy("kind").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
            .collect())  # one row for each kind of token, which the element lists bound
-    all_in = sum(r["inside"] for r in got) + len(got)
-    all_out = sum(r["outside"] for r in got) + len(got)
-    return {r["kind"]: float(np.log((r["inside"] + 1) / all_in) - np.log((r["outside"] + 1) / all_out)) for r in got}
+    plain = [r for r in got if r["kind"][0] in "wt"]
+    all_in = sum(r["inside"] for r in plain) + len(plain)
+    all_out = sum(r["outside"] for r in plain) + len(plain)
+    shift = {"w": np.log(all_out / all_in), "t": np.log(all_out / all_in), "c": 0.0, "e": 0.0, "i": 0.0} if plain else {}
+    before = {"w": 1, "t": 1, "c": 1 + SEEN, "e": 1 + SEEN, "i": 1}
+    return {r["kind"]: float(np.log((r["inside"] + 1) / (r["outside"] + before[r["kind"][0]])) + shift[r["kind"][0]])
+            for r in got}
 
 
 def main_text(pages: DataFrame, weights: dict[str, float], html_col: str = "html",

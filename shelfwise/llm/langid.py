@@ -1,7 +1,7 @@
 """Language identification: multinomial logistic regression on TF-IDF character n-grams.
 
 Features: character 1-, 2- and 3-grams of the lower-cased text, everything
-but letters read as blanks, hashed to ``2**HASH_BITS`` buckets; sublinear
+but letters and marks below U+3000 read as blanks, hashed to ``2**HASH_BITS`` buckets; sublinear
 term frequency times inverse document frequency, scaled to unit length.
 Document frequencies and label counts come from all training rows. The
 weights are trained with follow-the-regularised-leader (FTRL-Proximal, with

@@ -18,8 +18,9 @@ key held by a third of all rows is spread over shards that fit; a document
 that alone exceeds the limit is a shard of its own (``oversize``).
 
 Scale: texts are read once, for their length. What goes on is a row of a
-hundred bytes for each document. ``write_shards`` writes the rows out with a
-number, by which they meet their shards, and moves every text once.
+hundred bytes for each document. ``write_shards`` writes every text three
+times: with a row number, on the way to its shard's name by that number, and
+on the way to its shard.
 
 Nulls and edge cases: a null text has no bytes. A null key is placed by its
 text. Rows that repeat a key are rows of their own. An empty table has no
