@@ -290,7 +290,7 @@ def reorder_point_col(velocity: Column, procurement: Column, level: Column | Non
 def build_gold(trx: DataFrame, inv: DataFrame, sup: DataFrame,
                overrides: dict | None = None, labels=SALE_LABELS,
                fallback: bool = True, dedup: bool = True,
-               median_accuracy: int = 10000, normalize: bool = True) -> DataFrame:
+               median_accuracy: int = 10000, normalize: bool = True, summarise=None) -> DataFrame:
     """The gold feature table: one row per inventory product.
 
     Column names are first normalized (C2: runs of whitespace, '-' and '/'
@@ -298,19 +298,27 @@ def build_gold(trx: DataFrame, inv: DataFrame, sup: DataFrame,
     ``{"transactions"|"inventory"|"suppliers": {role: column}}`` with
     normalized names. Inventory rows repeating a product are reduced to
     one: the latest received, then the greatest by every column.
+    ``summarise`` replaces ``movement_summary`` where ``trx`` is not a table of
+    movements but has a ``product_id`` (see ``incremental``).
     Launches no job: the result is a lazy DataFrame.
     """
     overrides = overrides or {}
     if normalize:
         trx, inv, sup = (x if normalized_names(x.columns, collapse=True) == x.columns
                          else normalize_columns(x, collapse=True) for x in (trx, inv, sup))
-    tr = resolve_transaction_roles(trx.columns, overrides.get("transactions"))
+    product = PRODUCT
+    if summarise is None:
+        tr = resolve_transaction_roles(trx.columns, overrides.get("transactions"))
+        product = tr.product
+
+        def summarise(rows: DataFrame) -> DataFrame:
+            return movement_summary(rows, tr, labels, fallback)
     ir = resolve_inventory_roles(inv.columns, overrides.get("inventory"))
     sr = resolve_supplier_roles(sup.columns, overrides.get("suppliers"))
     mode = supplier_lead_mode(sr)
 
     # Key types may differ between sources (all inferred).
-    own, moved = dtype_of(inv, ir.product), dtype_of(trx, tr.product)
+    own, moved = dtype_of(inv, ir.product), dtype_of(trx, product)
     supplied = [dtype_of(sup, sr.product)] if mode == "by_product" else []
     wanted = key_type(own, moved, *supplied)
     same = all(t == own for t in (moved, *supplied))
@@ -331,11 +339,11 @@ def build_gold(trx: DataFrame, inv: DataFrame, sup: DataFrame,
         inv_p = dedup_by_key(inv_p, [PRODUCT], order_by=["_received"] if ir.received else None)
 
     if same:
-        mv = movement_summary(trx, tr, labels, fallback)
+        mv = summarise(trx)
     else:  # movements are summed by the common key; the inventory keeps its own column
         inv_p = inv_p.withColumn(key, as_key(F.col(PRODUCT), own, wanted))
-        trx = trx.withColumn(tr.product, as_key(qcol(tr.product), moved, wanted))
-        mv = movement_summary(trx, tr, labels, fallback).withColumnRenamed(PRODUCT, key)
+        trx = trx.withColumn(product, as_key(qcol(product), moved, wanted))
+        mv = summarise(trx).withColumnRenamed(PRODUCT, key)
     df = inv_p.join(mv, key, "left")
 
     if mode == "by_product":

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.naming import resolve_inventory_roles, resolve_supplier_roles
 from shelfwise.operators import features as fe
+from shelfwise.operators import incremental as ic
 from shelfwise.plans.catalog import register
+from shelfwise.session import scratch_dir
 from shelfwise.sources import fixtures as fx
 
 # Written out, not taken from the code: the oracle must notice a wrong label.
@@ -269,3 +271,24 @@ def dedup_by_key(spark, d):
     """One row per key, latest first, then every column (deterministic)."""
     return fe.dedup_by_key(fx.movements(spark, d), ["product_id"], order_by=["transaction_date"])
 
+
+
+def _in_three(spark, d, trx):
+    """Gold after three increments of the movements, cut by the year of a row."""
+    root = scratch_dir(spark, "gold-state")
+    part = F.pmod(F.coalesce(F.year("transaction_date"), F.lit(0)), F.lit(3))
+    for n in range(3):
+        path = ic.advance(spark, root, trx(spark, d).where(part == n), version=n)
+    return ic.gold_of_partials(spark.read.parquet(path), fx.inventory(spark, d), fx.suppliers_by_product(spark, d))
+
+
+@register("gold_incremental", GOLD_SQL)
+def gold_incremental(spark, d):
+    """F3-F7, F23 from stored partials: each increment reads its own rows and the state."""
+    return _in_three(spark, d, fx.movements)
+
+
+@register("gold_incremental_fallback", gold_sql(trx="movements_nosale"))
+def gold_incremental_fallback(spark, d):
+    """The same where no increment has a sale label: the rule is decided by the state."""
+    return _in_three(spark, d, fx.movements_nosale)
