@@ -2,25 +2,35 @@
 
 The batch silver job rewrites the whole zone on every run. Here new bronze
 CSV files are picked up as they land (``trigger(availableNow=True)`` for a
-scheduled catch-up run, or a processing-time trigger for a continuous one)
-and appended to silver with the same cleaning steps.
-
-Every file counts, whatever its modification time: there is no watermark, and
-the file source's own age limit (7 days by default) is lifted. Duplicates
-are dropped whenever they land: each micro-batch is reduced to distinct rows
-and joined against the content keys that silver holds (anti join on one
-column). A batch that is run again after a failure finds its rows there and
-adds nothing, so the sink is idempotent.
-
-Silver is append-only. Where rows have an ``id``, later versions of a row
-are appended beside earlier ones, and ``silver_snapshot`` picks the latest
-for each id, which equals the batch job's table. Progress lives in
-``checkpoint`` (default: a folder below ``spark.checkpoint.dir``).
+scheduled catch-up run, or a processing-time trigger for a continuous one),
+cleaned with the same steps and appended to silver, a folder for each
+micro-batch.
+
+What has been seen is state of the stream, on RocksDB beside the checkpoint:
+silver itself is never read, so a batch costs its own rows and the lookup of
+their keys, however long the history is.
+
+* Rows without an ``id``: the state holds the content key of every row, and a
+  row passes the first time only.
+* Rows with an ``id``: the state holds the latest version of every id (by the
+  rule of ``dedup_by_key``); a batch writes the versions that it changed.
+  ``silver_snapshot`` picks the last one of each id.
+
+Every file counts, whatever its modification time: the file source's own age
+limit (7 days by default) is lifted. With ``horizon`` (e.g. ``"30 days"``) the
+state forgets a key that long after it arrived, which bounds it. No row is ever
+too late: time is that of arrival. A copy or an old version that arrives after
+its key was forgotten is written again, and ``silver_snapshot(...,
+horizon=True)`` settles it, so a snapshot always equals the batch job's table.
+
+A batch that is run again after a failure overwrites its own folder. Progress
+and state live in ``checkpoint`` (default: a folder below ``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.functions.naming import normalize_columns
@@ -28,49 +38,83 @@ from shelfwise.operators import cleaning as cl
 from shelfwise.session import checkpoint_root
 
 CONTENT = "_content"
+BATCH = "_batch"
+ARRIVED, SPAN = "_arrived", "_span"
 EVERY_AGE = "36500d"  # the file source drops files older than this against the newest
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
-def clean_versions(raw: DataFrame) -> DataFrame:
-    """The batch job's cleaning (C1, C3-C6) with duplicates of whole rows dropped, every
-    version of an id kept, and the content key of each row."""
+def clean_rows(raw: DataFrame) -> DataFrame:
+    """The batch job's cleaning (C1, C3-C6) row by row, and the content key of each row."""
     df = cl.trim_strings(normalize_columns(raw))
-    df = cl.dedup_rows(cl.fill_quantity(cl.parse_datetimes(df)))
+    df = cl.fill_quantity(cl.parse_datetimes(df))
     df = df.withColumn(CONTENT, cl.content_hash(df))
     return df if "transaction_id" in df.columns else df.withColumn("transaction_id", df[CONTENT])
 
 
-def silver_snapshot(spark: SparkSession, silver_dir: str) -> DataFrame:
+def _latest(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The latest version of each ``id``; what is made from the row decides nothing."""
+    own = [c for c in df.columns if c not in ("transaction_id", CONTENT, ARRIVED, SPAN)]
+    return cl.dedup_by_key(df, keys, order_by=cl.instants(df.select(*own)))
+
+
+def new_rows(rows: DataFrame, horizon: str | None = None) -> DataFrame:
+    """Of a stream of cleaned rows, those that silver has to take: the first of equal rows, or
+    of each ``id`` every version that is later than what came before."""
+    if horizon:
+        rows = rows.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, horizon)
+    if "id" not in rows.columns:
+        seen = rows.dropDuplicatesWithinWatermark([CONTENT]) if horizon else rows.dropDuplicates([CONTENT])
+        return seen.drop(ARRIVED)
+    if horizon:  # one state for each id and span of arrival; spans that are over are forgotten
+        return _latest(rows.withColumn(SPAN, F.window(ARRIVED, horizon)).drop(ARRIVED), ["id", SPAN]).drop(SPAN)
+    return _latest(rows, ["id"])
+
+
+def silver_snapshot(spark: SparkSession, silver_dir: str, horizon: bool = False) -> DataFrame:
     """What the batch job would have made of all files: the latest row of each ``id``,
-    or all rows where there is none."""
-    df = spark.read.parquet(silver_dir).drop(CONTENT)
-    if "id" not in df.columns:
-        return df
-    own = [c for c in df.columns if c != "transaction_id"]
-    return cl.dedup_by_key(df, ["id"], order_by=cl.instants(df.select(*own)))
+    or all rows where there is none. ``horizon`` says that the stream had one."""
+    df = spark.read.parquet(silver_dir).drop(BATCH)
+    if "id" in df.columns:
+        return _latest(df, ["id"]).drop(CONTENT)
+    return (df.dropDuplicates([CONTENT]) if horizon else df).drop(CONTENT)
+
+
+def _stateful_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` with its settings and a state store that need not fit in memory."""
+    own = spark.newSession()
+    for k, v in {**spark.conf.getAll, **STATE_CONF}.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    return own
 
 
 def start_silver_stream(spark: SparkSession, bronze_dir: str, silver_dir: str, schema,
                         checkpoint: str | None = None, available_now: bool = True,
-                        processing_time: str | None = None,
-                        max_files_per_trigger: int | None = None, multi_line: bool = True) -> StreamingQuery:
+                        processing_time: str | None = None, max_files_per_trigger: int | None = None,
+                        multi_line: bool = True, horizon: str | None = None) -> StreamingQuery:
     """Start the ingest; returns the running ``StreamingQuery``. ``multi_line`` keeps quoted
     line breaks, as the batch job does."""
+    spark = _stateful_session(spark)
+    silver_dir = silver_dir.rstrip("/")
     reader = (spark.readStream.schema(schema).option("header", True).option("escape", '"')
               .option("multiLine", multi_line).option("maxFileAge", EVERY_AGE))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(bronze_dir)
-    # The folder exists from the start, so every batch can look up what is there.
-    empty = clean_versions(spark.createDataFrame([], raw.schema))
-    empty.write.mode("append").parquet(silver_dir)
+    # A snapshot can be read from the start.
+    clean_rows(spark.createDataFrame([], raw.schema)).write.mode("overwrite").parquet(f"{silver_dir}/{BATCH}=-1")
 
-    def append(batch: DataFrame, _: int) -> None:
-        there = batch.sparkSession.read.schema(empty.schema).parquet(silver_dir).select(CONTENT)
-        clean_versions(batch).join(there, CONTENT, "left_anti").write.mode("append").parquet(silver_dir)
+    def write(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{silver_dir}/{BATCH}={n}")
 
     ckpt = checkpoint or f"{checkpoint_root(spark)}/shelfwise/streams/{silver_dir.strip('/').replace('/', '_')}"
-    w = raw.writeStream.foreachBatch(append).option("checkpointLocation", ckpt)
+    w = (new_rows(clean_rows(raw), horizon).writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", ckpt))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
