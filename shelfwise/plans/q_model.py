@@ -6,6 +6,9 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from shelfwise.operators import bootstrap as bs
+from shelfwise.operators import forest as fo
+from shelfwise.operators import importance as im
 from shelfwise.operators import metrics as mt
 from shelfwise.operators import modeling as md
 from shelfwise.operators import recommend as rc
@@ -167,3 +170,85 @@ def model_recommend(spark, d):
     """M10 -> R6: recommendations from the forests' predictions."""
     risk, rop = _models(spark, d)
     return rc.recommend(md.score(_gold(spark, d), risk, rop))
+
+
+# Two trees, as a node table: tree, node, feature, threshold, left, right, value, weights of both classes.
+_TWO_TREES = [
+    (0, 0, "order_days", 9.0, 1, 2, None, None), (0, 1, None, None, -1, -1, 40.0, [1.0, 3.0]),
+    (0, 2, "stock_on_hand", 250.0, 3, 4, None, None), (0, 3, None, None, -1, -1, 25.0, [1.0, 1.0]),
+    (0, 4, None, None, -1, -1, 5.0, [9.0, 1.0]),
+    (1, 0, "daily_sales_velocity", 26.0, 1, 2, None, None), (1, 1, None, None, -1, -1, 10.0, [4.0, 1.0]),
+    (1, 2, None, None, -1, -1, 60.0, [0.0, 2.0])]
+
+
+@register("forest_walk", _gold_cte() + """SELECT product_id,
+  (CASE WHEN coalesce(order_buffer_index, 0) <= 9 THEN 40 WHEN stock_on_hand <= 250 THEN 25 ELSE 5 END
+   + CASE WHEN daily_sales_velocity <= 26 THEN 10 ELSE 60 END) / 2.0::DOUBLE AS mean,
+  (CASE WHEN coalesce(order_buffer_index, 0) <= 9 THEN 0.75 WHEN stock_on_hand <= 250 THEN 0.5 ELSE 0.1 END::DOUBLE
+   + CASE WHEN daily_sales_velocity <= 26 THEN 0.2 ELSE 1 END::DOUBLE) / 2 AS share_of_1 FROM gold""")
+def forest_walk(spark, d):
+    """M10 by iterated joins with a node table, over the whole gold table."""
+    nodes = spark.createDataFrame(_TWO_TREES, "tree int, node int, feature string, threshold double, left int, right int, "
+                                              "value double, classes array<double>")
+    g = _gold(spark, d).withColumnRenamed("order_buffer_index", "order_days")
+    out = fo.walk_forest(g, nodes, "product_id", ["order_days", "stock_on_hand", "daily_sales_velocity"])
+    return out.select("product_id", "mean", F.col("votes")[1].alias("share_of_1"))
+
+
+_PERMUTED = ("daily_sales_velocity", "procurement_lead_time", "active_days", "stock_on_hand")
+_TAKEN_SQL = ",\n  ".join(
+    f"""CASE WHEN lead(product_id) OVER w_{f} IS NULL THEN first_value({f}) OVER w_{f} ELSE lead({f}) OVER w_{f} END AS p_{f}"""
+    for f in _PERMUTED)
+_WINDOWS_SQL = ",\n  ".join(f"w_{f} AS (PARTITION BY bucket ORDER BY md5('42|{f}|' || product_id))" for f in _PERMUTED)
+
+
+def _loss_sql(permuted: str | None) -> str:
+    take = lambda f: f"p_{f}" if f == permuted else f"coalesce({f}, 0)"
+    return (f"avg(power(reorder_point - (2 * {take('daily_sales_velocity')} * {take('procurement_lead_time')}"
+            f" + {take('active_days')} / 100.0::DOUBLE - {take('stock_on_hand')} / 1000.0::DOUBLE), 2))")
+
+
+@register("permutation_importance", _gold_cte() + f""", f AS (SELECT product_id, reorder_point,
+  {", ".join(f"CAST(coalesce({f}, 0) AS DOUBLE) AS {f}" for f in _PERMUTED)},
+  ('0x' || substr(md5(product_id::VARCHAR), 1, 7))::BIGINT % 16 AS bucket FROM gold),
+p AS (SELECT *, {_TAKEN_SQL} FROM f WINDOW {_WINDOWS_SQL}),
+l AS (SELECT {_loss_sql(None)} AS base, {", ".join(f"{_loss_sql(f)} AS l_{f}" for f in _PERMUTED)} FROM p)
+""" + "\nUNION ALL ".join(f"SELECT '{f}' AS feature, round(l_{f}, 4) AS loss, round(l_{f} - base, 4) AS increase FROM l"
+                          for f in _PERMUTED))
+def permutation_importance(spark, d):
+    """M9 for any scorer: what a formula of four features loses when one of them is dealt to other products."""
+    g = md.fill_zero(_gold(spark, d).select("product_id", "reorder_point", *[F.col(f).cast("double").alias(f) for f in _PERMUTED]))
+    formula = (2 * F.col("daily_sales_velocity") * F.col("procurement_lead_time") + F.col("active_days") / 100.0
+               - F.col("stock_on_hand") / 1000.0)
+    out = im.permutation_importance(g, lambda df: df.withColumn("prediction", formula), list(_PERMUTED), "reorder_point",
+                                    "product_id", buckets=16)
+    return out.select("feature", F.round("loss", 4).alias("loss"), F.round("increase", 4).alias("increase"))
+
+
+_BOOTSTRAP_SQL = """, x AS (SELECT product_id, reorder_point AS y, historical_reorder_level AS p, stockout_risk AS one,
+    coalesce(safety_stock, 0.0::DOUBLE) - stock_on_hand AS sc FROM gold),
+cdf AS (SELECT k, sum(exp(-1 - lgamma(k + 1))) OVER (ORDER BY k) AS c FROM range(25) t(k)),
+u AS (SELECT x.*, b, ('0x' || substr(md5('42|' || b || '|' || product_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+      FROM x, range(41) r(b)),
+w AS (SELECT u.* EXCLUDE (u), CASE WHEN b = 0 THEN 1 ELSE (SELECT count(*) FROM cdf WHERE c <= u.u) END AS w FROM u),
+reg AS (SELECT b, sum(w * abs(y - p)) / sum(w) AS mae, sqrt(sum(w * (y - p) * (y - p)) / sum(w)) AS rmse,
+    1 - sum(w * (y - p) * (y - p)) / (sum(w * y * y) - sum(w * y) * sum(w * y) / sum(w)) AS r2
+  FROM w WHERE y - p IS NOT NULL GROUP BY b),
+sc AS (SELECT b, sc, sum(w * one) AS pos, sum(w * (1 - one)) AS neg FROM w GROUP BY b, sc),
+run AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY b ORDER BY sc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    AS before FROM sc),
+auc AS (SELECT b, sum(pos * (before + neg / 2.0::DOUBLE)) / (sum(pos) * sum(neg))::DOUBLE AS auc FROM run GROUP BY b),
+m AS (SELECT 'mae' AS metric, b, mae AS x FROM reg UNION ALL SELECT 'rmse', b, rmse FROM reg
+  UNION ALL SELECT 'r2', b, r2 FROM reg UNION ALL SELECT 'auc', b, auc FROM auc)
+SELECT metric, round(max(x) FILTER (b = 0), 6) AS estimate, round(quantile_cont(x, 0.025) FILTER (b > 0), 6) AS "lower",
+  round(quantile_cont(x, 0.975) FILTER (b > 0), 6) AS "upper" FROM m GROUP BY metric"""
+
+
+@register("metric_intervals", _gold_cte() + _BOOTSTRAP_SQL)
+def metric_intervals(spark, d):
+    """M6/M8: 95 % intervals of AUC, MAE, RMSE and R² by 40 Poisson bootstrap replicates over the gold table."""
+    g = _gold(spark, d).withColumn("score", F.coalesce("safety_stock", F.lit(0.0)) - F.col("stock_on_hand"))
+    reg = bs.regression_by_replicate(g, "reorder_point", "historical_reorder_level", "product_id", 40)
+    auc_ = bs.auc_by_replicate(g, "stockout_risk", "score", "product_id", 40, buckets=64)
+    out = bs.intervals(reg).unionByName(bs.intervals(auc_))
+    return out.select("metric", *[F.round(c, 6).alias(c) for c in ("estimate", "lower", "upper")])
