@@ -12,11 +12,13 @@ from pyspark.sql import types as T
 
 from shelfwise.functions.columns import qcol, safe_timestamp
 from shelfwise.functions.naming import normalize_columns
+from shelfwise.operators.quantiles import exact_quantile
 
 # Name keys that mark a datetime column, and the price
 # columns tried in order (only the first one found is cleaned).
 DATETIME_KEYS = ("date", "time", "created")
 PRICE_CANDIDATES = ("price", "unit_price", "cost")
+REJECTS = "_rejects"
 
 
 def trim_strings(df: DataFrame, chars: str | None = None) -> DataFrame:
@@ -54,15 +56,33 @@ def parse_datetimes(df: DataFrame, keys=DATETIME_KEYS, fmt: str | None = None,
                        for c in df.columns])
 
 
-def lost_datetimes(raw: DataFrame, trim_chars: str | None = None, fmt: str | None = None) -> dict[str, int]:
-    """Per date-like text column of a raw table: texts that are not blank and
-    do not parse (C4 makes them null). One aggregate over those columns."""
-    df = trim_strings(normalize_columns(raw), trim_chars)
-    cols = datetime_columns(df)
-    if not cols:
-        return {}
-    lost = [F.count_if((F.length(qcol(c)) > 0) & safe_timestamp(df, c, fmt).isNull()).alias(c) for c in cols]
-    return df.agg(*lost).first().asDict()
+def _misread(df: DataFrame, fmt: str | None = None, exclude=(), quantity: str = "quantity") -> dict[str, tuple[str, Column]]:
+    """Per text column that is to be parsed: the rule, and whether a text that is not blank breaks it."""
+    there = {c: ("timestamp", (F.length(qcol(c)) > 0) & safe_timestamp(df, c, fmt).isNull())
+             for c in datetime_columns(df, exclude=exclude)}
+    if quantity in df.columns and isinstance(df.schema[quantity].dataType, T.StringType):
+        there[quantity] = ("number", (F.length(qcol(quantity)) > 0) & qcol(quantity).try_cast("double").isNull())
+    return there
+
+
+def lost_counts(df: DataFrame, fmt: str | None = None, exclude=()) -> list[Column]:
+    """An aggregate for each parsed column of a trimmed table: texts that are not blank and do not
+    parse (C4 makes them null, C5 zero). Fit for ``DataFrame.observe``, so they cost no pass of their own."""
+    return [F.count_if(bad).alias(c) for c, (_, bad) in _misread(df, fmt, exclude).items()]
+
+
+def rejected_values(df: DataFrame, fmt: str | None = None, exclude=()) -> Column:
+    """Array of (``column``, ``value``, ``rule``): what a row of a trimmed table loses in parsing."""
+    each = [F.when(bad, F.struct(F.lit(c).alias("column"), qcol(c).alias("value"), F.lit(rule).alias("rule")))
+            for c, (rule, bad) in _misread(df, fmt, exclude).items()]
+    every = F.array(*each) if each else F.array().cast("array<struct<column:string,value:string,rule:string>>")
+    return F.filter(every, lambda x: x.isNotNull())
+
+
+def rejects(silver: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """The quarantine table of a silver table cleaned with ``keep_rejects``: one row for each value
+    that was lost (``key``, ``column``, ``value``, ``rule``)."""
+    return silver.select(qcol(key), F.inline(REJECTS))
 
 
 def fill_quantity(df: DataFrame, col: str = "quantity") -> DataFrame:
@@ -100,7 +120,7 @@ def ensure_transaction_id(df: DataFrame, method: str = "hash") -> DataFrame:
         return df.withColumn("transaction_id", F.expr("uuid()"))
     if method != "hash":
         raise ValueError("method must be 'hash' or 'uuid'")
-    return df.withColumn("transaction_id", content_hash(df))
+    return df.withColumn("transaction_id", content_hash(df, [c for c in df.columns if c != REJECTS]))
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
@@ -151,14 +171,20 @@ def cast_price(df: DataFrame, candidates=PRICE_CANDIDATES) -> DataFrame:
     return df.withColumn(col, qcol(col).try_cast("double"))
 
 
-def impute_median(df: DataFrame, col: str, accuracy: int = 10000) -> DataFrame:
-    """Nulls of ``col`` -> approximate (lower) median of the column.
+def impute_median(df: DataFrame, col: str, accuracy: int = 10000, method: str = "approximate") -> DataFrame:
+    """Nulls of ``col`` -> median of the column.
 
-    The median is an uncorrelated scalar subquery over ``percentile_approx``
-    (a mergeable sketch, partially aggregated per task): no collect, no
-    cross join. An all-null column stays null.
+    By default the approximate (lower) median: an uncorrelated scalar subquery
+    over ``percentile_approx`` (a mergeable sketch, partially aggregated per
+    task): no collect, no cross join. ``method`` "lower" or "interpolated" takes
+    the exact one (see ``quantiles``). An all-null column stays null.
     """
-    med = df.agg(F.percentile_approx(qcol(col), 0.5, accuracy).alias("m")).scalar()
+    if method == "approximate":
+        med = df.agg(F.percentile_approx(qcol(col), 0.5, accuracy).alias("m")).scalar()
+    elif method in ("lower", "interpolated"):
+        med = exact_quantile(df, col, 0.5, method == "interpolated")
+    else:
+        raise ValueError("method must be 'approximate', 'lower' or 'interpolated'")
     return df.withColumn(col, F.coalesce(qcol(col), med))
 
 
@@ -170,20 +196,26 @@ def conform_supplier_key(df: DataFrame) -> DataFrame:
 
 
 def clean_transactions(df: DataFrame, id_method: str = "hash", trim_chars: str | None = None,
-                       fmt: str | None = None, exclude=()) -> DataFrame:
+                       fmt: str | None = None, exclude=(), keep_rejects: bool = False) -> DataFrame:
     """Normalize -> trim -> parse datetimes -> quantity -> dedup -> id.
 
     Of rows that repeat an ``id`` the latest stays, by the date and timestamp
     columns as they are after parsing (so text and typed dates give the same
     survivor). De-duplication runs before a missing ``transaction_id`` is added (with a
-    random id added first, no two rows would ever be equal).
+    random id added first, no two rows would ever be equal). With ``keep_rejects`` the texts
+    that did not parse stay beside each row (``_rejects``, see ``rejects``); of rows that are equal
+    otherwise, the larger list.
     """
     df = normalize_columns(df)
     df = trim_strings(df, trim_chars)
+    if keep_rejects:
+        df = df.withColumn(REJECTS, rejected_values(df, fmt, exclude))
     df = parse_datetimes(df, fmt=fmt, exclude=exclude)
     df = fill_quantity(df)
     if "id" in df.columns:
         df = dedup_by_key(df, ["id"], order_by=instants(df))
+    elif keep_rejects:
+        df = dedup_by_key(df, [c for c in df.columns if c != REJECTS])
     else:
         df = dedup_rows(df)
     return ensure_transaction_id(df, id_method)

@@ -49,6 +49,7 @@ BRONZE_FILES = {TRANSACTIONS: "stock_transactions.csv", INVENTORY: "grocery-inve
 # run_bronze lands them. The names differ, so a reader need not guess.
 SUPPLIERS_LINES = "suppliers_info.jsonl"
 GOLD_TABLE = "gold_features"
+REJECTS_TABLE = "stock_transactions_rejects"
 MODEL_OUTPUT = "model_output"
 RECOMMENDATIONS = "business_recommendations"
 
@@ -111,7 +112,7 @@ def run_bronze(spark: SparkSession, bronze_dir: str, jdbc_url: str, jdbc_table:
 
 def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, schemas: dict | None = None,
                null_tokens=None, id_method: str = "hash", suppliers_layout: str = "document",
-               n_files: int | None = None, multi_line_csv: bool = True) -> dict:
+               n_files: int | None = None, multi_line_csv: bool = True, keep_rejects: bool = False) -> dict:
     """Read the three bronze files, clean them, write Parquet to silver.
 
     ``schemas`` (name -> StructType/DDL) skips inference, which otherwise
@@ -119,12 +120,16 @@ def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, schemas: d
     file: ``"document"`` (``suppliers_info.json``, as its source wrote it) or
     ``"lines"`` (``suppliers_info.jsonl``, as ``run_bronze`` lands it). Returns
     rows written per table, and under ``lost`` how many non-empty texts of
-    each date-like column did not parse. ``multi_line_csv`` keeps quoted line
-    breaks, as ``run_bronze`` lands them; each file is then one task's work, so
-    turn it off for a few huge files without such text.
+    each parsed column did not parse, both counted on their way in the one pass
+    that writes. With ``keep_rejects`` the movements keep these texts in a column
+    of their own, and the quarantine table (``rejects``) is made from it.
+    ``multi_line_csv`` keeps quoted line breaks, as ``run_bronze`` lands them;
+    each file is then one task's work, so turn it off for a few huge files
+    without such text.
     """
+    spark = _counting_session(spark)
     schemas = schemas or {}
-    b = bronze_dir.rstrip("/")
+    b, s = bronze_dir.rstrip("/"), silver_dir.rstrip("/")
     if suppliers_layout not in ("document", "lines"):
         raise ValueError("suppliers_layout must be 'document' or 'lines'")
     how = {"multiLine": multi_line_csv}
@@ -135,14 +140,18 @@ def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, schemas: d
     whole = suppliers_layout == "document"
     sup = io.read_json(spark, f"{b}/{BRONZE_FILES[SUPPLIERS] if whole else SUPPLIERS_LINES}",
                        multi_line=whole, schema=schemas.get(SUPPLIERS))
+    trx = cl.trim_strings(normalize_columns(trx))
+    lost, counts = Observation(), cl.lost_counts(trx)
+    trx = trx.observe(lost, *counts) if counts else trx
     out = {}
-    for name, df in ((TRANSACTIONS, cl.clean_transactions(trx, id_method)),
+    for name, df in ((TRANSACTIONS, cl.clean_transactions(trx, id_method, keep_rejects=keep_rejects)),
                      (INVENTORY, cl.clean_inventory(inv)),
                      (SUPPLIERS, cl.clean_suppliers(sup))):
-        path = f"{silver_dir.rstrip('/')}/{name}"
-        out[name] = _write_and_measure(df, lambda d, p=path: io.write_parquet(d, p, n_files=n_files),
-                                       lambda p=path: io.read_parquet(spark, p))["rows"]
-    out["lost"] = cl.lost_datetimes(trx)
+        out[name] = _write_and_count(df, lambda d, p=f"{s}/{name}": io.write_parquet(d, p, n_files=n_files))
+    out["lost"] = lost.get if counts else {}
+    if keep_rejects:
+        found = cl.rejects(io.read_parquet(spark, f"{s}/{TRANSACTIONS}"))
+        out[REJECTS_TABLE] = _write_and_count(found, lambda d: io.write_parquet(d, f"{s}/{REJECTS_TABLE}"))
     return out
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from shelfwise.functions.naming import normalize_columns
 from shelfwise.operators import cleaning as cl
 from shelfwise.operators import features as fe
+from shelfwise.operators.quantiles import exact_quantile
 from shelfwise.plans.catalog import register
 from shelfwise.plans.q_gold import gold_sql
 from shelfwise.sources import fixtures as fx
@@ -119,12 +122,15 @@ def clean_transactions(spark, d):
     return cl.clean_transactions(fx.movements_dirty(spark, d))
 
 
-@register("clean_transactions_by_id", f"""SELECT *,
+_BY_ID_SQL = f"""SELECT *,
        {_id_sql('id', 'product_id', 'quantity', 'epoch_us(transaction_date)', 'supplier_id')} AS transaction_id
 FROM (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY transaction_date DESC NULLS LAST,
         product_id DESC NULLS LAST, quantity DESC NULLS LAST, supplier_id DESC NULLS LAST) AS rn
   FROM (SELECT l_orderkey * 8 + l_linenumber AS id, l_partkey AS product_id, CAST(l_quantity AS DOUBLE) AS quantity,
-               CAST(l_shipdate AS TIMESTAMP) AS transaction_date, l_suppkey AS supplier_id FROM lineitem)) WHERE rn = 1)""")
+               CAST(l_shipdate AS TIMESTAMP) AS transaction_date, l_suppkey AS supplier_id FROM lineitem)) WHERE rn = 1)"""
+
+
+@register("clean_transactions_by_id", _BY_ID_SQL)
 def clean_transactions_by_id(spark, d):
     """C12 with an ``id`` and typed dates: the latest row of an id stays."""
     return cl.clean_transactions(fx.movements_by_id(spark, d))
@@ -161,3 +167,30 @@ def gold_from_silver(spark, d):
     sup = cl.clean_suppliers(fx.suppliers_by_product(spark, d))
     return fe.build_gold(trx, inv, sup)
 
+
+
+_QUANTILES = [(c, q) for c in ("l_quantity", "l_extendedprice") for q in (0.25, 0.5, 0.99)]
+
+
+@register("exact_quantiles", " UNION ALL ".join(
+    f"""SELECT '{c}' AS name, {q}::DOUBLE AS q, quantile_disc(CAST({c} AS DOUBLE), {q}) AS lower_value,
+  quantile_cont(CAST({c} AS DOUBLE), {q}) AS interpolated FROM lineitem""" for c, q in _QUANTILES))
+def exact_quantiles(spark, d):
+    """Exact quantiles of all lines, by narrowing the range, lower and interpolated."""
+    li = fx.table(spark, d, "lineitem")
+    out = None
+    for c, q in _QUANTILES:
+        row = spark.range(1).select(F.lit(c).alias("name"), F.lit(q).alias("q"), exact_quantile(li, c, q).alias("lower_value"),
+                                    exact_quantile(li, c, q, interpolated=True).alias("interpolated"))
+        out = row if out is None else out.unionAll(row)
+    return out
+
+
+@register("price_cast_impute_exact", fx.with_views("inventory_dirty") + """, t AS (
+  SELECT "Product ID" AS product_id, TRY_CAST(trim(" Unit Price") AS DOUBLE) AS p FROM inventory_dirty)
+SELECT product_id, coalesce(p, (SELECT quantile_cont(p, 0.5) FROM t)) AS unit_price FROM t""")
+def price_cast_impute_exact(spark, d):
+    """Price text -> double, gaps -> the exact interpolated median."""
+    inv = cl.trim_strings(_norm(fx.inventory_dirty(spark, d)))
+    col = cl.price_column(inv)
+    return cl.impute_median(cl.cast_price(inv), col, method="interpolated").select("product_id", col)

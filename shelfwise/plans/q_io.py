@@ -10,15 +10,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.operators import cleaning as cl
+from shelfwise.operators import incremental as ic
 from shelfwise.operators import recommend as rc
 from shelfwise.plans import jobs
 from shelfwise.plans.catalog import register
-from shelfwise.plans.q_clean import _SILVER_GOLD_PREFIX, _SILVER_TRX_SQL
+from shelfwise.plans.q_clean import _BY_ID_SQL, _SILVER_GOLD_PREFIX, _SILVER_TRX_SQL
 from shelfwise.plans.q_gold import GOLD_SQL, _gold, gold_sql
 from shelfwise.plans.q_report import _RECS, _SCORED, _gold_cte, scored
 from shelfwise.session import scratch_dir
 from shelfwise.sources import files as io
 from shelfwise.sources import fixtures as fx
+from shelfwise.sources import variant as va
+from shelfwise.sources import zones as zo
 from shelfwise.streaming.silver_stream import silver_snapshot, start_silver_stream
 
 
@@ -63,10 +66,10 @@ def _write_bronze(spark, d, root: str) -> dict:
     return {jobs.TRANSACTIONS: trx.schema, jobs.INVENTORY: inv.schema, jobs.SUPPLIERS: sup.schema}
 
 
-def _silver(spark, d) -> str:
+def _silver(spark, d, **options) -> str:
     root = scratch_dir(spark, "medallion")
     schemas = _write_bronze(spark, d, f"{root}/raw")
-    jobs.run_silver(spark, f"{root}/raw", f"{root}/silver", schemas=schemas, suppliers_layout="lines")
+    jobs.run_silver(spark, f"{root}/raw", f"{root}/silver", schemas=schemas, suppliers_layout="lines", **options)
     return root
 
 
@@ -144,3 +147,78 @@ def silver_stream(spark, d):
                                 checkpoint=f"{root}/checkpoint")
         q.awaitTermination()
     return silver_snapshot(spark, f"{root}/silver")
+
+
+@register("silver_keyed_stream", _BY_ID_SQL)
+def silver_keyed_stream(spark, d):
+    """The stream with an ``id``: versions land in three runs, the latest of each id is state."""
+    root = scratch_dir(spark, "stream")
+    trx = fx.movements_by_id(spark, d)
+    for part in (2, 0, 1):
+        trx.where(F.col("supplier_id") % 3 == part).write.mode("append").option("header", True).csv(f"{root}/raw")
+        q = start_silver_stream(spark, f"{root}/raw", f"{root}/silver", trx.schema, checkpoint=f"{root}/checkpoint")
+        q.awaitTermination()
+    return silver_snapshot(spark, f"{root}/silver")
+
+
+def bucketed_inputs(spark, d, buckets: int = 8):
+    """Partials, inventory and suppliers as tables bucketed by product, read back."""
+    root = scratch_dir(spark, "zones")
+    name = "zone_" + root.rsplit("-", 1)[-1]
+    found = []
+    for part, df in (("partials", ic.movement_partials(fx.movements(spark, d))), ("inventory", fx.inventory(spark, d)),
+                     ("suppliers", fx.suppliers_by_product(spark, d))):
+        zo.write_bucketed(df, f"{name}_{part}", "product_id", buckets, path=f"{root}/{part}")
+        found.append(zo.read_bucketed(spark, f"{name}_{part}"))
+    return found
+
+
+@register("gold_bucketed", GOLD_SQL)
+def gold_bucketed(spark, d):
+    """S7/S9 + F8, F11, F15, F22: gold from bucketed zones, without an exchange by product."""
+    return ic.gold_of_partials(*bucketed_inputs(spark, d))
+
+
+def _drifting(spark, d, root: str) -> str:
+    """The suppliers as three exporters would write them: lead times as a number, as text, and in an
+    object; names that moved; every hundredth line cut off."""
+    s = fx.suppliers_global(spark, d)
+    days = F.col("average_lead_time_days")
+    shapes = [
+        F.struct("id", "supplier_name", "average_lead_time_days"),
+        F.struct(F.col("id").cast("string").alias("id"), F.struct(F.col("supplier_name").alias("full")).alias("name"),
+                 days.cast("int").cast("string").alias("average_lead_time_days")),
+        F.struct("id", "supplier_name", F.struct(days.alias("days"), F.lit("d").alias("unit")).alias("lead_time")),
+    ]
+    for n, shape in enumerate(shapes):
+        line = F.to_json(shape)
+        line = F.when(F.col("id") % 100 == 7, F.substring(line, 1, 9)).otherwise(line)
+        s.where(F.col("id") % 3 == n).select(line.alias("value")).write.mode("append").text(f"{root}/raw")
+    return f"{root}/raw"
+
+
+@register("json_variant", fx.with_views("suppliers_global") + """
+SELECT id AS supplier_id, supplier_name, average_lead_time_days, NULL::VARCHAR AS bad_record FROM suppliers_global
+WHERE id % 100 <> 7
+UNION ALL SELECT NULL, NULL, NULL, substr(CASE id % 3
+  WHEN 1 THEN '{"id":"' || id || '","name":' ELSE '{"id":' || id || ',"supplier_name":' END, 1, 9)
+FROM suppliers_global WHERE id % 100 = 7""")
+def json_variant(spark, d):
+    """Supplier lines of three drifting shapes, landed once as VARIANT, bad lines kept beside them."""
+    root = scratch_dir(spark, "json")
+    landed = va.land_json_variant(spark, _drifting(spark, d, root), f"{root}/bronze")
+    fields = {"supplier_id": ("long", ["$.id"]), "supplier_name": ("string", ["$.supplier_name", "$.name.full"]),
+              "average_lead_time_days": ("double", ["$.average_lead_time_days", "$.lead_time.days"])}
+    good = va.variant_fields(landed.where(F.col(va.BAD).isNull()), fields).withColumn(va.BAD, F.lit(None).cast("string"))
+    bad = landed.where(F.col(va.BAD).isNotNull()).select(*[F.lit(None).cast(t).alias(n) for n, (t, _) in fields.items()], va.BAD)
+    return good.unionByName(bad)
+
+
+@register("silver_rejects", fx.with_views("movements_dirty") + f"""
+, t AS ({_SILVER_TRX_SQL})
+SELECT transaction_id, 'quantity' AS "column", 'n/a' AS value, 'number' AS rule FROM t WHERE product_id % 7 = 0
+UNION ALL SELECT transaction_id, 'transaction_date', 'bad', 'timestamp' FROM t WHERE product_id % 11 = 0""")
+def silver_rejects(spark, d):
+    """The silver job's quarantine table: what did not parse, by row, column and rule."""
+    root = _silver(spark, d, keep_rejects=True)
+    return io.read_parquet(spark, f"{root}/silver/{jobs.REJECTS_TABLE}")
