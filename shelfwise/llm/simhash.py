@@ -201,7 +201,10 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     who = F.struct(col(id_col).isNull().alias("none"), col(id_col).alias("id"), mark.alias("mark"))
     fps = cut_lineage(fingerprints(docs.select(who.alias("who"), col(text_col).alias("text")), "who", "text", shingle))
     classes = _classes(fps, F.col("id"), max_distance, segments)
+    gone = "_gone"
+    while any(c.lower().startswith(gone) for c in docs.columns):
+        gone += "_"
     goes = (fps.join(classes, "fp").where(F.col("id") != F.col("first"))
-            .select(F.col("id.id").alias("_gone_id"), F.col("id.mark").alias("_gone_mark")).distinct())
-    same = (mark == F.col("_gone_mark")) & col(id_col).eqNullSafe(F.col("_gone_id"))
+            .select(F.col("id.id").alias(f"{gone}id"), F.col("id.mark").alias(f"{gone}mark")).distinct())
+    same = (mark == F.col(f"{gone}mark")) & col(id_col).eqNullSafe(F.col(f"{gone}id"))
     return docs.join(cut_lineage(goes), same, "left_anti").select(*[col(c) for c in docs.columns])
