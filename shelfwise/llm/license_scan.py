@@ -2,25 +2,29 @@
 
 A text's words are lower-cased runs of letters, digits and non-ASCII
 characters. Base labels come from phrases whose words stand consecutively.
-Further labels come from notices: a text is covered by overlapping blocks of
-words (twice the longest template, one template apart, so that any passage as
-long as a template lies whole in some block), and a block matches a template
-if it holds at least ``threshold`` of the template's distinct words.
+Further labels come from notices and whole license texts: a text is covered by
+overlapping blocks of words, and a block matches a template if it holds at
+least ``threshold`` of the template's distinct words. Templates are classed by
+length, in powers of two; the blocks of a class are twice its length, one length
+apart, so that any passage as long as a template lies whole in some block.
 
 The join orders template words by the number of documents that hold them,
 rarest first, and finds every match by
 
 * length: a text, then a block, with too few template words is out;
 * prefix: of a template with n words that must share k, one of the n-k+1
-  rarest is in the block, and likewise one of the block's own prefix;
+  rarest is in the block (a text without any of these words is not looked at
+  further), and likewise one of the block's own prefix;
 * position: words that stand after a first shared word bound the overlap.
 
 What is left is verified on the whole sets.
 
-Scale: texts are read once. What goes on is a few numbers and the template
-words of a text, plus the words of those texts that hold enough of some
-template. Document frequencies are summed on the map side; their number is
-bounded by the templates. Template prefixes are a small literal table.
+Scale: texts are read twice, to count template words and to scan. What goes on
+is a few numbers of each text, and the words of those texts that hold a prefix
+word of some template. Of these only template words are dealt to blocks, each
+to two blocks of every class that has the word. Templates are tables (a row for
+each word, prefix word and template), so the plan does not grow with their
+number; the driver holds them and a count for each of their words.
 
 Nulls and edge cases: a null text is empty and has no words (0 places, empty
 labels, score 0). Ids are carried only: null and repeated ids are rows of
@@ -43,22 +47,69 @@ PHRASES = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-# Notices as they commonly stand in texts, one label each.
+# Notices as they commonly stand in texts, and whole texts of short licenses; any number for a label.
+_AS_IS = ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+          "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+          "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+          "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+          "IN THE SOFTWARE.")
+_BSD_TWO = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+            "following conditions are met: Redistributions of source code must retain the above copyright notice, this list "
+            "of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright "
+            "notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+            "provided with the distribution.")
+_BSD_THREE = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+              "products derived from this software without specific prior written permission.")
+_BSD_AS_IS = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+              "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+              "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+              "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+              "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+              "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+              "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
 TEMPLATES = {
     "mit": ["Released under the MIT License",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
-            "and associated documentation files"],
+            "and associated documentation files",
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+            "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+            "to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above "
+            "copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+            "Software. " + _AS_IS],
+    "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+            "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+            "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+            "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER "
+            "IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+            "PERFORMANCE OF THIS SOFTWARE."],
     "apache-2": ["Licensed under the Apache License, Version 2.0",
-                 "you may not use this file except in compliance with the License"],
+                 "you may not use this file except in compliance with the License",
+                 "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                 "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+                 "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+                 "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See "
+                 "the License for the specific language governing permissions and limitations under the License."],
     "cc-by-nc": ["Licensed under CC BY-NC 4.0",
                  "licensed under a Creative Commons Attribution-NonCommercial license"],
     "gpl": ["This work is licensed under the GNU General Public License",
-            "redistribute it and/or modify it under the terms of the GNU General Public License"],
+            "redistribute it and/or modify it under the terms of the GNU General Public License",
+            "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+            "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+            "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+            "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
+            "License for more details. You should have received a copy of the GNU General Public License along with this "
+            "program. If not, see https://www.gnu.org/licenses/."],
     "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted "
-            "provided that the following conditions are met"],
-    "mpl-2": ["subject to the terms of the Mozilla Public License, v. 2.0"],
+            "provided that the following conditions are met",
+            _BSD_TWO + " " + _BSD_AS_IS, _BSD_TWO + " " + _BSD_THREE + " " + _BSD_AS_IS],
+    "mpl-2": ["subject to the terms of the Mozilla Public License, v. 2.0",
+              "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+              "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
 }
 THRESHOLD = 0.85
+SHORTEST = 8   # words of the shortest class of templates
 
 # What separates words once A-Z are lower-cased: ASCII but for a-z and 0-9.
 # Single characters, not ranges: Java's regex tests them in one bitmap.
@@ -71,6 +122,14 @@ def template_words(text: str) -> list[str]:
     return re.findall(r"[a-z0-9]+", text.lower())
 
 
+def class_of(text: str) -> int:
+    """The length of a template's class: a power of two, at least its number of words."""
+    n = SHORTEST
+    while n < len(template_words(text)):
+        n *= 2
+    return n
+
+
 def _spaced(text: str) -> Column:
     """The words of a text with one blank between; empty if there is none."""
     c = F.replace(F.coalesce(col(text).cast("string"), F.lit("")), F.lit(_KELVIN), F.lit("\u0138"))
@@ -99,12 +158,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (``label``, ``containment``, ``start``): the best block of each label found by the join."""
     phrases = PHRASES if phrases is None else phrases
     templates = TEMPLATES if templates is None else templates
-    spark = docs.sparkSession
-    notices = [(label, i, sorted(set(template_words(t)))) for label, ts in templates.items()
-               for i, t in enumerate(ts)]
-    notices = [(label, i, words, math.ceil(threshold * len(words) - 1e-9)) for label, i, words in notices if words]
+    notices = [(label, class_of(t), sorted(set(template_words(t)))) for label, ts in templates.items() for t in ts]
+    notices = [(label, step, words, math.ceil(threshold * len(words) - 1e-9)) for label, step, words in notices if words]
     vocabulary = sorted({w for _, _, words, _ in notices for w in words})
-    step = max((len(template_words(t)) for ts in templates.values() for t in ts), default=1)
+    order, first = [], []        # template words, rarest first, and those that stand in some prefix
+    if notices:
+        held = docs.select(F.explode(F.array_distinct(F.filter(F.split(_spaced(text_col), " "), lambda w: w.isin(vocabulary)))).alias("w"))
+        # Bounded by the templates' words: each is one row here.
+        known = {r["w"]: r["n"] for r in held.groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
+        order = sorted(vocabulary, key=lambda w: (known.get(w, 0), w))
+        rank = {w: i for i, w in enumerate(order)}
+        first = sorted({w for _, _, words, k in notices for w in sorted(words, key=rank.get)[:len(words) - k + 1]})
 
     rows = docs.select(col(id_col).alias("id"), _spaced(text_col).alias("spaced"))
     rows = rows.select("id", F.concat(F.lit(" "), "spaced", F.lit(" ")).alias("padded"),
@@ -122,26 +186,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.filter(F.array(*[F.when(F.greatest(*[places[i][0] for i, p in enumerate(phrases)
                                                if phrases[p] == label], F.lit(0)) > 0, F.lit(label))
                            for label in base]).cast("array<string>"),
-                 lambda x: x.isNotNull()).alias("base"),
-        F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary))).alias("seen"))
-    enough = [F.size(F.array_intersect("seen", F.array(*map(F.lit, words)))) >= k
-              for _, _, words, k in notices]
-    may = F.lit(False)
-    for e in enough:
-        may = may | e
+                 lambda x: x.isNotNull()).alias("base"))
+    may = F.exists("words", lambda w: w.isin(first)) if first else F.lit(False)
     rows = rows.withColumn("words", F.when(may, F.col("words")))
     rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
-
-    matches = None
     if notices:
-        # Bounded by the templates' words: each is one row here.
-        known = {r["w"]: r["n"] for r in rows.select(F.explode("seen").alias("w"))
-                 .groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
-        order = sorted(vocabulary, key=lambda w: (known.get(w, 0), w))
-        matches = _join(rows.where("words is not null").select("row", "words"),
-                        notices, order, step)
+        matches = _join(rows.where("words is not null").select("row", "words"), notices, order)
         per_doc = matches.groupBy("row").agg(F.sort_array(F.collect_list("m")).alias("matches"))
-        rows = rows.drop("words", "seen").join(per_doc, "row", "left")
+        rows = rows.drop("words").join(per_doc, "row", "left")
     else:
         rows = rows.withColumn("matches", F.lit(None).cast("array<struct<label:string,containment:double,start:long>>"))
     found = F.coalesce("matches", F.array().cast("array<struct<label:string,containment:double,start:long>>"))
@@ -154,32 +206,36 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .alias("score"), found.alias("matches"))
 
 
-def _join(texts: DataFrame, notices: list, order: list[str], step: int) -> DataFrame:
+def _join(texts: DataFrame, notices: list, order: list[str]) -> DataFrame:
     """(row, m): the best block of each label that reaches the threshold, for ``texts``
     (row, words)."""
     spark = texts.sparkSession
     rank = {w: i + 1 for i, w in enumerate(order)}
-    least = min(k for _, _, _, k in notices)
-    prefixes = []
-    for label, i, words, k in notices:
+    prefixes, whole, steps, least = [], [], {}, {}
+    for n, (label, step, words, k) in enumerate(notices):
         ranks = sorted(rank[w] for w in words)
-        prefixes += [(r, label, ranks, k, at) for at, r in enumerate(ranks[:len(ranks) - k + 1])]
-    prefixes = spark.createDataFrame(
-        prefixes, "rank int, label string, theirs array<int>, needed int, their_at int")
-
-    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(step))
-    blocks = F.transform(starts, lambda s: F.struct(
-        s.cast("long").alias("start"),
-        F.array_distinct(F.filter(F.slice("words", s + 1, F.lit(2 * step)), lambda w: w.isin(order))).alias("set")))
-    known = F.array(*map(F.lit, order))
-    blocks = (texts.select("row", F.explode(F.filter(blocks, lambda b: F.size(b["set"]) >= least)).alias("b"))
-              .select("row", "b.start", F.array_sort(F.transform(
-                  "b.set", lambda w: F.array_position(known, w).cast("int"))).alias("ours")))
-    ours = blocks.select("row", "start", "ours", F.posexplode(
-        F.slice("ours", F.lit(1), F.size("ours") - least + 1)).alias("our_at", "rank"))
-    after = F.least(F.size("theirs") - F.col("their_at"), F.size("ours") - F.col("our_at"))
-    pairs = (ours.join(prefixes, "rank")
-             .where((F.size("ours") >= F.col("needed")) & (after >= F.col("needed"))))
+        prefixes += [(step, r, n, k, len(ranks), at) for at, r in enumerate(ranks[:len(ranks) - k + 1])]
+        whole.append((n, label, ranks))
+        least[step] = min(k, least.get(step, k))
+        for w in words:
+            steps.setdefault(w, set()).add(step)
+    prefixes = spark.createDataFrame(prefixes, "step int, rank int, template int, needed int, theirs_n int, their_at int")
+    whole = spark.createDataFrame(whole, "template int, label string, theirs array<int>")
+    known = spark.createDataFrame([(w, r, sorted(steps[w])) for w, r in rank.items()], "word string, rank int, steps array<int>")
+    classes = spark.createDataFrame(sorted(least.items()), "step int, least int")
+
+    # Every template word, in the two blocks of each of its classes that hold its place.
+    placed = texts.select("row", F.posexplode("words").alias("pos", "word")).join(known, "word")
+    placed = placed.select("row", "pos", "rank", F.explode("steps").alias("step"))
+    start = F.floor(F.col("pos") / F.col("step")) * F.col("step")
+    placed = placed.select("row", "rank", "step", F.explode(F.array(start, start - F.col("step"))).alias("start")).where("start >= 0")
+    blocks = (placed.groupBy("row", "step", "start").agg(F.sort_array(F.collect_set("rank")).alias("ours"))
+              .join(classes, "step").where(F.size("ours") >= F.col("least")))
+    ours = blocks.select("row", "step", "start", "ours", F.posexplode(
+        F.slice("ours", F.lit(1), F.size("ours") - F.col("least") + 1)).alias("our_at", "rank"))
+    after = F.least(F.col("theirs_n") - F.col("their_at"), F.size("ours") - F.col("our_at"))
+    pairs = (ours.join(prefixes, ["step", "rank"]).where((F.size("ours") >= F.col("needed")) & (after >= F.col("needed")))
+             .select("row", "start", "ours", "template", "needed").join(whole, "template"))
     overlap = F.size(F.array_intersect("ours", "theirs"))
     good = pairs.where(overlap >= F.col("needed")).select(
         "row", "label", (overlap / F.size("theirs")).alias("containment"), "start")

@@ -34,21 +34,15 @@ def op1_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash_components(table(spark, d, "documents"), shingle=3, max_distance=3, segments=2)
 
 
-# The notices' distinct words, written out: the oracle shares no constant with the operator.
+# The templates' texts; what is made of them is left to the SQL.
+_TEMPLATES_SQL = ",\n  ".join("('{}', '{}')".format(label, text.replace("'", "''"))
+                             for label, texts in license_scan.TEMPLATES.items() for text in texts)
 _SCAN_SQL = r"""
-WITH notices(label, words) AS (VALUES
-  ('mit', ['license','mit','released','the','under']),
-  ('mit', ['a','and','any','associated','charge','copy','documentation','files','free','granted','hereby','is',
-           'obtaining','of','permission','person','software','this','to']),
-  ('apache-2', ['0','2','apache','license','licensed','the','under','version']),
-  ('apache-2', ['compliance','except','file','in','license','may','not','the','this','use','with','you']),
-  ('cc-by-nc', ['0','4','by','cc','licensed','nc','under']),
-  ('cc-by-nc', ['a','attribution','commons','creative','license','licensed','noncommercial','under']),
-  ('gpl', ['general','gnu','is','license','licensed','public','the','this','under','work']),
-  ('gpl', ['and','general','gnu','it','license','modify','of','or','public','redistribute','terms','the','under']),
-  ('bsd', ['and','are','binary','conditions','following','forms','in','met','modification','or','permitted',
-           'provided','redistribution','source','that','the','use','with','without']),
-  ('mpl-2', ['0','2','license','mozilla','of','public','subject','terms','the','to','v'])),
+WITH texts(label, t) AS (VALUES
+  """ + _TEMPLATES_SQL + r"""),
+notices AS (SELECT label, list_distinct(regexp_extract_all(lower(t), '[a-z0-9]+')) AS words,
+  greatest(8, pow(2, ceil(log2(len(regexp_extract_all(lower(t), '[a-z0-9]+'))))))::INT AS step FROM texts),
+steps AS (SELECT DISTINCT step FROM notices),
 w AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS ws FROM documents),
@@ -58,9 +52,9 @@ places AS (SELECT doc_id, label, i - 1 AS pos FROM
   (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w), p WHERE ws[i:i + len(phrase) - 1] = phrase),
 base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
   list_distinct(list(label)) AS labels FROM places GROUP BY doc_id),
-blocks AS (SELECT doc_id, list_distinct(ws[s + 1:s + 2 * 21]) AS b FROM
-  (SELECT doc_id, ws, unnest(range(0, len(ws), 21)) AS s FROM w)),
-hits AS (SELECT doc_id, label, len(list_intersect(b, words)) / len(words) AS c FROM blocks, notices
+blocks AS (SELECT doc_id, step, list_distinct(ws[s + 1:s + 2 * step]) AS b FROM
+  (SELECT doc_id, ws, step, unnest(range(0, len(ws), step)) AS s FROM w, steps)),
+hits AS (SELECT doc_id, label, len(list_intersect(b, words)) / len(words) AS c FROM blocks JOIN notices USING (step)
   WHERE len(list_intersect(b, words)) >= ceil(0.85 * len(words))),
 more AS (SELECT doc_id, max(c) AS c, list_distinct(list(label)) AS labels FROM hits GROUP BY doc_id)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
