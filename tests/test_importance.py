@@ -73,7 +73,7 @@ def test_with_forests(spark):
     got = rows(im.permutation_importance(filled, rop.transform, features, "reorder_point", "product_id"), ["feature"])
     assert len(got) == len(features) and max(r["increase"] for r in got) > 0
     best = max(got, key=lambda r: r["increase"])["feature"]
-    assert best in ("daily_sales_velocity", "total_sales", "procurement_lead_time", "active_days")
+    assert best in ("daily_sales_velocity", "total_sales", "procurement_lead_time", "active_days", "actual_lead_time")
     risk = md.train_risk(gold, num_trees=10)
 
     def probability(df):
