@@ -13,10 +13,12 @@ assistant's texts. Inside texts and roles a backslash is put into every
 ``<|`` (``<\\|``, and ``<\\|`` becomes ``<\\\\|``), so no marker can occur
 there and the step can be undone; line breaks in roles are written ``\\n``.
 
-Scale: the log is folded by message and joined by blocks of ``BLOCK``
-messages of a conversation first, so a conversation with a third of all rows
-is spread over many tasks until its finished blocks are put together in the
-one row that it becomes. Long messages are put together in two steps, too.
+Scale: texts move three times: to fold the log by message, to put blocks of
+``BLOCK`` messages of a conversation together, and to make the conversation of
+its blocks. A conversation with a third of all rows is so spread over many tasks
+until its finished blocks meet in the one row that it becomes. The events of
+a message are sorted and counted in one task, which spills, and joined
+``PARTS`` sequence numbers at a time.
 
 Nulls and edge cases: null texts and roles are empty, an unknown or null
 kind counts as ``message``; a null conversation id is a conversation; null
@@ -62,15 +64,13 @@ def unescape_role(c: Column) -> Column:
 def fold(log: DataFrame, keys: list[str]) -> DataFrame:
     """One row per message (``keys``, ``role``, ``text``) of a log with
     ``keys``, ``seq``, ``kind``, ``role`` and ``text``."""
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    resets = (log.where(F.col("kind").isin(*RESETS)).groupBy(*keys)
-              .agg(F.max("seq").alias("reset")))
     # What came before the last reset says nothing any more, but may name the role.
-    dead = F.coalesce(F.col("reset") > F.coalesce(F.col("l.seq"), F.lit(-1 << 63)), F.lit(False))
-    live = (log.alias("l").join(resets.alias("r"), same, "left")
-            .select(*[F.col(f"l.{k}").alias(k) for k in keys], "l.seq", "l.role",
-                    F.when(dead | (F.col("kind") == "regenerate"), F.lit("")).otherwise(F.col("text")).alias("text"),
-                    F.when(F.col("kind").isin(*RESETS), 0).otherwise(1).alias("late")))
+    reset = F.max(F.when(F.col("kind").isin(*RESETS), F.col("seq"))).over(Window.partitionBy(*keys))
+    dead = F.coalesce(F.col("reset") > F.coalesce(F.col("seq"), F.lit(-1 << 63)), F.lit(False))
+    live = log.withColumn("reset", reset).select(
+        *keys, "seq", "role",
+        F.when(dead | (F.col("kind") == "regenerate"), F.lit("")).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("kind").isin(*RESETS), 0).otherwise(1).alias("late"))
     # An edit is the first of its sequence number; of two, the larger text is.
     part = F.floor(F.col("seq") / PARTS).alias("part")
     event = F.struct("seq", "late", F.coalesce("text", F.lit("")).alias("text"))
