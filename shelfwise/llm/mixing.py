@@ -8,10 +8,11 @@ after any lost task. Copies are then dealt to partitions and ordered by a
 second hash, which is one shuffle of the mix.
 
 Scale: sizes of sources are summed on the map side. A table with one row for
-each source (its rate and distribution) is joined by source; a source with a
-third of all rows is an ordinary skewed key, split by adaptive execution, and
-where the table is small Spark sends it to the tasks instead. Copies are
-spread by hash, so no source, document or group of copies stays together.
+each source (its rate and distribution) is joined by source: it is sent to the
+tasks if it holds at most ``SMALL`` numbers, so that texts move once, when their
+copies are dealt; above that a source with a third of all rows is an ordinary
+skewed key, split by adaptive execution. Copies are spread by hash, so no
+source, document or group of copies stays together.
 
 Nulls and edge cases: documents without a source are a source of their own
 (the weight for ``None``); without weight a source has rate 0. A null text
@@ -36,6 +37,7 @@ from shelfwise.llm.common import col, cut_lineage, ship_code, without
 SEED = 2024
 ALPHA = 0.5    # default weights: size to this power
 EPOCHS = 1.0   # size of the mix in sizes of the input
+SMALL = 1 << 20  # numbers in all distributions that are sent to every task (8 MB)
 
 
 def poisson_cdf(rate: float) -> list[float]:
@@ -94,6 +96,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     and ``shuffle_key``, in hashed order."""
     docs = without(docs, ["copy", "n_copies", "shuffle_key"])
     table = cut_lineage(_with_distribution(rates(docs, source_col, text_col, weights, alpha, epochs)))
+    if (table.agg(F.sum(F.size("cdf") + 8).alias("n")).first()["n"] or 0) <= SMALL:
+        table = F.broadcast(table)
     row = F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row")
     who = F.coalesce(col(id_col).cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(col(text_col), F.lit("")))))
     drawn = docs.select(row, col(source_col).alias("from"), who.alias("who"))
