@@ -6,6 +6,11 @@ hash of seed, replicate and the row's key: no state, nothing random, the same fo
 any layout and after any lost task. All replicates are taken in one pass; copies
 are weights, so a row is at most one row for each replicate, summed on the map
 side. Replicate 0 has every row once and gives the estimate itself.
+
+A row costs one hash and a few text comparisons for each replicate, as native
+columns. Rows that are dear to make, or that come in few parts, are best stored
+first (``session.stored_rows``): each metric reads them again, and the task that
+has a row multiplies it.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from shelfwise.operators.metrics import AUC_BUCKETS, count_le
 REPLICATES = 200
 LEVEL = 0.95
 SEED = 42
-REPLICATE, WEIGHT = "_replicate", "_weight"
+REPLICATE, WEIGHT, _HASH = "_replicate", "_weight", "_hash"
 
 
 def poisson_cdf() -> list[float]:
@@ -35,18 +40,28 @@ def poisson_cdf() -> list[float]:
     return out
 
 
-def weight(key: str, replicate: Column, seed: int = SEED) -> Column:
-    """Copies of a row in a replicate (1 in replicate 0)."""
-    text = F.concat_ws("|", F.lit(str(seed)), replicate.cast("string"), F.coalesce(qcol(key).cast("string"), F.lit("")))
-    u = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / 2.0 ** 52
-    cdf = F.array(*[F.lit(c) for c in poisson_cdf()])
-    return F.when(replicate == 0, 1).otherwise(F.size(F.filter(cdf, lambda c: c <= u)))
+def drawn(key: str, replicate: int, seed: int = SEED) -> Column:
+    """The hash of a row in a replicate, as hex digits."""
+    return F.md5(F.concat(F.lit(f"{seed}|{replicate}|"), F.coalesce(qcol(key).cast("string"), F.lit(""))))
+
+
+def weight(hashed: Column, replicate: Column) -> Column:
+    """Copies of a row with this hash in a replicate (1 in replicate 0).
+
+    The first 13 hex digits over 2**52 are a uniform number; texts of hex digits compare as
+    their numbers do. A share of 1 is never reached."""
+    bounds = [f"{n:013x}" for n in (math.ceil(c * 2.0 ** 52) for c in poisson_cdf()) if n < 2 ** 52]
+    copies = F.when(replicate == 0, 1)
+    for k, bound in enumerate(bounds):
+        copies = copies.when(hashed < bound, k)
+    return copies.otherwise(len(bounds))
 
 
 def replicated(df: DataFrame, key: str, replicates: int = REPLICATES, seed: int = SEED) -> DataFrame:
     """``df``, for each replicate (0 to ``replicates``) the rows that are in it, with their weight."""
-    rows = df.withColumn(REPLICATE, F.explode(F.sequence(F.lit(0), F.lit(replicates))))
-    return rows.withColumn(WEIGHT, weight(key, F.col(REPLICATE), seed)).where(F.col(WEIGHT) > 0)
+    hashes = F.array(F.lit(""), *[drawn(key, r, seed) for r in range(1, replicates + 1)])
+    rows = df.select("*", F.posexplode(hashes).alias(REPLICATE, _HASH))
+    return rows.withColumn(WEIGHT, weight(F.col(_HASH), F.col(REPLICATE))).where(F.col(WEIGHT) > 0).drop(_HASH)
 
 
 def regression_by_replicate(df: DataFrame, label: str, prediction: str, key: str, replicates: int = REPLICATES,
@@ -71,9 +86,10 @@ def auc_by_replicate(df: DataFrame, label: str, score: str, key: str, replicates
     rows = rows.where("s IS NOT NULL AND one IS NOT NULL")
     bounds = rows.agg(F.percentile_approx("s", [i / buckets for i in range(1, buckets)]).alias("q")).scalar()
     w = F.col(WEIGHT)
-    d = replicated(rows, key, replicates, seed).groupBy(REPLICATE, "s").agg(
+    # A score's bucket is the same in all replicates: found once, before a row becomes many.
+    rows = rows.withColumn("_q", bounds).withColumn("b", count_le(F.col("_q"), F.col("s"), buckets - 1)).drop("_q")
+    d = replicated(rows, key, replicates, seed).groupBy(REPLICATE, "b", "s").agg(
         F.sum(F.when(F.col("one"), w).otherwise(0)).alias("pos"), F.sum(F.when(F.col("one"), 0).otherwise(w)).alias("neg"))
-    d = d.withColumn("_q", bounds).withColumn("b", count_le(F.col("_q"), F.col("s"), buckets - 1)).drop("_q")
     within = Window.partitionBy(REPLICATE, "b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("before", F.coalesce(F.sum("neg").over(within), F.lit(0)))
     per = d.groupBy(REPLICATE, "b").agg(F.sum(F.col("pos") * (F.col("before") + F.col("neg") / 2.0)).alias("inner"),

@@ -15,6 +15,7 @@ from shelfwise.operators import recommend as rc
 from shelfwise.plans.catalog import register
 from shelfwise.plans.q_gold import _gold
 from shelfwise.plans.q_report import _gold_cte
+from shelfwise.session import stored_rows
 
 _FEATS = md.FEATURES
 _FILLED_SQL = ", ".join(
@@ -248,6 +249,7 @@ SELECT metric, round(max(x) FILTER (b = 0), 6) AS estimate, round(quantile_cont(
 def metric_intervals(spark, d):
     """M6/M8: 95 % intervals of AUC, MAE, RMSE and R² by 40 Poisson bootstrap replicates over the gold table."""
     g = _gold(spark, d).withColumn("score", F.coalesce("safety_stock", F.lit(0.0)) - F.col("stock_on_hand"))
+    g = stored_rows(g.select("product_id", "reorder_point", "historical_reorder_level", "stockout_risk", "score"), "bootstrap")
     reg = bs.regression_by_replicate(g, "reorder_point", "historical_reorder_level", "product_id", 40)
     auc_ = bs.auc_by_replicate(g, "stockout_risk", "score", "product_id", 40, buckets=64)
     out = bs.intervals(reg).unionByName(bs.intervals(auc_))

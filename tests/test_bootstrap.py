@@ -6,9 +6,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.operators import bootstrap as bs
 from shelfwise.operators import metrics as mt
+from shelfwise.session import stored_rows
 
 
 def copies(key, replicate, seed=42):
@@ -77,3 +79,19 @@ def test_intervals(spark):
             assert r["lower"] == pytest.approx(np.quantile(drawn, 0.05)) and r["upper"] == pytest.approx(np.quantile(drawn, 0.95))
             assert r["lower"] <= r["estimate"] <= r["upper"]
     assert bs.intervals(bs.regression_by_replicate(df.limit(0), "y", "p", "k", 5)).collect() == []
+
+
+def test_weights_are_native_columns(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0)], "k long, y double, p double")
+    plan = bs.regression_by_replicate(df, "y", "p", "k", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "md5" in plan and "lambda" not in plan and "conv(" not in plan
+    got = bs.replicated(df.withColumn("k", F.lit(None).cast("long")), "k", 60).collect()
+    assert {r[bs.REPLICATE]: r[bs.WEIGHT] for r in got} == {b: copies(None, b) for b in range(61) if copies(None, b)}
+
+
+def test_stored_rows_are_read_not_made_again(spark, tmp_dir):
+    spark.range(1000, numPartitions=1).write.parquet(f"{tmp_dir}/source")
+    df = stored_rows(spark.read.parquet(f"{tmp_dir}/source").withColumn("x", F.col("id") * 2))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert f"{tmp_dir}/source" not in plan and df.where("x = 2 * id").count() == 1000
+    assert len(df.inputFiles()) > 1
