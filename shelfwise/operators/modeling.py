@@ -11,6 +11,9 @@ plus the reorder level, so very high scores are expected.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -30,6 +33,7 @@ ROP_LABEL = "reorder_point"
 NUM_TREES = 100
 SEED = 42
 TRAIN_PERCENT = 80
+ROWS_PER_TASK = 20_000   # of forest induction and scoring: 100 trees make a row dear
 
 
 def select_features(df: DataFrame, candidates=FEATURES) -> list[str]:
@@ -75,6 +79,33 @@ def split(df: DataFrame, key: str = "product_id", train_percent: int = TRAIN_PER
     return df.filter(b < train_percent), df.filter(b >= train_percent)
 
 
+def dealt(df: DataFrame, rows: int, key: str = "product_id") -> DataFrame:
+    """``df`` in even parts by ``key``, of about ``ROWS_PER_TASK`` of its ``rows``, each in the order of the key.
+
+    The work of a forest is in its trees, not in the bytes of its rows, so parts that are planned by size
+    are too few for it (and parts of a fixed number each send all trees' statistics). Rows that make one part
+    stay as they are."""
+    parts = -(-rows // ROWS_PER_TASK)
+    return df.repartition(parts, qcol(key)).sortWithinPartitions(qcol(key)) if parts > 1 else df
+
+
+@contextmanager
+def training_rows(train: DataFrame, key: str = "product_id") -> Iterator[tuple[DataFrame, int]]:
+    """(``train`` kept for the passes of tree induction and dealt to tasks evenly, its number of rows)."""
+    kept = [train.persist()]
+    try:
+        n = train.count()
+        even = dealt(train, n, key)
+        if even is not train:
+            kept.append(even.persist())
+            even.count()
+            train.unpersist()
+        yield even, n
+    finally:
+        for df in kept:
+            df.unpersist()
+
+
 def _pipeline(estimator, features: list[str]) -> Pipeline:
     return Pipeline(stages=[assembler(features), estimator])
 

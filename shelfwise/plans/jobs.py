@@ -210,12 +210,10 @@ def run_models(spark: SparkSession, gold_path: str, out_dir: str, num_trees: int
     as Parquet or CSV)."""
     gold = io.read_parquet(spark, gold_path)
     train, test = md.split(gold)
-    train = train.persist()  # tree induction passes over it many times
-    try:
-        risk = md.train_risk(train, num_trees=num_trees, seed=seed)
-        rop = md.train_reorder(train, num_trees=num_trees, seed=seed)
-    finally:
-        train.unpersist()
+    with md.training_rows(train) as (rows, n):
+        risk = md.train_risk(rows, num_trees=num_trees, seed=seed)
+        rop = md.train_reorder(rows, num_trees=num_trees, seed=seed)
+    gold, test = md.dealt(gold, n), md.dealt(test, n)
     filled_test = md.fill_zero(test)
     p1 = risk.transform(filled_test).select("stockout_risk", md.positive_probability().alias("p"))
     auc = mt.auc(p1, "stockout_risk", "p").first()["auc"]

@@ -81,3 +81,16 @@ def test_with_forests(spark):
 
     by_loss = rows(im.permutation_importance(filled, probability, features, "stockout_risk", "product_id", loss=im.log_loss), ["feature"])
     assert {r["feature"] for r in by_loss} == set(features) and all(r["loss"] >= 0 for r in by_loss)
+
+
+def test_forest_rows_are_dealt_evenly(spark):
+    """However few parts the rows come in, tasks of a forest have a bounded number; few rows stay as they are."""
+    n = 5 * md.ROWS_PER_TASK
+    gold = spark.range(n, numPartitions=1).withColumnRenamed("id", "product_id")
+    with md.training_rows(gold) as (rows, seen):
+        sizes = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert seen == sum(sizes) == n and len(sizes) == 5 and max(sizes) < 1.2 * md.ROWS_PER_TASK
+        assert rows.is_cached
+    assert not rows.is_cached and not gold.is_cached
+    few = gold.limit(10)
+    assert md.dealt(few, 10) is few
