@@ -76,3 +76,13 @@ def test_text_keys_meet_numbers(spark, tmp_dir):
     text = trx.withColumn("product_id", F.concat(F.lit("0"), F.col("product_id").cast("string")))
     state = _stored(spark, [text.where("quantity_change < 0"), text.where("NOT coalesce(quantity_change < 0, false)")], tmp_dir)
     assert rows(ic.gold_of_partials(state, inv, sup), ["product_id"]) == rows(fe.build_gold(text, inv, sup), ["product_id"])
+
+
+def test_a_row_is_as_long_as_its_product_has_days(spark, tmp_dir):
+    """Stored days are lists, each day once however many increments it sells in."""
+    day = dt.date(2024, 1, 1)
+    part = spark.createDataFrame([(p, "SALE", -1.0, day + dt.timedelta(days=p % 3), 1) for p in range(50)], TRX)
+    state = _stored(spark, [part, part], tmp_dir)
+    assert {(len(r["label_days"]), len(r["minus_days"])) for r in state.collect()} == {(1, 1)}
+    one = state.where("product_id = 4").first()
+    assert one["label_days"] == [(day - dt.date(1970, 1, 1)).days + 1] and one["label_n"] == 2
