@@ -142,7 +142,7 @@ def silver_stream(spark, d):
     trx = fx.movements_dirty(spark, d)
     for part in (0, 1):  # the copies of a row land in both
         some = trx.where(F.col("Supplier-ID") % 2 == part).unionAll(trx.where(F.col("Supplier-ID") % 2 == 0))
-        some.write.mode("append").option("header", True).csv(f"{root}/raw")
+        some.write.mode("append").option("header", True).option("compression", "gzip").csv(f"{root}/raw")
         q = start_silver_stream(spark, f"{root}/raw", f"{root}/silver", trx.schema,
                                 checkpoint=f"{root}/checkpoint")
         q.awaitTermination()
@@ -155,7 +155,8 @@ def silver_keyed_stream(spark, d):
     root = scratch_dir(spark, "stream")
     trx = fx.movements_by_id(spark, d)
     for part in (2, 0, 1):
-        trx.where(F.col("supplier_id") % 3 == part).write.mode("append").option("header", True).csv(f"{root}/raw")
+        some = trx.where(F.col("supplier_id") % 3 == part)
+        some.write.mode("append").option("header", True).option("compression", "gzip").csv(f"{root}/raw")
         q = start_silver_stream(spark, f"{root}/raw", f"{root}/silver", trx.schema, checkpoint=f"{root}/checkpoint")
         q.awaitTermination()
     return silver_snapshot(spark, f"{root}/silver")

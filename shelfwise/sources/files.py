@@ -89,16 +89,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", n_files: int |
         .options(**options).csv(path))
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite", n_files: int | None = None) -> None:
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", n_files: int | None = None, **options) -> None:
     """JSON lines."""
-    _shaped(df, n_files).write.mode(mode).json(path)
+    _shaped(df, n_files).write.mode(mode).options(**options).json(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", n_files: int | None = None,
-                  partition_by: list[str] | None = None) -> None:
+                  partition_by: list[str] | None = None, compression: str = "zstd") -> None:
     """Parquet; ``n_files=1`` gives one file, ``partition_by`` a
-    directory per value (enables partition pruning on read)."""
-    w = _shaped(df, n_files).write.mode(mode)
+    directory per value (enables partition pruning on read). Content ids are
+    hex digits, which zstd halves and Spark's default (snappy) leaves as they are."""
+    w = _shaped(df, n_files).write.mode(mode).option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -130,3 +130,25 @@ def test_forgotten_keys_are_settled_by_the_snapshot(spark, tmp_dir):
         key = ["id"] if name == "keyed" else ["transaction_id"]
         assert rows(out, key) == rows(batch.select(*out.columns), key)
         assert spark.read.parquet(silver).count() > out.count()
+
+
+def test_the_shuffle_carries_no_id_as_text(spark, tmp_dir):
+    """Rows go to the state without ids; silver holds the content id once, a table's own beside it."""
+    plain, keyed = "product string, quantity string", "id int, quantity string, `Transaction Date` string"
+    own = "transaction_id string, quantity string"
+    lines = {"plain": ("product,quantity", ["1,2", "1,2"]), "keyed": ("id,quantity,Transaction Date", ["1,2,2024-01-01"] * 2),
+             "own": ("transaction_id,quantity", ["a,2", "a,2"])}
+    for name, schema in (("plain", plain), ("keyed", keyed), ("own", own)):
+        bronze, silver = f"{tmp_dir}/{name}/bronze", f"{tmp_dir}/{name}/silver"
+        os.makedirs(bronze)
+        with open(f"{bronze}/a.csv", "w") as f:
+            f.write("\n".join([lines[name][0], *lines[name][1]]) + "\n")
+        q = start_silver_stream(spark, bronze, silver, schema, checkpoint=f"{tmp_dir}/{name}/ckpt")
+        q.awaitTermination()
+        below = q._jsq.explainInternal(False).split("Exchange hashpartitioning", 1)[1]
+        assert "AS _content" not in below and (name == "own" or "AS transaction_id" not in below)
+        written = spark.read.parquet(silver)
+        assert ("_content" in written.columns) == (name == "own") and written.count() == 1
+        out = silver_snapshot(spark, silver)
+        batch = cl.clean_transactions(spark.read.csv(bronze, header=True, schema=schema))
+        assert rows(out) == rows(batch.select(*out.columns))
