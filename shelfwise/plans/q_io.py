@@ -57,12 +57,13 @@ def parquet_roundtrip(spark, d):
 
 
 def _write_bronze(spark, d, root: str) -> dict:
-    """The dirty fixtures as the bronze files the silver job expects."""
+    """The dirty fixtures as the bronze files the silver job expects, gzipped: each file is
+    one task's work in any case (quoted line breaks)."""
     trx, inv = fx.movements_dirty(spark, d), fx.inventory_dirty(spark, d)
     sup = fx.suppliers_by_product(spark, d)
-    io.write_csv(trx, f"{root}/{jobs.BRONZE_FILES[jobs.TRANSACTIONS]}")
-    io.write_csv(inv, f"{root}/{jobs.BRONZE_FILES[jobs.INVENTORY]}")
-    io.write_json(sup, f"{root}/{jobs.SUPPLIERS_LINES}")
+    io.write_csv(trx, f"{root}/{jobs.BRONZE_FILES[jobs.TRANSACTIONS]}", compression="gzip")
+    io.write_csv(inv, f"{root}/{jobs.BRONZE_FILES[jobs.INVENTORY]}", compression="gzip")
+    io.write_json(sup, f"{root}/{jobs.SUPPLIERS_LINES}", compression="gzip")
     return {jobs.TRANSACTIONS: trx.schema, jobs.INVENTORY: inv.schema, jobs.SUPPLIERS: sup.schema}
 
 

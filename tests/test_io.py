@@ -4,9 +4,12 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
+from shelfwise.plans import q_io
 from shelfwise.sources import files as io
 from shelfwise.sources.jdbc import read_jdbc, write_jdbc
-from tests.conftest import rows
+from tests.conftest import SF_SMALL, rows
 
 
 def _df(spark):
@@ -227,3 +230,17 @@ def test_line_breaks_survive_bronze_and_silver(spark, tmp_dir):
     assert (n[jobs.TRANSACTIONS], n[jobs.INVENTORY]) == (2, 1) and n["lost"] == {"transaction_date": 0}
     notes = {r.note for r in spark.read.parquet(f"{tmp_dir}/silver/{jobs.TRANSACTIONS}").collect()}
     assert notes == {"a\nb", 'say "x"'}
+
+
+def test_silver_files_are_packed(spark, tmp_dir):
+    """Content ids are hex digits: written with zstd they take little more than half of their text."""
+    df = spark.range(20000).select(F.sha2(F.col("id").cast("string"), 256).alias("transaction_id"))
+    io.write_parquet(df, f"{tmp_dir}/silver", n_files=1)
+    size = sum(os.path.getsize(f"{tmp_dir}/silver/{f}") for f in os.listdir(f"{tmp_dir}/silver") if f.endswith(".parquet"))
+    assert size < 0.7 * 64 * 20000 and io.read_parquet(spark, f"{tmp_dir}/silver").exceptAll(df).count() == 0
+
+
+def test_bronze_fixture_is_packed(spark, tmp_dir):
+    q_io._write_bronze(spark, SF_SMALL, tmp_dir)
+    files = [f for _, _, fs in os.walk(tmp_dir) for f in fs if f.startswith("part-")]
+    assert files and all(f.endswith(".gz") for f in files)
