@@ -11,7 +11,8 @@ over tokens come back whole.
 
 Work is per row, without a shuffle. Memory is bounded by the Arrow batch (64
 MB by default), the piece memo (emptied when full) and one slice of a long
-text at a time; slices end where a piece ends for certain.
+text at a time; slices end where a piece ends for certain. A worker that only
+decodes holds the byte table and neither the library's model nor a memo.
 
 Nulls and edge cases: a null or empty text has no ids; ids outside the table
 raise an error on decoding; a null list of ids decodes to null. Repeated rows
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 
 from shelfwise.llm.common import ship_code, without
 
-MEMO_PIECES = 400_000   # pieces kept by a worker, about 100 MB
+MEMO_PIECES = 150_000   # pieces kept by a worker, about 40 MB
 MEMO_CHARS = 64         # longer pieces are not kept
 SLICE_CHARS = 1 << 16   # of a long text at a time
 
@@ -115,17 +116,40 @@ class Splitter:
         yield text[at:] if at else text
 
 
-class Codec:
+def _read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+
+
+class ByteTable:
+    """The bytes of each id of one rank file: all that decoding needs."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = {r: t for t, r in ranks.items()}
+        size = max(tokens) + 1
+        self.length = np.zeros(size, dtype=np.int64)   # of a token in bytes; 0: no such id
+        for r, t in tokens.items():
+            self.length[r] = len(t)
+        self.first = np.concatenate([[0], np.cumsum(self.length)])[:size]
+        self.blob = np.frombuffer(b"".join(tokens.get(r, b"") for r in range(size)), dtype=np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.length) or not self.length[ids].all()):
+            raise ValueError("an id is not in the rank file")
+        n = self.length[ids]
+        before = np.cumsum(n) - n
+        return self.blob[np.repeat(self.first[ids] - before, n) + np.arange(n.sum())].tobytes()
+
+
+class Codec(ByteTable):
     """Encoder and decoder of one rank file."""
 
     def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer, models
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        alphabet = byte_alphabet()
-        self.shown = {b: ord(c) for b, c in alphabet.items()}
-        hidden = {c: b for b, c in alphabet.items()}
+        ranks = _read_ranks(path)
+        super().__init__(ranks)
+        self.shown = {b: ord(c) for b, c in byte_alphabet().items()}
 
         def show(token: bytes) -> str:
             return token.decode("latin-1").translate(self.shown)
@@ -137,13 +161,6 @@ class Codec:
                   if ranks.get(t[:i], r) < r and ranks.get(t[i:], r) < r]
         self.model = Tokenizer(models.BPE(vocab={show(t): r for t, r in ranks.items()}, merges=merges,
                                           ignore_merges=True, cache_capacity=0))
-        tokens = {r: bytes(hidden[c] for c in s) for s, r in self.model.get_vocab().items()}
-        size = max(tokens) + 1
-        self.length = np.zeros(size, dtype=np.int64)   # of a token in bytes; 0: no such id
-        for r, t in tokens.items():
-            self.length[r] = len(t)
-        self.first = np.concatenate([[0], np.cumsum(self.length)])[:size]
-        self.blob = np.frombuffer(b"".join(tokens.get(r, b"") for r in range(size)), dtype=np.uint8)
         self.splitter = Splitter(pattern)
         self.memo: dict[str, bytes] = {}  # piece -> its ids as packed int32
 
@@ -190,13 +207,6 @@ class Codec:
         flush()
         return [np.frombuffer(b"".join(p), dtype=np.int32) for p in packed]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.length) or not self.length[ids].all()):
-            raise ValueError("an id is not in the rank file")
-        n = self.length[ids]
-        before = np.cumsum(n) - n
-        return self.blob[np.repeat(self.first[ids] - before, n) + np.arange(n.sum())].tobytes()
-
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First character of each token, and the one after its last."""
         data = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
@@ -206,6 +216,7 @@ class Codec:
 
 
 _CODECS: dict[tuple[str, str], Codec] = {}
+_TABLES: dict[str, ByteTable] = {}
 
 
 def codec(ranks: str, pattern: str | None = None) -> Codec:
@@ -220,6 +231,14 @@ def codec(ranks: str, pattern: str | None = None) -> Codec:
     return _CODECS[key]
 
 
+def byte_table(ranks: str) -> ByteTable:
+    """This worker's byte table of a rank file; built once."""
+    path = rank_file(ranks)
+    if path not in _TABLES:
+        _TABLES[path] = ByteTable(_read_ranks(path))
+    return _TABLES[path]
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, arrays)])
     values = np.concatenate([np.zeros(0, np.int32), *arrays])
@@ -265,7 +284,7 @@ def decode(rows: DataFrame, ids_col: str = "ids", ranks: str = "byte_bpe_multi_5
     at = rows.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(ranks, pattern)
+        c = byte_table(ranks)
         for whole in batches:
             for batch in _parts(whole):
                 out = [c.decode(ids.values.to_numpy(zero_copy_only=False)) if ids.is_valid else None

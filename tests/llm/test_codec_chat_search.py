@@ -175,3 +175,13 @@ def test_search_frame(spark):
                 want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(all_[:7])]
         assert sorted(map(tuple, got)) == sorted(want)
     assert topk.search(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_a_decoder_holds_no_model(spark):
+    """A worker that only decodes needs the bytes of each id, not the library's tables."""
+    t = bpe.byte_table(NAME)
+    assert not isinstance(t, bpe.Codec) and not hasattr(t, "model") and not hasattr(t, "memo")
+    c = bpe.codec(NAME)
+    for text in ("", "plain words", "na\u00efve \U0001f600\u00a0x"):
+        ids = c.encode([text])[0]
+        assert t.decode(ids) == c.decode(ids) == text.encode()
