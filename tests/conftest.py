@@ -22,6 +22,16 @@ def spark():
     yield s
 
 
+@pytest.fixture(scope="module", autouse=True)
+def _uncached():
+    """What a module kept cached is not in the plans of the next one."""
+    yield
+    from pyspark.sql import SparkSession
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        active.catalog.clearCache()
+
+
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="shelfwise-test-")
