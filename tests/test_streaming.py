@@ -152,3 +152,78 @@ def test_the_shuffle_carries_no_id_as_text(spark, tmp_dir):
         out = silver_snapshot(spark, silver)
         batch = cl.clean_transactions(spark.read.csv(bronze, header=True, schema=schema))
         assert rows(out) == rows(batch.select(*out.columns))
+
+
+def _local_files(spark):
+    """Shuffle files and state files on the local disk."""
+    from glob import escape, glob
+    jvm = spark.sparkContext._jvm
+    blocks = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    own = jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().conf())
+    return {*(f for d in blocks for f in glob(f"{escape(d.getPath())}/*/shuffle_*")),
+            *glob(f"{escape(own)}/StateStoreId*/*/*.sst")}
+
+
+def test_a_run_leaves_no_shuffle_and_no_state_on_local_disk(spark, tmp_dir):
+    """Without a garbage collection on the driver, and with the state where the next run finds it."""
+    import time
+    keyed = "id int, quantity string, `Transaction Date` string"
+    for name, schema, head, horizon in (("plain", SCHEMA, "Product ID,Transaction Type,Quantity,Transaction Date", None),
+                                        ("keyed", keyed, "id,quantity,Transaction Date", None),
+                                        ("forgetful", SCHEMA, "Product ID,Transaction Type,Quantity,Transaction Date", "1 day")):
+        bronze, silver, ckpt = (f"{tmp_dir}/{name}/{x}" for x in ("bronze", "silver", "ckpt"))
+        os.makedirs(bronze)
+        for n in range(2):
+            with open(f"{bronze}/{n}.csv", "w") as f:
+                each = [f"{i},2,2024-01-01" if name == "keyed" else f"{i},SALE,-1,2024-01-01" for i in range(n * 50, n * 50 + 100)]
+                f.write("\n".join([head, *each, *each]) + "\n")
+            before = _local_files(spark)
+            q = start_silver_stream(spark, bronze, silver, schema, checkpoint=ckpt, horizon=horizon)
+            q.awaitTermination()
+            assert [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["numInputRows"]] == [100 + 50 * n]
+            until = time.time() + 10  # files go in the background
+            while (left := _local_files(spark) - before) and time.time() < until:
+                time.sleep(0.2)
+            assert not left
+        out = silver_snapshot(spark, silver, horizon=bool(horizon))
+        batch = cl.clean_transactions(spark.read.csv(bronze, header=True, schema=schema))
+        assert rows(out) == rows(batch.select(*out.columns)) and out.count() == 150
+
+
+def test_the_shuffle_carries_no_key(spark, tmp_dir):
+    """Rows are dealt out once, by the key that the state looks up, and go without it."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # the last plan is that of the rows
+    for n, horizon in enumerate((None, "1 day")):
+        bronze, silver = f"{tmp_dir}/{n}/bronze", f"{tmp_dir}/{n}/silver"
+        _land(f"{bronze}/a.csv", ["1,SALE,-2,2024-01-02", "1, SALE ,-2,2024-01-02", "2,RETURN,n/a,bad"])
+        q = start_silver_stream(other, bronze, silver, SCHEMA, checkpoint=f"{tmp_dir}/{n}/ckpt", horizon=horizon)
+        q.awaitTermination()
+        physical = q._jsq.explainInternal(False)
+        assert physical.count("Exchange ") == 1
+        above, below = physical.split("Exchange hashpartitioning", 1)
+        assert "AS _key" in above and "AS _key" not in below
+        assert silver_snapshot(spark, silver, horizon=bool(horizon)).count() == 2
+
+
+def test_a_stream_goes_on_with_other_shuffle_partitions(spark, tmp_dir):
+    bronze, silver, ckpt = f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/ckpt"
+    for n, parts in enumerate(("8", "3", "8")):
+        other = spark.newSession()
+        other.conf.set("spark.sql.shuffle.partitions", parts)
+        _land(f"{bronze}/{n}.csv", [f"{i},SALE,-1,2024-01-01" for i in range(n * 50, n * 50 + 100)] * 2)
+        start_silver_stream(other, bronze, silver, SCHEMA, checkpoint=ckpt).awaitTermination()
+    out = silver_snapshot(spark, silver)
+    batch = cl.clean_transactions(spark.read.csv(bronze, header=True, schema=SCHEMA))
+    assert rows(out, ["transaction_id"]) == rows(batch.select(*out.columns), ["transaction_id"]) and out.count() == 200
+
+
+def test_state_is_packed(spark, tmp_dir):
+    """RocksDB gets the stream's settings: packed with zstd, no space reserved ahead."""
+    import zipfile
+    bronze, ckpt = f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt"
+    _land(f"{bronze}/a.csv", ["1,SALE,-2,2024-01-02"])
+    start_silver_stream(spark, bronze, f"{tmp_dir}/silver", SCHEMA, checkpoint=ckpt).awaitTermination()
+    with zipfile.ZipFile(f"{ckpt}/state/0/0/1.zip") as z:
+        options = next(z.read(x).decode() for x in z.namelist() if x.startswith("OPTIONS"))
+    assert "compression=kZSTD" in options and "allow_fallocate=false" in options
